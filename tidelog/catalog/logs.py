@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.catalog.registry import LOG_SQL, Inputs, query
 from tidelog.operators import aggregate, records
 from tidelog.sources import log, sinks
-from tidelog.sources.scratch import scratch_dir
+from tidelog.sources.scratch import scratch_dir, through
 
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 RANGES = {0: (10, 50), 1: (10, 50), 2: (0, 0), 3: (45, 10_000_000)}
@@ -90,8 +90,8 @@ def pipe(i: Inputs) -> DataFrame:
 
 @query("through", """
 SELECT event_type, count(*) AS cnt FROM events WHERE value > 10 GROUP BY 1""")
-def through(i: Inputs) -> DataFrame:
-    kept = sinks.through(i.events.filter("value > 10"), scratch_dir(i.spark, "through"))
+def through_table(i: Inputs) -> DataFrame:
+    kept = through(i.events.filter("value > 10"), scratch_dir(i.spark, "through"))
     return aggregate.group_count(kept, ["event_type"])
 
 
@@ -163,7 +163,7 @@ def _delivered_with_crash(i: Inputs, mode: str) -> DataFrame:
 
     Committing after the work repeats the rows; committing before it does not.
     """
-    rows = sinks.through(i.log(), scratch_dir(i.spark, "log"))
+    rows = through(i.log(), scratch_dir(i.spark, "log"))
     out, store = scratch_dir(i.spark, "sent"), scratch_dir(i.spark, "offsets")
     nothing = log.offset_bounds(rows).filter("false").selectExpr(
         "partition", "latest AS saved_offset"

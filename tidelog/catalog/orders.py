@@ -201,7 +201,7 @@ def state_range(i: Inputs) -> DataFrame:
 
 
 @query("state_window_fetch", f"""
-SELECT 'view@' || (epoch_ms(ts) // 3600000 * 3600000) AS window_key, count(*) AS cnt FROM events
+SELECT 'view@' || (epoch_us(ts) // 3600000000 * 3600000) AS window_key, count(*) AS cnt FROM events
 WHERE event_type = 'view' AND epoch_us(ts) // {HOUR} * {HOUR}
   BETWEEN epoch_us(TIMESTAMP '2024-01-05') AND epoch_us(TIMESTAMP '2024-01-10') GROUP BY 1""")
 def state_window_fetch(i: Inputs) -> DataFrame:

@@ -75,9 +75,9 @@ def cep_within(i: Inputs) -> DataFrame:
     return ids(found(i, funnel("skip_till_next_match", 86400)), "seen", "clicked", "bought")
 
 
-@query("cep_strict_within", f"{STRICT_SQL} AND ts3 - ts <= INTERVAL 12 HOUR")
+@query("cep_strict_within", f"{STRICT_SQL} AND ts3 - ts <= INTERVAL 2 DAY")
 def cep_strict_within(i: Inputs) -> DataFrame:
-    return ids(found(i, funnel("strict_contiguity", 43200)), "seen", "clicked", "bought")
+    return ids(found(i, funnel("strict_contiguity", 2 * 86400)), "seen", "clicked", "bought")
 
 
 @query("cep_predicates", f"""WITH {LEADS_SQL}

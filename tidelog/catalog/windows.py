@@ -92,12 +92,12 @@ def runs_sql(keys: str, size: int, step: int, keep: str) -> str:
     """Change points: rows enter at their first covering start and leave after the last."""
     return f"""
 WITH m AS (
-  SELECT {keys}, CAST((floor((epoch_us(ts) - {size}) / {step}) + 1) * {step} AS BIGINT) AS at, 1 AS d FROM events
+  SELECT {keys}, CAST((floor((epoch_us(ts) - {size}) / {step}) + 1) * {step} AS BIGINT) AS pos, 1 AS d FROM events
   UNION ALL SELECT {keys}, (epoch_us(ts) // {step} + 1) * {step}, -1 FROM events),
-s AS (SELECT {keys}, at, sum(d) AS d FROM m GROUP BY ALL),
-r AS (SELECT {keys}, at, lead(at) OVER w - {step} AS til, CAST(sum(d) OVER w AS BIGINT) AS cnt FROM s
-      WINDOW w AS (PARTITION BY {keys} ORDER BY at))
-SELECT {keys}, make_timestamp(at) AS start_from, make_timestamp(til) AS start_to, cnt FROM r
+s AS (SELECT {keys}, pos, sum(d) AS d FROM m GROUP BY ALL),
+r AS (SELECT {keys}, pos, lead(pos) OVER w - {step} AS til, CAST(sum(d) OVER w AS BIGINT) AS cnt FROM s
+      WINDOW w AS (PARTITION BY {keys} ORDER BY pos))
+SELECT {keys}, make_timestamp(pos) AS start_from, make_timestamp(til) AS start_to, cnt FROM r
 WHERE til IS NOT NULL AND {keep}"""
 
 
@@ -174,8 +174,8 @@ def sessionize_stream(i: Inputs) -> DataFrame:
 
 
 @query("windowed_key_string", f"""
-SELECT event_type || '@' || (epoch_ms(ts) // 3600000 * 3600000) || '->'
-       || (epoch_ms(ts) // 3600000 * 3600000 + 3600000) AS window_key, count(*) AS cnt
+SELECT event_type || '@' || (epoch_us(ts) // 3600000000 * 3600000) || '->'
+       || (epoch_us(ts) // 3600000000 * 3600000 + 3600000) AS window_key, count(*) AS cnt
 FROM events GROUP BY 1""")
 def windowed_key_string(i: Inputs) -> DataFrame:
     counts = windows.tumbling_count(i.events, KINDS, "ts", HOUR)
@@ -184,7 +184,7 @@ def windowed_key_string(i: Inputs) -> DataFrame:
 
 
 @query("event_time", """
-SELECT event_id, make_timestamp(epoch_ms(ts) * 1000) AS extracted FROM events""")
+SELECT event_id, make_timestamp(epoch_us(ts) // 1000 * 1000) AS extracted FROM events""")
 def event_time(i: Inputs) -> DataFrame:
     payload = F.to_json(F.struct(F.unix_millis("ts").alias("timestamp"), "user_id"))
     rows = i.events.select("event_id", payload.alias("payload"))

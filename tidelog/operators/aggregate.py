@@ -131,11 +131,14 @@ def punctuate_snapshot(
     end = counts.agg(F.max("_tick")).scalar()
     order = Window.partitionBy(*keys).orderBy("_tick")
     until = F.coalesce(F.lead("_tick").over(order) - F.lit(every_micros), end)
-    return counts.select(
+    held = counts.select(
         *keys,
         F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias(name),
         F.sequence(F.col("_tick"), until, F.lit(every_micros).cast("bigint")).alias("_ticks"),
-    ).select(*keys, name, F.timestamp_micros(F.explode("_ticks")).alias("tick"))
+    )
+    return held.select(*keys, name, F.explode("_ticks").alias("_tick")).select(
+        *keys, name, F.timestamp_micros("_tick").alias("tick")
+    )
 
 
 def moving_average(

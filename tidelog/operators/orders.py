@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.aggregate import first_rows
 from tidelog.operators.joins import interval_join
-from tidelog.operators.windows import MINUTE, sessionize
+from tidelog.operators.windows import MINUTE
 from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, micros
+from tidelog.sources.scratch import scratch_dir, through
 
 # States, results, check names and limits of the validation services.
 CREATED, VALIDATED, FAILED = "CREATED", "VALIDATED", "FAILED"
@@ -54,18 +54,23 @@ def fraud_check(
     limit: float = FRAUD_LIMIT,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Spending so far in the customer's session; an order reaching the limit fails."""
-    numbered = sessionize(
-        _created(orders), ["customer_id"], ["ts", "id"], micros("ts"), "ts", gap, "_session",
-        rows_per_chunk,
-    )
-    # Exact arithmetic: the same total whatever the chunk borders.
+    """Spending so far in the customer's session; an order reaching the limit fails.
+
+    The session total is the customer's total so far minus that at the session's start, so one
+    ordering of the customer's orders serves both. Decimal sums keep the difference exact.
+    """
+    at = micros("ts")
     amount = (F.col("quantity") * F.col("price")).cast("decimal(28,4)")
-    spent = KeyedOrder.of(
-        numbered, ["customer_id", "_session"], ["ts", "id"], micros("ts"), rows_per_chunk
-    ).running({"_spent": ("sum", amount)})
-    total = F.col("_spent").cast("double")
-    return spent.result().select(
+    created = _created(orders).withColumn("_amount", amount)
+    seen = KeyedOrder.of(created, ["customer_id"], ["ts", "id"], at, rows_per_chunk).running(
+        {"_last": ("last", at)}, inclusive=False
+    )
+    seen = seen.running({"_total": ("sum", F.col("_amount"))})
+    opens = F.col("_last").isNull() | (F.col("_last") < at - F.lit(gap))
+    base = F.when(opens, F.col("_total") - F.coalesce("_amount", F.lit(0)))
+    seen = seen.running({"_base": ("last", base)})
+    total = (F.col("_total") - F.col("_base")).cast("double")
+    return seen.result().select(
         "id",
         F.lit(FRAUD_CHECK).alias("check_type"),
         _verdict(total < limit).alias("result"),
@@ -102,10 +107,12 @@ def inventory_reserve(
     named = stock.select(F.col(product), F.col(available).cast("bigint").alias("_stock"))
     asked = orders.join(named, product).withColumn("_q", F.col(quantity).cast("bigint"))
     fits = F.when(F.col("_q").between(0, F.col("_stock")), F.col("_q"))
-    numbered = (
+    # Written once: the steps below read it several times.
+    numbered = through(
         KeyedOrder.of(asked, [product], order, position, rows_per_chunk)
         .running({"_n": ("count", F.lit(1)), "_sum": ("sum", fits)})
-        .result()
+        .result(),
+        scratch_dir(orders.sparkSession, "reserve"),
     )
     # The first order that does not fit, and what is left there. Both are one row per product.
     broke = (
@@ -123,25 +130,33 @@ def inventory_reserve(
         [product, "_q"], ["_n"], F.col("_n"), rows_per_chunk,
     ).number("_rank")
     short = ranked.result().filter(F.col("_rank") <= F.expr("_left div _q"))
-    passed = short.groupBy(product).applyInPandas(
-        _replay, f"{product} {short.schema[product].dataType.simpleString()}, _n bigint, _ok boolean"
+    waiting = short.groupBy(product).agg(
+        F.first("_left").alias("_left"),
+        F.sort_array(F.collect_list(F.struct("_n", "_q"))).alias("_rows"),
+    )
+    passed = waiting.select(product, F.explode(_served("_rows", "_left")).alias("_n")).withColumn(
+        "_ok", F.lit(True)
     )
     ok = F.when(prefix, fits.isNotNull()).otherwise(F.coalesce("_ok", free))
     final = staged.join(passed, [product, "_n"], "left").withColumn("result", _verdict(ok))
     return final.select(*orders.columns, "result")
 
 
-def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Hand out what is left of one product, first come first served."""
-    pdf = pdf.sort_values("_n")
-    left = int(pdf["_left"].iloc[0])
-    took = []
-    for q in pdf["_q"]:
-        fits = q <= left
-        left -= q if fits else 0
-        took.append(bool(fits))
-    pdf["_ok"] = took
-    return pdf[[pdf.columns[0], "_n", "_ok"]]
+def _served(rows: str, left: str) -> Column:
+    """Positions of the orders served from what is left, first come first served."""
+    start = F.struct(
+        F.col(left).alias("left"), F.array().cast("array<bigint>").alias("served")
+    )
+
+    def serve(state: Column, row: Column) -> Column:
+        fits = row["_q"] <= state["left"]
+        taken = F.concat(state["served"], F.array(row["_n"]))
+        return F.struct(
+            F.when(fits, state["left"] - row["_q"]).otherwise(state["left"]).alias("left"),
+            F.when(fits, taken).otherwise(state["served"]).alias("served"),
+        )
+
+    return F.aggregate(rows, start, serve, lambda s: s["served"])
 
 
 def inventory_check(orders: DataFrame, stock: DataFrame, **kw) -> DataFrame:

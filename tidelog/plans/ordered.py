@@ -3,11 +3,12 @@
 A window over ``(key)`` sorts every row of a key in one task, which fails when a single key
 holds a large share of the rows. Two shapes avoid that.
 
-``KeyedOrder`` cuts only the *hot* keys into consecutive chunks of the order. Running values
-are computed inside each chunk and completed with what earlier chunks carry in. Keys below the
-row limit stay in one piece, so data without hot keys costs one narrow count pass extra.
-Both helper tables have at most about ``2 * total_rows / rows_per_chunk`` rows, whatever the
-number of keys; that bound is what makes broadcasting them safe.
+``KeyedOrder`` first counts rows per key, combined before the shuffle. Without a key above the
+row limit it plans ordinary windows. Otherwise it cuts only the *hot* keys into consecutive
+chunks of the order, computes running values inside each chunk, and completes them with what
+earlier chunks carry in. The tables of hot keys and of carried values have at most about
+``2 * total_rows / rows_per_chunk`` rows. They are written to the shared folder and counted,
+and are broadcast only while small.
 
 ``tiles`` is for frames of known length: rows are cut into fixed tiles of the order and copied
 into neighbouring tiles only where a frame reaches across the border.
@@ -21,7 +22,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.sources.scratch import scratch_dir, through
+
 ROWS_PER_CHUNK = 4_000_000
+# About 100 bytes a row: far below what a task can hold.
+BROADCAST_ROWS = 500_000
 
 _LO = "_hot_lo"
 _STEP = "_hot_step"
@@ -33,13 +38,21 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
 
 
+def small_side(written: DataFrame, rows: int | None = None) -> DataFrame:
+    """Broadcast a written table when it has few rows; otherwise leave the join to Spark, which
+    shuffles both sides and splits skewed partitions."""
+    counted = written.count() if rows is None else rows
+    return F.broadcast(written) if counted <= BROADCAST_ROWS else written
+
+
 @dataclass(frozen=True)
 class KeyedOrder:
-    """Rows of ``df`` ordered by ``order`` inside ``keys``, with hot keys cut into chunks."""
+    """Rows of ``df`` ordered by ``order`` inside ``keys``; ``cut`` when hot keys are chunked."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    cut: bool
 
     @staticmethod
     def of(
@@ -52,29 +65,34 @@ class KeyedOrder:
         """``position`` is a number that never decreases along ``order``.
 
         Rows with a null key belong to no group and are dropped. ``order`` must be total.
+        Counting the keys runs a job.
         """
         for key in keys:
             df = df.filter(F.col(key).isNotNull())
-        df = df.withColumn("_pos", position)
+        placed = df.withColumn("_pos", position)
+        limit = F.lit(rows_per_chunk)
         hot = (
-            df.groupBy(*keys)
+            placed.groupBy(*keys)
             .agg(
                 F.count(F.lit(1)).alias("_n"),
                 F.min("_pos").alias(_LO),
                 F.max("_pos").alias("_hi"),
             )
-            .filter(F.col("_n") > rows_per_chunk)
+            .filter(F.col("_n") > limit)
             .select(
                 *keys,
                 _LO,
-                (
-                    (F.col("_hi") - F.col(_LO) + 1) / F.ceil(F.col("_n") / F.lit(rows_per_chunk))
-                ).alias(_STEP),
+                ((F.col("_hi") - F.col(_LO) + 1) / F.ceil(F.col("_n") / limit)).alias(_STEP),
             )
         )
+        found = through(hot, scratch_dir(df.sparkSession, "hot-keys"))
+        count = found.count()
+        if count == 0:
+            return KeyedOrder(df, tuple(keys), tuple(order), False)
         chunk = F.floor((F.col("_pos") - F.col(_LO)) / F.col(_STEP))
-        cut = df.join(F.broadcast(hot), list(keys), "left").withColumn(_CHUNK, chunk)
-        return KeyedOrder(cut.drop("_pos", _STEP), tuple(keys), tuple(order))
+        chunked = placed.join(small_side(found, count), list(keys), "left")
+        chunked = chunked.withColumn(_CHUNK, chunk).drop("_pos", _STEP)
+        return KeyedOrder(chunked, tuple(keys), tuple(order), True)
 
     def running(
         self,
@@ -88,55 +106,65 @@ class KeyedOrder:
         Kinds: ``sum``, ``count``, ``min``, ``max`` and ``last`` (latest non-null value).
         ``inclusive=False`` leaves the row itself out; ``reverse`` looks at later rows.
         """
+        unknown = {kind for kind, _ in measures.values()} - set(_KINDS)
+        if unknown:
+            raise ValueError(f"unknown measure kinds {sorted(unknown)}")
         ordering = [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
+        end = 0 if inclusive else -1
         # The chunk origin is in the partitioning so that "hot rows only" reaches the scan.
+        pieces = (_LO, _CHUNK) if self.cut else ()
         local = (
-            Window.partitionBy(*self.keys, _LO, _CHUNK)
+            Window.partitionBy(*self.keys, *pieces)
             .orderBy(*ordering)
-            .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+            .rowsBetween(Window.unboundedPreceding, end)
         )
+        kept = [c for c in self.df.columns if c not in measures]
+        inside = {
+            name: _KINDS[kind](value).over(local) for name, (kind, value) in measures.items()
+        }
+        if not self.cut:
+            zero = [
+                (F.coalesce(v, F.lit(0)) if measures[n][0] == "sum" else v).alias(n)
+                for n, v in inside.items()
+            ]
+            return replace(self, df=self.df.select(*kept, *zero))
+        carry = self._carried(measures, reverse)
+        rows = self.df.select(*kept, *[v.alias(f"_in_{n}") for n, v in inside.items()])
+        joined = rows.join(small_side(carry), [*self.keys, _CHUNK], "left")
+        final = [
+            _COMBINE[kind](F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(n)
+            for n, (kind, _) in measures.items()
+        ]
+        return replace(self, df=joined.select(*kept, *final))
+
+    def _carried(self, measures: dict[str, tuple[str, Column]], reverse: bool) -> DataFrame:
+        """What the chunks before a chunk add up to, one row per chunk of a hot key."""
+        at = F.struct(*self.order)
+        newest = F.min_by if reverse else F.max_by
+        totals = [
+            (
+                newest(value, F.when(value.isNotNull(), at))
+                if kind == "last"
+                else _KINDS[kind](value)
+            ).alias(name)
+            for name, (kind, value) in measures.items()
+        ]
         before = (
             Window.partitionBy(*self.keys)
             .orderBy(F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc())
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        at = F.struct(*self.order)
-        totals, carried, inside, final = [], [], [], []
-        for name, (kind, value) in measures.items():
-            here, carry = F.col(f"_in_{name}"), F.col(f"_carry_{name}")
-            if kind in ("sum", "count"):
-                one = F.sum(value) if kind == "sum" else F.count(value)
-                totals.append(one.alias(name))
-                carried.append(F.sum(name).over(before).alias(f"_carry_{name}"))
-                inside.append(one.over(local).alias(f"_in_{name}"))
-                final.append((F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0))).alias(name))
-            elif kind in ("min", "max"):
-                fn = F.min if kind == "min" else F.max
-                pick = F.least if kind == "min" else F.greatest
-                totals.append(fn(value).alias(name))
-                carried.append(fn(name).over(before).alias(f"_carry_{name}"))
-                inside.append(fn(value).over(local).alias(f"_in_{name}"))
-                final.append(pick(here, carry).alias(name))
-            elif kind == "last":
-                where = F.when(value.isNotNull(), at)
-                pick_one = F.min_by if reverse else F.max_by
-                totals.append(pick_one(value, where).alias(name))
-                carried.append(F.last(name, ignorenulls=True).over(before).alias(f"_carry_{name}"))
-                inside.append(F.last(value, ignorenulls=True).over(local).alias(f"_in_{name}"))
-                final.append(F.coalesce(here, carry).alias(name))
-            else:
-                raise ValueError(f"unknown measure kind {kind!r}")
-        columns = [c for c in self.df.columns if c not in measures]
+        merged = [
+            _KINDS["sum" if kind == "count" else kind](F.col(name)).over(before).alias(f"_carry_{name}")
+            for name, (kind, _) in measures.items()
+        ]
         summary = (
             self.df.filter(F.col(_LO).isNotNull())
             .groupBy(*self.keys, _CHUNK)
             .agg(*totals)
-            .select(*self.keys, _CHUNK, *carried)
-        )
-        rows = self.df.select(*columns, *inside).join(
-            F.broadcast(summary), [*self.keys, _CHUNK], "left"
+            .select(*self.keys, _CHUNK, *merged)
         )
-        return replace(self, df=rows.select(*columns, *final))
+        return through(summary, scratch_dir(self.df.sparkSession, "carried"))
 
     def number(self, name: str = "rn") -> "KeyedOrder":
         """1-based position of each row inside its key."""
@@ -149,6 +177,20 @@ class KeyedOrder:
         return self.df.drop(_LO, _CHUNK)
 
 
+def _last(value: Column) -> Column:
+    return F.last(value, ignorenulls=True)
+
+
+def _added(here: Column, carry: Column) -> Column:
+    return F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0))
+
+
+_KINDS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "last": _last}
+_COMBINE = {
+    "sum": _added, "count": _added, "min": F.least, "max": F.greatest, "last": F.coalesce,
+}
+
+
 def tiles(
     df: DataFrame, position: Column, length: int, before: int = 0, after: int = 0
 ) -> DataFrame:

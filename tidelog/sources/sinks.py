@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidelog.operators.aggregate import latest_rows
 from tidelog.sources.log import offset_bounds, resume_from_offset
-from tidelog.sources.scratch import scratch_dir
+from tidelog.sources.scratch import scratch_dir, through
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -32,12 +32,6 @@ def pipe(df: DataFrame, path: str, checkpoint: str) -> None:
     sink_append(df, path, checkpoint)
 
 
-def through(df: DataFrame, path: str) -> DataFrame:
-    """Write an intermediate table and continue from it, which also cuts the lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
