@@ -53,14 +53,12 @@ def route_direct(
 def topic_regex(pattern: str) -> str:
     """Dot-separated words where ``*`` stands for one word and ``#`` for any number."""
     words = pattern.split(".")
-    if words == ["#"]:
+    if set(words) == {"#"}:
         return "^.*$"
     out, need_dot = "^", False
-    for i, word in enumerate(words):
+    for word in words:
         if word == "#":
             out += r"(\.[^.]+)*" if need_dot else r"([^.]+\.)*"
-            if not need_dot and all(w == "#" for w in words[i:]):
-                return out + "$"
         else:
             out += (r"\." if need_dot else "") + ("[^.]+" if word == "*" else re.escape(word))
             need_dot = True
