@@ -47,20 +47,24 @@ def transform_state(
 ) -> DataFrame:
     """User function with a store per key; it may emit any number of rows per input row.
 
-    ``output`` lists the columns after the keys. Rows without a key are dropped.
+    ``output`` lists the columns after the keys. A state declared as ``<name> binary`` holds a
+    Python object, packed once per micro-batch. Rows without a key are dropped.
     """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     schema = f"{ddl(df, keys)}, {output}"
+    packed = state.endswith(" binary")
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], store: GroupState):
         current = store.get if store.exists else initial
+        if packed and store.exists:
+            current = (pickle.loads(current[0]),)
         rows = pd.concat(list(batches)).sort_values(list(order)).to_dict("records")
         out = []
         for row in rows:
             current, made = step(current, {k: _plain(v) for k, v in row.items()})
             out += [(*key, *m) for m in made]
-        store.update(current)
+        store.update((pickle.dumps(current[0]),) if packed else current)
         names = [*keys, *out_names]
         yield pd.DataFrame(out, columns=names, dtype=object if out else None)
 
@@ -251,8 +255,7 @@ def interval_outer_eager_stream(
     """
 
     def step(state, row):
-        at, waiting = row["_at"], pickle.loads(state[0]) if state[0] else []
-        mine = row["_side"]
+        at, waiting, mine = row["_at"], list(state[0]), row["_side"]
         partners = [w for w in waiting if w[0] != mine and abs(w[1] - at) <= span]
         values = [(row["_v"], w[2]) if mine == 0 else (w[2], row["_v"]) for w in partners]
         if not values:
@@ -260,7 +263,7 @@ def interval_outer_eager_stream(
         waiting.append((mine, at, row["_v"]))
         newest = max(w[1] for w in waiting)
         waiting = [w for w in waiting if w[1] >= newest - 2 * span]
-        return (pickle.dumps(waiting),), values
+        return (waiting,), values
 
     sides = [
         side.select(*keys, F.col(arrival).alias("_arrival"), micros(ts).alias("_at"),
@@ -269,7 +272,7 @@ def interval_outer_eager_stream(
     ]
     return transform_state(
         sides[0].unionByName(sides[1]), keys, step,
-        f"{ddl(left, [left_value])}, {ddl(right, [right_value])}", "waiting binary", (None,),
+        f"{ddl(left, [left_value])}, {ddl(right, [right_value])}", "waiting binary", ([],),
         ["_arrival"],
     )
 
@@ -282,13 +285,12 @@ def cep_stream(
     steps, count, within = runtime_steps(pattern), len(pattern.stages), pattern.within_micros
 
     def step(state, row):
-        runs = pickle.loads(state[0]) if state[0] else []
-        runs, done = nfa.advance(steps, runs, row, row[row_id], row["_at"], within, True)
+        runs, done = nfa.advance(steps, state[0], row, row[row_id], row["_at"], within, True)
         made = [tuple(d.taken.get(i, []) for i in range(count)) for d in done]
-        return (pickle.dumps(runs),), made
+        return (runs,), made
 
     rows = with_conditions(df, pattern).withColumn("_at", micros(ts)).drop(ts)
     output = match_schema(df, pattern, [], row_id)
     return transform_state(
-        rows, partition_by, step, output, "runs binary", (None,), ["_at", row_id]
+        rows, partition_by, step, output, "runs binary", ([],), ["_at", row_id]
     )
