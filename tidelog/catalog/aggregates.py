@@ -104,8 +104,7 @@ def having_filter(i: Inputs) -> DataFrame:
 
 
 def _words(i: Inputs, tokens) -> DataFrame:
-    words = i.documents.select(F.explode(tokens(F.col("text"))).alias("word"))
-    return aggregate.group_count(words, ["word"])
+    return aggregate.word_count(i.documents.select("text"), tokens(F.col("text")))
 
 
 # A trailing run of separators is cut off before splitting: only trailing empty tokens vanish.
@@ -152,9 +151,9 @@ SELECT word, count(*) AS cnt FROM (
   SELECT unnest(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+')) AS word FROM documents)
 WHERE word <> '' GROUP BY 1""")
 def word_count_stream(i: Inputs) -> DataFrame:
-    lines = i.stream("documents")
-    words = lines.select(F.explode(text.non_empty_words(F.col("text"))).alias("word"))
-    return run_available_now(aggregate.group_count(words, ["word"]), "complete", "words")
+    lines = i.stream("documents").select("text")
+    counts = aggregate.word_count(lines, text.non_empty_words(F.col("text")))
+    return run_available_now(counts, "complete", "words")
 
 
 RUNNING_SQL = """

@@ -15,18 +15,30 @@ UNICODE_NON_WORD = r"[^\p{L}\p{N}\p{M}_]+"
 IPV4 = r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.)\d{1,3}"
 
 
-def split_keeping_leading(text: Column, separator: str) -> Column:
-    """Split, dropping trailing empty tokens only; an empty text yields one empty token."""
-    rest = F.regexp_replace(text, f"({separator})+$", "")
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(rest == "", F.array().cast("array<string>"))
-        .otherwise(F.split(rest, separator))
+def split_keeping_leading(text: Column, separators: str) -> Column:
+    """Split at runs of separators, dropping a trailing empty token but no leading one.
+
+    An empty text yields one empty token, a text of separators only yields none. The split is
+    put into an array so that it is evaluated once; cutting the end off with an expression
+    instead would look at long runs of separators once per character.
+    """
+    return _without_trailing(text, F.split(text, separators))
+
+
+def _without_trailing(text: Column, tokens: Column) -> Column:
+    cut = F.transform(
+        F.array(tokens),
+        lambda t: F.when(
+            (F.size(t) > 1) & (F.element_at(t, -1) == ""), F.slice(t, F.lit(1), F.size(t) - 1)
+        ).otherwise(t),
     )
+    return F.flatten(F.filter(cut, lambda t: (text == "") | (F.size(t) > 1) | (t[0] != "")))
 
 
 def space_tokens(text: Column) -> Column:
-    return split_keeping_leading(F.lower(text), SPACE)
+    """Split at single spaces: inner runs of spaces give empty tokens, trailing ones do not."""
+    lower = F.lower(text)
+    return _without_trailing(lower, F.split(F.rtrim(lower), SPACE))
 
 
 def ascii_words(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, micros, tiles
+from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, frame_edge, micros, tiles
 
 SECOND = 1_000_000
 # Fixed value: incomplete composites live for five quarters of their frame.
@@ -86,14 +86,48 @@ def second_buckets(df: DataFrame, keys: Sequence[str], ts: str, value: Column) -
     )
 
 
-def _framed(buckets: DataFrame, keys: Sequence[str], seconds: int, ahead: int = 0):
-    """Buckets cut into tiles, and the window over ``[sec - seconds, sec - 1]``.
+def _framed(
+    buckets: DataFrame,
+    keys: Sequence[str],
+    seconds: int,
+    sums: Mapping[str, Column],
+    ahead: int = 0,
+) -> DataFrame:
+    """Buckets with the edges of their frame ``[sec - seconds, sec - 1]``.
 
-    The newest second is still filling and stays out of its own frame.
+    The newest second is still filling and stays out of its own frame. ``_first``, ``_second``
+    and ``_last`` are the frame's first two buckets and its last one; all are null for an empty
+    frame. Each sum over the frame is a difference of running sums within the tile. ``_d``
+    holds the seconds since the bucket before. Callers keep the ``_own`` rows.
     """
     cut = tiles(buckets, F.col("sec"), 4 * seconds, before=seconds, after=ahead)
     order = Window.partitionBy(*keys, "_tile").orderBy("sec")
-    return cut, order, order.rangeBetween(-seconds, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    step = F.coalesce(F.col("sec") - F.lag("sec").over(order), F.lit(0))
+    at = cut.withColumn("_d", step)
+    for name, value in sums.items():
+        at = at.withColumn(f"_v_{name}", value).withColumn(f"_u_{name}", F.sum(value).over(upto))
+    parts = [F.col(c) for n in sums for c in (f"_v_{n}", f"_u_{n}")]
+    here = F.struct("sec", "v", "_d", *parts)
+    at = at.withColumn("_here", here)
+    at = at.withColumn(
+        "_pair", F.struct(F.col("_here").alias("one"), F.lead("_here").over(order).alias("two"))
+    ).withColumn("_before", F.lag("_here").over(order))
+    at = frame_edge(
+        at, [*keys, "_tile"], "sec", -seconds, F.col("_pair"), "_edge", upward=True
+    )
+    filled = F.col("_edge.one.sec") < F.col("sec")
+    at = (
+        at.withColumn("_first", F.when(filled, F.col("_edge.one")))
+        .withColumn("_second", F.when(F.col("_edge.two.sec") < F.col("sec"), F.col("_edge.two")))
+        .withColumn("_last", F.when(filled, F.col("_before")))
+    )
+    totals = [
+        (F.col(f"_last._u_{n}") - F.col(f"_first._u_{n}") + F.col(f"_first._v_{n}")).alias(n)
+        for n in sums
+    ]
+    kept = [c for c in buckets.columns if c not in sums]
+    return at.select(*kept, "_tile", "_own", "_first", "_second", "_last", *totals)
 
 
 def sliding_sum(
@@ -113,9 +147,9 @@ def sliding_sum(
     )
     late = F.coalesce(micros(ts) < F.col("_newest") - F.lit(seconds * SECOND), F.lit(False))
     kept = seen.result().filter(~late)
-    cut, _, frame = _framed(second_buckets(kept, keys, ts, value), keys, seconds)
-    summed = cut.withColumn("window_sum", F.coalesce(F.sum("v").over(frame), F.lit(0.0)))
-    return summed.filter("_own").select(*keys, "sec", "window_sum")
+    buckets = second_buckets(kept, keys, ts, value.cast("double"))
+    framed = _framed(buckets, keys, seconds, {"window_sum": F.col("v")}).filter("_own")
+    return framed.select(*keys, "sec", F.coalesce("window_sum", F.lit(0.0)).alias("window_sum"))
 
 
 def sequence_event(
@@ -126,17 +160,15 @@ def sequence_event(
     Each arrival reports every event of its frame with the frame's size; a later report
     replaces an earlier one, so each event carries the size of its last report.
     """
-    buckets = second_buckets(complete, keys, ts, F.lit(1).cast("bigint")).drop("v")
+    buckets = second_buckets(complete, keys, ts, F.lit(1).cast("bigint"))
     # An event is reported by arrivals up to one frame later, each looking one frame back.
-    cut, order, frame = _framed(buckets, keys, seconds, ahead=seconds)
-    sized = cut.withColumn("_size", F.sum("n").over(frame))
-    fired = F.when(F.col("_size") >= limit, F.col("_size"))
-    last = F.last(fired, ignorenulls=True).over(order.rangeBetween(1, seconds))
-    reported = (
-        sized.withColumn("size", last)
-        .filter(F.col("_own") & F.col("size").isNotNull())
-        .select(*keys, "sec", "size")
-    )
+    sized = _framed(buckets, keys, seconds, {"_size": F.col("v")}, ahead=seconds)
+    fired = F.when(F.col("_size") >= limit, F.struct("sec", "_size"))
+    reported = frame_edge(
+        sized.select(*keys, "_tile", "_own", "sec", "_size"),
+        [*keys, "_tile"], "sec", seconds, fired, "_report", upward=False,
+    ).filter(F.col("_own") & (F.col("_report.sec") > F.col("sec")))
+    reported = reported.select(*keys, "sec", F.col("_report._size").alias("size"))
     sec = F.floor(micros(ts) / F.lit(SECOND))
     return complete.withColumn("sec", sec).join(reported, [*keys, "sec"])
 
@@ -149,21 +181,17 @@ def time_weighted_moments(buckets: DataFrame, keys: Sequence[str], seconds: int)
     second bucket over their distance. Later buckets add value times distance. Sums over the
     frame minus the special first buckets give this without collecting the frame.
     """
-    cut, order, frame = _framed(buckets, keys, seconds)
-    k = F.coalesce(F.col("sec") - F.lag("sec").over(order), F.lit(0))
-    at = cut.withColumn("_k", k).withColumn("_b", F.struct("sec", "v", F.col("_k").alias("k")))
-    at = at.select(
-        "*",
-        F.first("_b").over(frame).alias("_b1"),
-        F.nth_value("_b", 2).over(frame).alias("_b2"),
-        F.max("sec").over(frame).alias("_last"),
-        F.sum(F.col("v") * F.col("_k")).over(frame).alias("_s1"),
-        F.sum(F.col("v") * F.col("v") * F.col("_k")).over(frame).alias("_s2"),
-        F.sum("v").over(frame).alias("window_sum"),
-    ).filter(F.col("_own") & F.col("_b1").isNotNull())
-    v1, k1, v2, k2 = (F.col(c) for c in ("_b1.v", "_b1.k", "_b2.v", "_b2.k"))
-    gap = F.col("_b2.sec") - F.col("_b1.sec")
-    alone, blend = F.col("_b2").isNull(), v1 > 0
+    weighted = {
+        "_s1": F.col("v") * F.col("_d"),
+        "_s2": F.col("v") * F.col("v") * F.col("_d"),
+        "window_sum": F.col("v"),
+    }
+    at = _framed(buckets, keys, seconds, weighted).filter(
+        F.col("_own") & F.col("_first").isNotNull()
+    )
+    v1, k1, v2, k2 = (F.col(c) for c in ("_first.v", "_first._d", "_second.v", "_second._d"))
+    gap = F.col("_second.sec") - F.col("_first.sec")
+    alone, blend = F.col("_second").isNull(), v1 > 0
     sum1 = (
         F.when(alone, v1)
         .when(blend, (v1 + v2) / 2 * (gap + 1) + F.col("_s1") - v1 * k1 - v2 * k2)
@@ -175,7 +203,7 @@ def time_weighted_moments(buckets: DataFrame, keys: Sequence[str], seconds: int)
         .when(blend, (v1 * v1 + v2 * v2) * half + F.col("_s2") - v1 * v1 * k1 - v2 * v2 * k2)
         .otherwise(v1 * v1 + F.col("_s2") - v1 * v1 * k1)
     )
-    n = F.lit(1) + F.col("_last") - F.col("_b1.sec")
+    n = F.lit(1) + F.col("_last.sec") - F.col("_first.sec")
     mean = sum1 / n
     return at.select(
         *keys, "sec", n.alias("n"), mean.alias("mean"),
@@ -205,13 +233,12 @@ def value_stdev(
 ) -> DataFrame:
     """Events whose value lies more than ``threshold`` deviations from the frame's mean, given
     a positive deviation and more than two weighted points."""
-    moments = (
-        time_weighted_moments(second_buckets(events, keys, ts, F.col(value)), keys, seconds)
-        .filter("variance > 0 AND n > 2")
-        .drop("window_sum")
-    )
+    buckets = second_buckets(events, keys, ts, F.col(value))
+    moments = time_weighted_moments(buckets, keys, seconds).drop("window_sum")
     sec = F.floor(micros(ts) / F.lit(SECOND))
     scored = events.withColumn("sec", sec).join(moments, [*keys, "sec"])
-    return scored.withColumn(
-        "deviation", F.abs(F.col(value) - F.col("mean")) / F.sqrt("variance")
-    ).filter(F.col("deviation") > threshold)
+    # All conditions sit in one expression over both sides, so the moments are computed once
+    # and not again inside a filter pushed below the join.
+    usable = (F.col("variance") > 0) & (F.col("n") > 2)
+    deviation = F.when(usable, F.abs(F.col(value) - F.col("mean")) / F.sqrt("variance"))
+    return scored.withColumn("deviation", deviation).filter(F.col("deviation") > threshold)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.plans.parallel import widen
+
 # The announcement format, its flag letters and title prefixes.
 EDIT_LINE = r"\[\[(.*)\]\]\s(.*)\s(.*)\s\*\s(.*)\s\*\s\(\+?(.\d*)\)\s(.*)"
 FLAG_NEW, FLAG_MINOR, FLAG_UNPATROLLED, FLAG_BOT = "N", "M", "!", "B"
@@ -13,19 +15,20 @@ SPECIAL_PREFIX, TALK_PREFIX = "Special:", "Talk:"
 
 def wiki_parse(df: DataFrame, line: str) -> DataFrame:
     """Ten typed fields per announcement; lines of another form are dropped."""
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(line, EDIT_LINE, i)
-
-    title, flags = F.col("title"), F.col("_flags")
+    # The expression runs once per line: its groups are joined by a separator and split again,
+    # and a line without a match stays in one piece.
+    groups = "\u0001".join(f"${g}" for g in range(1, 7))
+    joined = F.regexp_replace(line, f"^.*?{EDIT_LINE}$", groups)
+    pieces = F.filter(F.array(F.split(joined, "\u0001")), lambda p: F.size(p) == 6)
+    title, flags = F.col("title"), F.col("_p")[1]
     return (
-        df.filter(F.col(line).rlike(EDIT_LINE))
-        .withColumn("title", part(1))
-        .withColumn("_flags", part(2))
-        .withColumn("diff_url", part(3))
-        .withColumn("user", part(4))
-        .withColumn("byte_diff", part(5).try_cast("int"))
-        .withColumn("summary", part(6))
+        widen(df)
+        .withColumn("_p", F.explode(pieces))
+        .withColumn("title", F.col("_p")[0])
+        .withColumn("diff_url", F.col("_p")[2])
+        .withColumn("user", F.col("_p")[3])
+        .withColumn("byte_diff", F.col("_p")[4].try_cast("int"))
+        .withColumn("summary", F.col("_p")[5])
         .filter(F.col("byte_diff").isNotNull())
         .withColumn("is_new", flags.contains(FLAG_NEW))
         .withColumn("is_minor", flags.contains(FLAG_MINOR))
@@ -37,7 +40,7 @@ def wiki_parse(df: DataFrame, line: str) -> DataFrame:
             .when(title.startswith(TALK_PREFIX), "TALK")
             .otherwise("EDIT"),
         )
-        .drop("_flags")
+        .drop("_p")
     )
 
 

@@ -207,3 +207,32 @@ def tiles(
     )
     home = F.floor(position / F.lit(length))
     return df.withColumn("_tile", F.explode(span)).withColumn("_own", F.col("_tile") == home)
+
+
+def frame_edge(
+    df: DataFrame,
+    group: Sequence[str],
+    position: str,
+    offset: int,
+    value: Column,
+    name: str,
+    *,
+    upward: bool,
+) -> DataFrame:
+    """For each row the ``value`` of the first row at or above ``position + offset``, or of the
+    last row at or below it. Rows with a null value are passed over.
+
+    Each row also enters the order as a question at the place it asks about, so one sorted pass
+    answers all of them. A range frame would visit every row of the frame for every row.
+    """
+    asked = df.withColumn("_ask", F.explode(F.array(F.lit(False), F.lit(True))))
+    place = F.col(position) + F.when(F.col("_ask"), offset).otherwise(0)
+    asked = asked.withColumn("_place", place)
+    along = F.col("_place").desc() if upward else F.col("_place").asc()
+    w = (
+        Window.partitionBy(*group)
+        .orderBy(along, F.col("_ask").asc())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    seen = F.last(F.when(~F.col("_ask"), value), ignorenulls=True).over(w)
+    return asked.withColumn(name, seen).filter("_ask").drop("_ask", "_place")

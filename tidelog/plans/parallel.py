@@ -1,0 +1,19 @@
+"""Giving heavy per-row work enough tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread the rows of a frame that has fewer partitions than the cluster has cores.
+
+    A file with one row group is read by one task, and costly expressions behind it would run
+    on one core. A large table has more partitions than cores and is left as it is.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
