@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, rows
 from tidelog.catalog import REGISTRY
-from tidelog.operators import aggregate, batching, joins, windows
+from tidelog.operators import aggregate, batching, dedup, joins, windows
 from tidelog.operators.cep import Pattern, match_pattern
 from tidelog.operators.detectors import sliding_sum
 from tidelog.plans.ordered import KeyedOrder, micros, tiles
@@ -78,6 +78,21 @@ def test_cut_hot_keys_give_the_same_rows(skewed, name):
     assert rows(cut, *sorted(whole.columns)) == rows(whole, *sorted(whole.columns))
 
 
+def test_dedup_out_of_order_against_brute_force(spark):
+    rng = random.Random(4)
+    data = [(n, rng.choice("aaab"), rng.randint(0, 300) * 5) for n in range(150)]
+    df = spark.createDataFrame([(n, k, at(t)) for n, k, t in data], "n bigint, k string, ts timestamp")
+    for span in (40, 55):
+        half = span // 2
+        expected = [
+            (n,) for n, k, t in data
+            if not any(kk == k and m < n and t - half <= tt <= t + span - half for m, kk, tt in data)
+        ]
+        # An odd span is halved in whole microseconds.
+        got = dedup.dedup_window(df, ["k"], "ts", ["n"], span * 1_000_000, in_order=False)
+        assert sorted(rows(got, "n")) == expected
+
+
 def test_hot_chunks_stay_small(skewed):
     keyed = KeyedOrder.of(skewed, ["k"], ["n"], F.col("n"), 50)
     sizes = keyed.df.groupBy("k", "_chunk").count().agg(F.max("count")).collect()[0][0]

@@ -104,7 +104,7 @@ def having_filter(i: Inputs) -> DataFrame:
 
 
 def _words(i: Inputs, tokens) -> DataFrame:
-    return aggregate.word_count(i.documents.select("text"), tokens(F.col("text")))
+    return aggregate.word_count(i.wide("documents").select("text"), tokens(F.col("text")))
 
 
 # A trailing run of separators is cut off before splitting: only trailing empty tokens vanish.

@@ -248,7 +248,7 @@ def wiki_lines(i: Inputs) -> DataFrame:
         f"'[[' || {WIKI_TITLE} || ']] ' || {WIKI_FLAGS} || ' http://d/' || event_id || ' * U' || user_id "
         f"|| ' * (+' || event_id % 90 || ') note ' || event_type END"
     )
-    return i.events.select("event_id", F.expr(line).alias("line"))
+    return i.wide("events").select("event_id", F.expr(line).alias("line"))
 
 
 @query("wiki_parse", f"""WITH {WIKI_SQL}

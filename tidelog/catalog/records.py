@@ -61,7 +61,7 @@ SELECT doc_id AS key, w AS value FROM (
   SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), lambda x: x <> '')) AS w
   FROM documents)""")
 def flat_map_values(i: Inputs) -> DataFrame:
-    docs = i.documents.select(F.col("doc_id").alias("key"), F.col("text").alias("value"))
+    docs = i.wide("documents").select(F.col("doc_id").alias("key"), F.col("text").alias("value"))
     return records.flat_map_values(docs, text.non_empty_words(F.col("value")))
 
 

@@ -29,6 +29,9 @@ class Inputs:
             raise AttributeError(name)
         return tables.load(self.spark, self.sf_dir, name)
 
+    def wide(self, name: str) -> DataFrame:
+        return tables.load_wide(self.spark, self.sf_dir, name)
+
     def stream(self, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
         return tables.load_stream(self.spark, self.sf_dir, name, max_files_per_trigger)
 

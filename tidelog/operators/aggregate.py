@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, tiles
-from tidelog.plans.parallel import widen
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> DataFrame:
@@ -52,7 +51,7 @@ def finish_avg(parts: DataFrame) -> DataFrame:
 
 def word_count(df: DataFrame, tokens: Column, name: str = "word") -> DataFrame:
     """Count the tokens of all rows; ``tokens`` is an array expression over the frame."""
-    return group_count(widen(df).select(F.explode(tokens).alias(name)), [name])
+    return group_count(df.select(F.explode(tokens).alias(name)), [name])
 
 
 def having_filter(aggregated: DataFrame, predicate: Column) -> DataFrame:

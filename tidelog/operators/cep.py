@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import nfa
@@ -144,58 +145,28 @@ def match_pattern(
 def _match_next(df, pattern, keys, ts, row_id, rows_per_chunk) -> DataFrame:
     """Build matches from the last stage backwards: a row of stage k points at the match that
     begins on the following row of stage k + 1."""
-    order = [ts, row_id]
-    here = F.struct(F.array(row_id).alias("ids"), F.col(ts).alias("end"))
     stages = pattern.stages
-    columns = [*keys, ts, row_id, *[s.condition().alias(f"_p{i}") for i, s in enumerate(stages)]]
-    rows = df.select(*columns)
-    if pattern.within_micros is None:
-        chain = KeyedOrder.of(rows, keys, order, micros(ts), rows_per_chunk)
-
-        def following(value: Column) -> Column:
-            nonlocal chain
-            chain = chain.running({"_next": ("last", value)}, inclusive=False, reverse=True)
-            return F.col("_next")
-
-        def keep(name: str, value: Column) -> None:
-            nonlocal chain
-            chain = chain.with_column(name, value)
-    else:
-        reach = pattern.within_micros
-        cut = tiles(rows, micros(ts), 4 * reach, after=reach)
-        w = (
-            Window.partitionBy(*keys, "_tile")
-            .orderBy(*[F.col(c).desc() for c in order])
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-
-        def following(value: Column) -> Column:
-            nonlocal cut
-            cut = cut.withColumn("_next", F.last(value, ignorenulls=True).over(w))
-            return F.col("_next")
-
-        def keep(name: str, value: Column) -> None:
-            nonlocal cut
-            cut = cut.withColumn(name, value)
-
-    keep("_m", F.when(F.col(f"_p{len(stages) - 1}"), here))
+    flags = [s.condition().alias(f"_p{i}") for i, s in enumerate(stages)]
+    rows = df.select(*keys, ts, row_id, *flags)
+    chain = KeyedOrder.of(rows, keys, [ts, row_id], micros(ts), rows_per_chunk)
+    here = F.struct(F.array(row_id).alias("ids"), F.col(ts).alias("end"))
+    chain = chain.with_column("_m", F.when(F.col(f"_p{len(stages) - 1}"), here))
     for i in range(len(stages) - 2, -1, -1):
+        # A contiguous stage asks the next row, a skipping stage the next row that fits it. The
+        # box tells a row without a match from no row.
         boxed = F.struct(F.col("_m").alias("m"))
         if stages[i + 1].strategy == SKIP_NEXT:
             boxed = F.when(F.col(f"_p{i + 1}"), boxed)
-        rest = following(boxed)["m"]
+        chain = chain.running({"_next": ("last", boxed)}, inclusive=False, reverse=True)
+        rest = F.col("_next.m")
         longer = F.struct(
             F.concat(F.array(row_id), rest["ids"]).alias("ids"), rest["end"].alias("end")
         )
-        keep("_m", F.when(F.col(f"_p{i}") & rest.isNotNull(), longer))
-    if pattern.within_micros is None:
-        found = chain.result().filter(F.col("_m").isNotNull())
-    else:
-        found = cut.filter(
-            F.col("_own")
-            & F.col("_m").isNotNull()
-            & (micros(F.col("_m.end")) - micros(ts) <= pattern.within_micros)
-        )
+        chain = chain.with_column("_m", F.when(F.col(f"_p{i}") & rest.isNotNull(), longer))
+    found = chain.result().filter(F.col("_m").isNotNull())
+    if pattern.within_micros is not None:
+        span = micros(F.col("_m.end")) - micros(ts)
+        found = found.filter(span <= pattern.within_micros)
     return found.select(
         *keys, *[F.array(F.col("_m.ids")[i]).alias(s.name) for i, s in enumerate(stages)]
     )
@@ -252,6 +223,10 @@ def _match_runs(df, pattern, keys, ts, row_id) -> DataFrame:
         raise ValueError("repeated stages and running state need within()")
     reach = pattern.within_micros
     prepared = with_conditions(df, pattern).withColumn("_at", micros(ts))
+    if all(s.strategy != STRICT for s in pattern.stages[1:]):
+        # Without contiguity a row that fits no stage changes nothing.
+        fits = [F.col(f"_p{i}") for i in range(len(pattern.stages))]
+        prepared = prepared.filter(reduce(lambda a, b: a | b, fits))
     cut = tiles(prepared, F.col("_at"), 4 * reach, after=reach).drop(ts)
     group = [*keys, "_tile"]
     ordered = cut.repartition(*group).sortWithinPartitions(*group, "_at", row_id)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, micros, tiles
+from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, frame_edge, micros, tiles
 
 
 def dedup_window(
@@ -39,17 +39,43 @@ def dedup_window(
         repeat = F.coalesce(F.col("_last") >= at - F.lit(half), F.lit(False))
         fresh = seen.result().filter(~repeat).drop("_last")
     else:
-        rank = F.struct(*arrival)
-        cut = tiles(known.withColumn("_at", at), F.col("_at"), 4 * span, half, span - half)
-        frame = Window.partitionBy(*ids, "_tile").orderBy("_at").rangeBetween(-half, span - half)
-        fresh = (
-            cut.withColumn("_first", F.min(rank).over(frame))
-            .filter(F.col("_own") & ~(F.col("_first") < rank))
-            .drop("_at", "_tile", "_own", "_first")
-        )
+        fresh = _first_in_frame(known.withColumn("_at", at), ids, arrival, span, half)
     return fresh.unionByName(unknown)
 
 
+def _first_in_frame(
+    known: DataFrame, ids: Sequence[str], arrival: Sequence[str], span: int, half: int
+) -> DataFrame:
+    """Rows that arrived first within ``[_at - half, _at + span - half]``.
+
+    The frame is as long as a block of ``span``, so it always ends in the block after the one
+    it starts in. Its earliest arrival is the smaller of two running minima: from its first row
+    to the end of the first block, and from the start of the second block to its last row.
+    """
+    rank, rest = F.struct(*arrival), span - half
+    cut = tiles(known, F.col("_at"), 4 * span, half, rest)
+    cut = cut.withColumn("_block", F.floor(F.col("_at") / F.lit(span)))
+    block = Window.partitionBy(*ids, "_tile", "_block")
+    # Range frames: rows of one instant all see each other.
+    upto = Window.unboundedPreceding, 0
+    low = F.min(rank).over(block.orderBy(F.col("_at").desc()).rangeBetween(*upto))
+    high = F.min(rank).over(block.orderBy(F.col("_at").asc()).rangeBetween(*upto))
+    group = [*ids, "_tile"]
+    edges = cut.withColumn("_low", F.struct("_block", low.alias("first"))).withColumn(
+        "_high", F.struct("_block", high.alias("first"))
+    )
+    edges = frame_edge(edges, group, "_at", -half, F.col("_low"), "_from", upward=True)
+    edges = frame_edge(edges, group, "_at", rest, F.col("_high"), "_to", upward=False)
+    start = F.floor((F.col("_at") - F.lit(half)) / F.lit(span))
+    first = F.least(
+        F.when(F.col("_from._block") == start, F.col("_from.first")),
+        F.when(F.col("_to._block") == start + 1, F.col("_to.first")),
+    )
+    return edges.filter(F.col("_own") & ~(first < rank)).select(
+        *[c for c in known.columns if c != "_at"]
+    )
+
+
 def dedup_watermark(df: DataFrame, ids: Sequence[str], ts: str, span: str) -> DataFrame:
     """Streaming built-in: first row per id within the watermark delay. Unlike
     ``dedup_window`` repeats do not extend the memory."""

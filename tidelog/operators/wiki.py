@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.plans.parallel import widen
-
 # The announcement format, its flag letters and title prefixes.
 EDIT_LINE = r"\[\[(.*)\]\]\s(.*)\s(.*)\s\*\s(.*)\s\*\s\(\+?(.\d*)\)\s(.*)"
 FLAG_NEW, FLAG_MINOR, FLAG_UNPATROLLED, FLAG_BOT = "N", "M", "!", "B"
@@ -22,8 +20,7 @@ def wiki_parse(df: DataFrame, line: str) -> DataFrame:
     pieces = F.filter(F.array(F.split(joined, "\u0001")), lambda p: F.size(p) == 6)
     title, flags = F.col("title"), F.col("_p")[1]
     return (
-        widen(df)
-        .withColumn("_p", F.explode(pieces))
+        df.withColumn("_p", F.explode(pieces))
         .withColumn("title", F.col("_p")[0])
         .withColumn("diff_url", F.col("_p")[2])
         .withColumn("user", F.col("_p")[3])

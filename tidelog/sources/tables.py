@@ -37,6 +37,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
+def load_wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Batch scan for costly work per row.
+
+    A file with one row group is read by one task, and everything up to the next shuffle would
+    run on one core. A table with at least as many partitions as cores is left as it is.
+    """
+    df = load(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def load_stream(
     spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
