@@ -14,7 +14,7 @@ from tidelog.catalog.registry import (
     query,
 )
 from tidelog.functions import text
-from tidelog.operators import aggregate, sketch, topn
+from tidelog.operators import aggregate, custom, sketch, topn
 from tidelog.sources.sinks import run_available_now
 from tidelog.streaming import stateful
 
@@ -161,6 +161,31 @@ SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY
 FROM events"""
 
 
+@query("user_mapper", "SELECT event_id, event_type || '!' AS value FROM events")
+def user_mapper(i: Inputs) -> DataFrame:
+    """A vectorised Python function as value mapper."""
+    rows = i.events.select("event_id", "event_type")
+    return custom.map_values_with(rows, "event_type", lambda s: s + "!", "string", "value").select(
+        "event_id", "value"
+    )
+
+
+@query("user_aggregate", """
+SELECT user_id, count(*) AS cnt, max(event_id) - min(event_id) AS reach,
+       CAST(max(event_id) AS BIGINT) AS high, min(event_id) AS low FROM events GROUP BY 1""")
+def user_aggregate(i: Inputs) -> DataFrame:
+    """Initializer, adder and merger written in Python: count, lowest and highest id."""
+    totals = custom.aggregate_with(
+        i.events.select("user_id", "event_id"),
+        ["user_id"],
+        lambda: (0, 1 << 62, -1),
+        lambda s, row: (s[0] + 1, min(s[1], row["event_id"]), max(s[2], row["event_id"])),
+        lambda a, b: (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])),
+        [("cnt", "bigint"), ("low", "bigint"), ("high", "bigint")],
+    )
+    return totals.withColumn("reach", F.col("high") - F.col("low"))
+
+
 @query("running_count", RUNNING_SQL)
 def running_count(i: Inputs) -> DataFrame:
     return aggregate.running_count(

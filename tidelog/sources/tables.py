@@ -48,10 +48,14 @@ def load_wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+# Keeps the rows of one key within what a task can sort, whatever the table's size.
+BYTES_PER_TRIGGER = "1g"
+
+
 def load_stream(
     spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same table as an unbounded stream of files."""
+    """The same table as an unbounded stream of files, a bounded number of bytes at a time."""
     # A glob accepts a table stored as one file as well as one stored as a folder of parts.
     path = f"{sf_dir.rstrip('/')}/{{{name}}}.parquet"
     return read_stream(prepare(spark), path, SCHEMAS[name], max_files_per_trigger)
@@ -67,6 +71,8 @@ def read_stream(
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BYTES_PER_TRIGGER)
     return reader.parquet(path)
 
 
