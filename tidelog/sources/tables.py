@@ -49,7 +49,7 @@ def load_wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Keeps the rows of one key within what a task can sort, whatever the table's size.
-BYTES_PER_TRIGGER = "1g"
+BYTES_PER_TRIGGER = 1 << 30
 
 
 def load_stream(
