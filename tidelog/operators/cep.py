@@ -132,6 +132,8 @@ def match_pattern(
     A new match may begin on every row while others are open.
     """
     pattern.check()
+    for key in partition_by:
+        df = df.filter(F.col(key).isNotNull())
     stages = pattern.stages
     plain = all(s.cardinality == ONE and s.relational and not s.folds for s in stages)
     later = {s.strategy for s in stages[1:]}
@@ -227,24 +229,31 @@ def _match_runs(df, pattern, keys, ts, row_id) -> DataFrame:
         # Without contiguity a row that fits no stage changes nothing.
         fits = [F.col(f"_p{i}") for i in range(len(pattern.stages))]
         prepared = prepared.filter(reduce(lambda a, b: a | b, fits))
-    cut = tiles(prepared, F.col("_at"), 4 * reach, after=reach).drop(ts)
     group = [*keys, "_tile"]
+    cut = tiles(prepared, F.col("_at"), 4 * reach, after=reach).drop(ts)
+    if all(s.relational and not s.folds for s in pattern.stages):
+        flags = [f"_p{i}" for i in range(len(pattern.stages))]
+        cut = cut.select(*group, "_own", "_at", row_id, *flags)
     ordered = cut.repartition(*group).sortWithinPartitions(*group, "_at", row_id)
-    steps, names, within = runtime_steps(pattern), [s.name for s in pattern.stages], reach
+    steps, names = runtime_steps(pattern), [s.name for s in pattern.stages]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, runs = None, []
         for pdf in batches:
             found = []
-            for row in pdf.to_dict("records"):
-                at_group = tuple(row[k] for k in group)
+            columns = {c: pdf[c].tolist() for c in pdf.columns}
+            begins = (pdf["_own"] & pdf["_p0"]).tolist()
+            for i, at_group in enumerate(zip(*[columns[c] for c in group])):
                 if at_group != current:
                     current, runs = at_group, []
+                if not runs and not begins[i]:
+                    continue
+                row = {c: values[i] for c, values in columns.items()}
                 runs, done = nfa.advance(
-                    steps, runs, row, row[row_id], row["_at"], within, row["_own"]
+                    steps, runs, row, row[row_id], row["_at"], reach, begins[i]
                 )
                 found += [
-                    [*at_group[:-1], *[d.taken.get(i, []) for i in range(len(names))]]
+                    [*at_group[:-1], *[d.taken.get(k, []) for k in range(len(names))]]
                     for d in done
                 ]
             yield pd.DataFrame(found, columns=[*keys, *names])

@@ -34,7 +34,7 @@ def dedup_window(
     at = micros(ts)
     if in_order:
         seen = KeyedOrder.of(known, ids, [ts, *arrival], at, rows_per_chunk).running(
-            {"_last": ("last", at)}, inclusive=False
+            {"_last": ("max", at)}, inclusive=False
         )
         repeat = F.coalesce(F.col("_last") >= at - F.lit(half), F.lit(False))
         fresh = seen.result().filter(~repeat).drop("_last")

@@ -63,7 +63,7 @@ def fraud_check(
     amount = (F.col("quantity") * F.col("price")).cast("decimal(28,4)")
     created = _created(orders).withColumn("_amount", amount)
     seen = KeyedOrder.of(created, ["customer_id"], ["ts", "id"], at, rows_per_chunk).running(
-        {"_last": ("last", at)}, inclusive=False
+        {"_last": ("max", at)}, inclusive=False
     )
     seen = seen.running({"_total": ("sum", F.col("_amount"))})
     opens = F.col("_last").isNull() | (F.col("_last") < at - F.lit(gap))

@@ -200,8 +200,11 @@ def sessionize(
     """Number each row's session from 0. A row more than ``gap`` after the row that arrived
     before it opens the next session."""
     at = micros(ts)
+    # In time order the newest instant so far is that of the row before, and a maximum is
+    # cheaper to carry between chunks than the last row.
+    kind = "max" if arrival[0] == ts else "last"
     with_last = KeyedOrder.of(df, keys, arrival, position, rows_per_chunk).running(
-        {"_last": ("last", at)}, inclusive=False
+        {"_last": (kind, at)}, inclusive=False
     )
     opens = F.when(F.col("_last") < at - F.lit(gap), F.lit(1)).otherwise(F.lit(0))
     numbered = with_last.with_column("_opens", opens).running(

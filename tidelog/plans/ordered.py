@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidelog.sources.scratch import scratch_dir, through
 
-ROWS_PER_CHUNK = 4_000_000
+ROWS_PER_CHUNK = 10_000_000
 # About 100 bytes a row: far below what a task can hold.
 BROADCAST_ROWS = 500_000
 
