@@ -33,13 +33,13 @@ def texts(spark, lines):
     return spark.createDataFrame(list(enumerate(lines)), "n bigint, value string")
 
 
-LINES = ["Hello Kafka Streams", "All streams lead to Kafka", "Join Kafka Summit"]
+LINES = ["Hello Spark Streams", "All streams lead to Spark", "Join Spark Summit"]
 
 
 def test_word_count_unicode(spark):
     lines = texts(spark, [*LINES, "И теперь пошли русские слова"])
     words = lines.select(F.explode(text.unicode_words(F.col("value"))).alias("w"))
-    expected = dict(hello=1, all=1, streams=2, lead=1, to=1, join=1, kafka=3, summit=1)
+    expected = dict(hello=1, all=1, streams=2, lead=1, to=1, join=1, spark=3, summit=1)
     expected |= {"и": 1, "теперь": 1, "пошли": 1, "русские": 1, "слова": 1}
     assert dict(rows(aggregate.group_count(words, ["w"]))) == expected
 
@@ -202,9 +202,9 @@ def test_fanout_and_corrupt_input(spark):
 
 
 def test_state_counts(spark):
-    lines = texts(spark, ["hello", "world", "world", "hello world", "all streams lead to kafka", "streams", "kafka streams"])
+    lines = texts(spark, ["hello", "world", "world", "hello world", "all streams lead to spark", "streams", "spark streams"])
     words = lines.select(F.explode(text.space_tokens(F.col("value"))).alias("w"))
-    assert dict(rows(aggregate.group_count(words, ["w"]))) == dict(all=1, hello=2, kafka=2, lead=1, streams=3, to=1, world=3)
+    assert dict(rows(aggregate.group_count(words, ["w"]))) == dict(all=1, hello=2, spark=2, lead=1, streams=3, to=1, world=3)
 
 
 ORDER = "id string, customer_id bigint, state string, product string, quantity bigint, price double, ts timestamp"

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # The token separators of the word-count variants.
 SPACE = " "
-ASCII_NON_WORD = r"[^a-zA-Z0-9_]+"
+ASCII_NON_WORD = r"\W+"
 UNICODE_NON_WORD = r"[^\p{L}\p{N}\p{M}_]+"
 
 # Fixed value: an IPv4 address; the last octet is replaced.

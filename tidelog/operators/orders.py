@@ -107,13 +107,10 @@ def inventory_reserve(
     named = stock.select(F.col(product), F.col(available).cast("bigint").alias("_stock"))
     asked = orders.join(named, product).withColumn("_q", F.col(quantity).cast("bigint"))
     fits = F.when(F.col("_q").between(0, F.col("_stock")), F.col("_q"))
+    keyed = KeyedOrder.of(asked, [product], order, position, rows_per_chunk)
+    sums = keyed.running({"_n": ("count", F.lit(1)), "_sum": ("sum", fits)}).result()
     # Written once: the steps below read it several times.
-    numbered = through(
-        KeyedOrder.of(asked, [product], order, position, rows_per_chunk)
-        .running({"_n": ("count", F.lit(1)), "_sum": ("sum", fits)})
-        .result(),
-        scratch_dir(orders.sparkSession, "reserve"),
-    )
+    numbered = through(sums, scratch_dir(orders.sparkSession, "reserve"))
     # The first order that does not fit, and what is left there. Both are one row per product.
     broke = (
         numbered.filter(fits.isNotNull() & (F.col("_sum") > F.col("_stock")))
@@ -125,11 +122,14 @@ def inventory_reserve(
     prefix = F.col("_from").isNull() | (F.col("_n") < F.col("_from"))
     free = F.col("_q") == 0
     candidate = ~prefix & (F.col("_q") > 0) & (F.col("_q") <= F.col("_left"))
-    ranked = KeyedOrder.of(
-        staged.filter(candidate).select(product, "_q", "_n", "_left"),
-        [product, "_q"], ["_n"], F.col("_n"), rows_per_chunk,
-    ).number("_rank")
-    short = ranked.result().filter(F.col("_rank") <= F.expr("_left div _q"))
+    candidates = staged.filter(candidate).select(product, "_q", "_n", "_left")
+    by_quantity = ((product, "_q"), ("_n",))
+    if keyed.cut:
+        lines = KeyedOrder.of(candidates, *by_quantity, F.col("_n"), rows_per_chunk)
+    else:
+        # Parts of a product cannot be hot when no product is.
+        lines = KeyedOrder(candidates, *by_quantity, False)
+    short = lines.number("_rank").result().filter(F.col("_rank") <= F.expr("_left div _q"))
     waiting = short.groupBy(product).agg(
         F.first("_left").alias("_left"),
         F.sort_array(F.collect_list(F.struct("_n", "_q"))).alias("_rows"),

@@ -90,7 +90,7 @@ def read_broker(
 ) -> DataFrame:
     """Subscribe to broker topics by list, pattern or explicit partitions.
 
-    Needs Spark's Kafka connector on the class path. TLS and SASL are plain ``options``.
+    Needs Spark's broker connector on the class path. TLS and SASL are plain ``options``.
     """
     chosen = {"subscribe": subscribe, "subscribePattern": pattern, "assign": assign}
     given = {k: v for k, v in chosen.items() if v is not None}
