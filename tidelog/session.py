@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -22,9 +26,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers import it to run patterns and per-key state, also where it is not installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidelog-"), "tidelog.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def build_session(
     app: str = "tidelog",
     master: str | None = None,
@@ -39,4 +67,4 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for name, value in {**RUNTIME_SETTINGS, **(extra or {})}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
