@@ -6,12 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, spread
-from tidelog.catalog import REGISTRY
 from tidelog.functions import text
-from tidelog.operators import aggregate, dedup, joins, orders, records, routing, windows
+from tidelog.operators import aggregate, dedup, joins, records, routing, windows
 from tidelog.operators.cep import Pattern, match_pattern
-from tidelog.plans.ordered import micros
-from tidelog.sources import log, sinks, tables
+from tidelog.sources import sinks, tables
 from tidelog.sources.scratch import scratch_dir
 from tidelog.streaming import stateful
 

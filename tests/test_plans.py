@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, rows
 from tidelog.catalog import REGISTRY
-from tidelog.operators import aggregate, batching, dedup, joins, windows
+from tidelog.operators import batching, dedup, joins, windows
 from tidelog.operators.cep import Pattern, match_pattern
 from tidelog.operators.detectors import sliding_sum
-from tidelog.plans.ordered import KeyedOrder, micros, tiles
+from tidelog.plans.ordered import KeyedOrder, tiles
 from tidelog.sources import log
 
 

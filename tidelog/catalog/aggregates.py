@@ -20,7 +20,6 @@ from tidelog.streaming import stateful
 
 USERS = ["user_id"]
 ORDER = ["event_id"]
-AT = F.col
 
 
 @query("group_count", "SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL")

@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder
-
 
 def filter_tags(df: DataFrame, subscription: str, column: str = "tags") -> DataFrame:
     """Keep rows whose tag is named in ``a || b``; ``*`` keeps all."""
@@ -121,9 +119,7 @@ def ordered_queue(
     return placed.repartition(queues, "queue").sortWithinPartitions("queue", *order)
 
 
-def key_partition_changes(
-    log: DataFrame, arrival: str = "arrival", rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame:
+def key_partition_changes(log: DataFrame, arrival: str = "arrival") -> DataFrame:
     """Rows found on another partition than the first row of their key.
 
     The first partition is one aggregated row per key, so a long key is never sorted.
