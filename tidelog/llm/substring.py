@@ -12,7 +12,7 @@ window across the border of two factors, so each of these is looked up like any
 window of the text belongs to exactly one block. A document's factors from all blocks are then united into the
 spans to remove.
 
-Windows are compared by the 64 bits of their anchor and 64 more over all their words.
+Windows are compared by the 64 bits of their anchor and 48 more over all their words.
 
 Defined cases: null and empty texts have no words and keep none. Only a smaller ``doc_id`` counts as reference, so
 repeats inside a document, or between rows that share an id, stay. A null ``doc_id`` is larger than any other.
@@ -37,8 +37,9 @@ from tidelog.llm.common import WHITE, buffers, hash_grams, hash_words, sliding_m
 GRAM, EXACT = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 TEXT_HASH = "__text_hash"
 LAST = np.iinfo(np.int64).max
-FLUSH_WORDS = 1_500_000
-NARROW = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("at", "<i4")])
+FLUSH_WORDS = 1_000_000
+NARROW = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("text", "<i4"), ("at", "<i4")])
+EXACT_BYTES = 6
 
 
 def _firsts(anchor: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -115,7 +116,8 @@ def _index(window: int, k: int, blocks: int):
             out["block"].append(b)
             out["head"].append(b"".join(_bytes(head[name][lo:hi]) for name in NARROW.names))
             out["counts"].append(_bytes(counts[lo:hi].astype(np.uint8)))
-            out["whole"].append(_bytes(whole[order[windows_of[i] : windows_of[i + 1]]]))
+            exact = whole[order[windows_of[i] : windows_of[i + 1]]]
+            out["whole"].append(_bytes(exact.view(np.uint8).reshape(-1, 8)[:, :EXACT_BYTES]))
             out["known"].append(b"".join(_bytes(f.astype(np.int64)) for f in factors) if i == carrier else b"")
         kinds = [pa.int64(), *[pa.binary()] * 4]
         return pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
@@ -157,7 +159,10 @@ def _match(window: int):
             before += kind.itemsize
         anchor, doc, text, at = columns
         times = np.concatenate([np.frombuffer(c, np.uint8) for c in counts]).astype(np.int64)
-        whole = np.concatenate([np.frombuffer(w, "<u8") for w in wholes])
+        sent = np.frombuffer(b"".join(wholes), np.uint8).reshape(-1, EXACT_BYTES)
+        whole = np.zeros((len(sent), 8), dtype=np.uint8)
+        whole[:, :EXACT_BYTES] = sent
+        whole = whole.view("<u8")[:, 0]
         step = np.arange(len(whole)) - np.repeat(np.cumsum(times) - times, times)
         anchor, doc, text = (np.repeat(c, times) for c in (anchor, doc, text))
         at = np.repeat(at, times) + step.astype(np.int32)
@@ -193,7 +198,7 @@ def find_factors(docs: DataFrame, *, window: int = 13, k: int = 6, docs_per_bloc
     A block has about ``docs_per_block`` documents' share of the windows, however large the corpus is; larger
     blocks need more memory and fewer messages.
     """
-    keyed = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("t"), "text")
+    keyed = docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("t"), "text")
     blocks = max(16, -(-docs.count() // docs_per_block))
     indexed = keyed.mapInArrow(
         _index(window, k, blocks), "block bigint, head binary, counts binary, whole binary, known binary"
@@ -211,7 +216,7 @@ def _with_spans(docs: DataFrame, window: int, k: int) -> DataFrame:
         F.collect_list(F.struct(F.col("start").cast("int"), F.col("length").cast("int"), "reference")).alias("__spans")
     ).select(F.col("doc").alias("__doc"), F.col("text").alias("__text"), "__spans")
     keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)))
-    keyed = keyed.withColumn(TEXT_HASH, F.xxhash64("text"))
+    keyed = keyed.withColumn(TEXT_HASH, F.hash("text").cast("bigint"))
     joined = keyed.join(spans, (keyed["__id"] == spans["__doc"]) & (keyed[TEXT_HASH] == spans["__text"]), "left")
     return joined.drop("__id", TEXT_HASH, "__doc", "__text")
 
