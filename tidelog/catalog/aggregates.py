@@ -368,11 +368,15 @@ def cms_heavy_hitters(i: Inputs) -> DataFrame:
     return sketch.cms_heavy_hitters(cells, i.events, "event_type")
 
 
-@query("cms_merge", "SELECT event_type, count(*) AS estimate FROM events GROUP BY 1")
+@query("cms_merge", "SELECT l_partkey, true AS within_bounds FROM lineitem GROUP BY 1")
 def cms_merge(i: Inputs) -> DataFrame:
-    """Estimates from the merged sketches of two halves."""
+    """Estimates of all parts from the merged sketches of two halves, against the true counts."""
     halves = [
-        sketch.cms_build(i.events.filter(f"event_id % 2 = {half}"), "event_type")
+        sketch.cms_build(i.lineitem.filter(f"l_orderkey % 2 = {half}"), "l_partkey")
         for half in (0, 1)
     ]
-    return sketch.cms_count(sketch.cms_merge(*halves), i.events, "event_type")
+    estimates = sketch.cms_count(sketch.cms_merge(*halves), i.lineitem, "l_partkey")
+    true = aggregate.group_count(i.lineitem, ["l_partkey"])
+    slack = i.lineitem.agg(F.count(F.lit(1)) * F.lit(sketch.SketchShape().eps)).scalar()
+    ok = F.col("estimate").between(F.col("cnt"), F.col("cnt") + slack)
+    return estimates.join(true, "l_partkey").select("l_partkey", ok.alias("within_bounds"))

@@ -50,9 +50,8 @@ def interval_join(i: Inputs) -> DataFrame:
 @query("interval_join_stream", f"""WITH {SIDES_SQL}
 SELECT c.user_id, click_id, buy_id FROM c JOIN b ON c.user_id = b.user_id AND {NEAR}""")
 def interval_join_stream(i: Inputs) -> DataFrame:
-    # A table read as a stream has no order between its files: the delay covers its whole span.
-    left = side(i.stream("events"), "click", "click").withWatermark("click_ts", "60 days")
-    right = side(i.stream("events"), "purchase", "buy").withWatermark("buy_ts", "60 days")
+    left = side(i.stream("events"), "click", "click").withWatermark("click_ts", i.span("events", "ts"))
+    right = side(i.stream("events"), "purchase", "buy").withWatermark("buy_ts", i.span("events", "ts"))
     found = joins.interval_join(left, right, USERS, "click_ts", "buy_ts", SPAN, SPAN)
     return run_available_now(found.select("user_id", "click_id", "buy_id"), "append", "interval")
 
@@ -285,5 +284,6 @@ def dedup_out_of_order(i: Inputs) -> DataFrame:
 SELECT user_id, event_type FROM events GROUP BY ALL""")
 def dedup_watermark(i: Inputs) -> DataFrame:
     """One row per id, as the watermark delay exceeds the data's span."""
-    kept = dedup.dedup_watermark(i.stream("events").select("ts", *IDS), IDS, "ts", "60 days")
+    rows = i.stream("events").select("ts", *IDS)
+    kept = dedup.dedup_watermark(rows, IDS, "ts", i.span("events", "ts"))
     return run_available_now(kept, "append", "dedup-wm").select(*IDS)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.catalog.registry import LOG_SQL, Inputs, query
 from tidelog.functions import text
 from tidelog.operators import batching, records, routing
+from tidelog.sources.scratch import scratch_dir, through
 
 
 def keyed(i: Inputs) -> DataFrame:
@@ -75,8 +76,8 @@ def select_key(i: Inputs) -> DataFrame:
 @query("peek_count", "SELECT count(*) AS passed, count(*) AS observed FROM events")
 def peek_count(i: Inputs) -> DataFrame:
     seen = Observation("peek")
-    passed = records.peek_count(i.events, seen).agg(F.count(F.lit(1)).alias("passed"))
-    passed.write.format("noop").mode("overwrite").save()
+    counted = records.peek_count(i.events, seen).agg(F.count(F.lit(1)).alias("passed"))
+    passed = through(counted, scratch_dir(i.spark, "peek"))  # one pass: the action and the result
     return passed.withColumn("observed", F.lit(seen.get["rows"]).cast("bigint"))
 
 

@@ -35,6 +35,12 @@ class Inputs:
     def stream(self, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
         return tables.load_stream(self.spark, self.sf_dir, name, max_files_per_trigger)
 
+    def span(self, name: str, ts: str) -> str:
+        """A watermark delay that covers a whole table, however its files are ordered."""
+        ends = F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))
+        micros = getattr(self, name).agg(ends).first()[0] or 0
+        return f"{micros // 1_000_000 + 1} seconds"
+
     def kind(self, event_type: str) -> DataFrame:
         return self.events.filter(F.col("event_type") == event_type)
 

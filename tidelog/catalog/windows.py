@@ -149,13 +149,25 @@ def session_reduce(i: Inputs) -> DataFrame:
     )
 
 
-@query("session_changelog")
+@query("session_changelog", """
+WITH m AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events),
+o AS (SELECT *, CASE WHEN lag(ms) OVER (PARTITION BY user_id ORDER BY ms) < ms - 21600000 THEN 1 ELSE 0 END AS opens FROM m),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ms ROWS UNBOUNDED PRECEDING) AS s FROM o)
+SELECT user_id, min(ms) AS start_ms, max(ms) AS end_ms, count(*) AS cnt FROM n GROUP BY user_id, s""")
 def session_changelog(i: Inputs) -> DataFrame:
-    """Rows arrive out of order, so sessions are deleted and merged."""
+    """Rows arrive out of order, so sessions are deleted and merged; what is left are the sessions.
+
+    A deleted session is part of a longer one and never comes back; a session whose bounds
+    stay is added again with a higher count.
+    """
     late = F.when(F.col("event_id") % 17 == 0, 40).otherwise(0)
     rows = i.stream("events").withColumn("arrival", F.col("event_id") + late)
     changes = stateful.session_changelog(rows, USERS, ["arrival", "event_id"], "ts", 6 * HOUR)
-    return run_available_now(changes, "append", "session-changes")
+    emitted = run_available_now(changes, "append", "session-changes")
+    last = emitted.groupBy("user_id", "start_ms", "end_ms").agg(
+        F.max("cnt").alias("cnt"), F.max(F.col("cnt").isNull()).alias("deleted")
+    )
+    return last.filter("NOT deleted").drop("deleted")
 
 
 @query("sessionize", f"""{SESSION_SQL}
@@ -194,9 +206,7 @@ def event_time(i: Inputs) -> DataFrame:
 @query("late_split", f"""{SEEN_SQL}
 SELECT event_id, coalesce(ts < newest - INTERVAL 1 HOUR, false) AS late FROM seen""")
 def late_split(i: Inputs) -> DataFrame:
-    in_time, late = windows.late_split(
+    flagged = windows.late_flag(
         _lanes(i), "ts", HOUR, ["lane"], ["arrival", "event_id"], F.col("arrival")
     )
-    return in_time.select("event_id", F.lit(False).alias("late")).unionByName(
-        late.select("event_id", F.lit(True).alias("late"))
-    )
+    return flagged.select("event_id", "late")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def map_values_with(
@@ -32,22 +34,30 @@ def aggregate_with(
     names = [n for n, _ in state]
     kinds = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join(kinds + [f"`{n}` {t}" for n, t in state])
+    fields = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def folding(step: Callable[[tuple | None, dict], tuple]):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, held = None, None
-            for pdf in batches:
+
+            def made(done: list[tuple]) -> pa.RecordBatch:
+                columns = list(zip(*done)) if done else [()] * len(fields)
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
+                return pa.RecordBatch.from_arrays(arrays, schema=fields)
+
+            for batch in batches:
                 done = []
-                for row in pdf.to_dict("records"):
+                # Python values keep whole numbers beside nulls as they are.
+                for row in batch.to_pylist():
                     at = tuple(row[k] for k in keys)
                     if at != key:
                         if key is not None:
                             done.append((*key, *held))
                         key, held = at, None
                     held = step(held, row)
-                yield pd.DataFrame(done, columns=[*keys, *names])
+                yield made(done)
             if key is not None:
-                yield pd.DataFrame([(*key, *held)], columns=[*keys, *names])
+                yield made([(*key, *held)])
 
         return run
 
@@ -60,6 +70,6 @@ def aggregate_with(
 
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    partial = df.sortWithinPartitions(*keys).mapInPandas(folding(add_row), schema)
+    partial = df.sortWithinPartitions(*keys).mapInArrow(folding(add_row), schema)
     moved = partial.repartition(*keys).sortWithinPartitions(*keys)
-    return moved.mapInPandas(folding(merge_row), schema)
+    return moved.mapInArrow(folding(merge_row), schema)

@@ -97,18 +97,26 @@ def _framed(
 
     The newest second is still filling and stays out of its own frame. ``_first``, ``_second``
     and ``_last`` are the frame's first two buckets and its last one; all are null for an empty
-    frame. Each sum over the frame is a difference of running sums within the tile. ``_d``
-    holds the seconds since the bucket before. Callers keep the ``_own`` rows.
+    frame. ``_d`` holds the seconds since the bucket before. Callers keep the ``_own`` rows.
+
+    Time is cut into blocks as long as the frame, so a frame is the end of one block and the
+    beginning of the next. Sums over it are a running sum from its first bucket to the end of
+    that block plus one from the start of the next: nothing is subtracted, and values outside
+    the frame leave no rounding error in it.
     """
     cut = tiles(buckets, F.col("sec"), 4 * seconds, before=seconds, after=ahead)
     order = Window.partitionBy(*keys, "_tile").orderBy("sec")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    block = F.floor(F.col("sec") / F.lit(seconds))
+    within = Window.partitionBy(*keys, "_tile", "_block")
+    before = within.orderBy("sec").rowsBetween(Window.unboundedPreceding, -1)
+    onward = within.orderBy(F.col("sec").desc()).rowsBetween(Window.unboundedPreceding, 0)
     step = F.coalesce(F.col("sec") - F.lag("sec").over(order), F.lit(0))
-    at = cut.withColumn("_d", step)
+    at = cut.withColumn("_d", step).withColumn("_block", block)
     for name, value in sums.items():
-        at = at.withColumn(f"_v_{name}", value).withColumn(f"_u_{name}", F.sum(value).over(upto))
-    parts = [F.col(c) for n in sums for c in (f"_v_{n}", f"_u_{n}")]
-    here = F.struct("sec", "v", "_d", *parts)
+        at = at.withColumn(f"_x_{name}", value)
+    at = at.withColumns({f"_to_{n}": F.sum(f"_x_{n}").over(onward) for n in sums})
+    at = at.withColumns({f"_from_{n}": F.sum(f"_x_{n}").over(before) for n in sums})
+    here = F.struct("sec", "v", "_d", "_block", *[f"_to_{n}" for n in sums])
     at = at.withColumn("_here", here)
     at = at.withColumn(
         "_pair", F.struct(F.col("_here").alias("one"), F.lead("_here").over(order).alias("two"))
@@ -122,12 +130,16 @@ def _framed(
         .withColumn("_second", F.when(F.col("_edge.two.sec") < F.col("sec"), F.col("_edge.two")))
         .withColumn("_last", F.when(filled, F.col("_before")))
     )
-    totals = [
-        (F.col(f"_last._u_{n}") - F.col(f"_first._u_{n}") + F.col(f"_first._v_{n}")).alias(n)
-        for n in sums
-    ]
+
+    def total(name: str) -> Column:
+        start = F.col(f"_from_{name}")
+        end = F.col(f"_first._to_{name}")
+        earlier = F.col("_first._block") < F.col("_block")
+        both = F.when(start.isNull(), end).otherwise(end + start)
+        return F.when(earlier, both).when(F.col("_first").isNotNull(), start).alias(name)
+
     kept = [c for c in buckets.columns if c not in sums]
-    return at.select(*kept, "_tile", "_own", "_first", "_second", "_last", *totals)
+    return at.select(*kept, "_tile", "_own", "_first", "_second", "_last", *[total(n) for n in sums])
 
 
 def sliding_sum(

@@ -45,16 +45,17 @@ def interval_join(
     meet only their neighbours in time and spread over many tasks. The tile copies go to the
     right side; unmatched right rows of a full join come from a second, mirrored
     anti join, because copies must not be reported as unmatched. Streams need watermarks on
-    both sides and keep the plain time condition, which bounds their state.
+    both sides and keep the plain time condition, which bounds their state; they take no ``extra``.
+    Rows with a null key belong to no key: they are dropped on both sides, in every mode.
     """
+    left, right = _no_null_keys(left, keys), _no_null_keys(right, keys)
     if left.isStreaming or right.isStreaming:
+        if extra is not None:
+            raise ValueError("a stream join takes no extra condition; filter its result")
         return _stream_interval_join(left, right, keys, left_ts, right_ts, before, after, how)
     condition = _near(left_ts, right_ts, before, after)
     if extra is not None:
         condition = condition & extra
-    if how in ("inner", "semi"):
-        left = _no_null_keys(left, keys)
-    right = _no_null_keys(right, keys)
     length = max(2 * (before + after), 1)
     near = _tile_join(left, right, keys, left_ts, right_ts, length, before, after,
                       condition, "left" if how == "full" else how)

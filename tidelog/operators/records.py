@@ -67,7 +67,11 @@ def drop_corrupt(df: DataFrame, decoded: Column, name: str) -> tuple[DataFrame,
 def sink_fanout(
     df: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]]
 ) -> DataFrame:
-    """One input, several transformed outputs, told apart by the column ``out``."""
+    """One input, several transformed outputs, told apart by the column ``out``.
+
+    Transformations may be anything, so each reads the input; projections share one pass in
+    ``fanout_values``.
+    """
     parts = [fn(df).withColumn("out", F.lit(name)) for name, fn in outputs.items()]
     united = parts[0]
     for part in parts[1:]:
@@ -75,6 +79,15 @@ def sink_fanout(
     return united
 
 
+def fanout_values(df: DataFrame, outputs: Mapping[str, Sequence[Column]]) -> DataFrame:
+    """Several outputs that are projections of one input, made in one pass over it.
+
+    The columns of each output carry the same names and types; ``out`` tells the outputs apart.
+    """
+    made = [F.struct(*columns, F.lit(name).alias("out")) for name, columns in outputs.items()]
+    return df.select(F.inline(F.array(*made)))
+
+
 def fold_sum(df: DataFrame, value: Column, name: str = "total") -> DataFrame:
     """Fold all rows into one sum; partial sums are made before the single-row exchange."""
     return df.agg(F.sum(value).alias(name))

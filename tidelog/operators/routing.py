@@ -104,19 +104,27 @@ def suffix_partition(key: Column, partitions: int) -> Column:
 def partition_by_suffix(
     df: DataFrame, partitions: int, key: str = "key", *, move: bool = False
 ) -> DataFrame:
-    """Assign the partition; ``move`` also ships the rows there."""
+    """Assign the partition; ``move`` also brings its rows together.
+
+    A partition may hold any share of the table, so it is spread over tasks by key: rows of one
+    key stay in one task.
+    """
     placed = df.withColumn("partition", suffix_partition(F.col(key), partitions))
-    return placed.repartition(partitions, "partition") if move else placed
+    return placed.repartition("partition", key) if move else placed
 
 
 def ordered_queue(
     df: DataFrame, queues: int, key: str, order: Sequence[str] = (), *, move: bool = False
 ) -> DataFrame:
-    """Queue ``key % queues``: one key always uses one queue and so keeps its order."""
+    """Queue ``key % queues``: one key always uses one queue and so keeps its order.
+
+    ``move`` sorts each queue over as many tasks as it needs: tasks hold ranges of the order, one
+    after another.
+    """
     placed = df.withColumn("queue", F.pmod(F.col(key), F.lit(queues)).cast("int"))
     if not move:
         return placed
-    return placed.repartition(queues, "queue").sortWithinPartitions("queue", *order)
+    return placed.repartitionByRange("queue", *order).sortWithinPartitions("queue", *order)
 
 
 def key_partition_changes(log: DataFrame, arrival: str = "arrival") -> DataFrame:

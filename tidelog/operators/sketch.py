@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# At most so many cells (8 bytes each) are broadcast.
+BROADCAST_CELLS = 4_000_000
+
+
 @dataclass(frozen=True)
 class SketchShape:
     """Estimates exceed the truth by at most ``eps * total`` with probability ``1 - delta``."""
@@ -45,13 +49,12 @@ class SketchShape:
 
 
 def cms_build(df: DataFrame, item: str, shape: SketchShape = SketchShape()) -> DataFrame:
-    """Sketch of a frame. Items are counted first: the fan-out is per distinct item."""
-    counts = df.filter(F.col(item).isNotNull()).groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        counts.select("n", F.explode(shape.cells(F.col(item).cast("string"))).alias("c"))
-        .groupBy("c.depth", "c.bucket")
-        .agg(F.sum("n").alias("cnt"))
+    """Sketch of a frame, batch or stream. Each task adds up its own cells, at most
+    ``depth * width``, and only these are shuffled; items are never counted one by one."""
+    hit = df.filter(F.col(item).isNotNull()).select(
+        F.explode(shape.cells(F.col(item).cast("string"))).alias("c")
     )
+    return hit.groupBy("c.depth", "c.bucket").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def cms_merge(*sketches: DataFrame) -> DataFrame:
@@ -64,15 +67,31 @@ def cms_merge(*sketches: DataFrame) -> DataFrame:
 def cms_count(
     sketch: DataFrame, items: DataFrame, item: str, shape: SketchShape = SketchShape()
 ) -> DataFrame:
-    """Estimated count of each distinct item."""
+    """Estimated count of each distinct item: the least of its cells.
+
+    The sketch is handed to every task as one array of its cells, as long as it is small; a
+    larger one is joined cell by cell.
+    """
     wanted = items.select(item).filter(F.col(item).isNotNull()).distinct()
-    asked = wanted.select(item, F.explode(shape.cells(F.col(item).cast("string"))).alias("c"))
-    cells = F.broadcast(sketch)  # at most depth * width rows
-    return (
-        asked.select(item, "c.depth", "c.bucket")
-        .join(cells, ["depth", "bucket"], "left")
-        .groupBy(item)
-        .agg(F.min(F.coalesce("cnt", F.lit(0))).cast("bigint").alias("estimate"))
+    cells = shape.cells(F.col(item).cast("string"))
+    if shape.depth * shape.width > BROADCAST_CELLS:
+        asked = wanted.select(item, F.explode(cells).alias("c")).select(item, "c.depth", "c.bucket")
+        return (
+            asked.join(sketch, ["depth", "bucket"], "left").groupBy(item)
+            .agg(F.min(F.coalesce("cnt", F.lit(0))).cast("bigint").alias("estimate"))
+        )
+    spark = sketch.sparkSession
+    grid = spark.range(shape.depth * shape.width).select(
+        F.floor(F.col("id") / shape.width).cast("int").alias("depth"),
+        F.pmod("id", F.lit(shape.width)).cast("int").alias("bucket"), "id",
+    )
+    filled = grid.join(sketch, ["depth", "bucket"], "left").select(
+        F.struct("id", F.coalesce("cnt", F.lit(0)).alias("cnt")).alias("cell")
+    )
+    dense = filled.agg(F.sort_array(F.collect_list("cell"))["cnt"].alias("_counts"))
+    found = F.transform(cells, lambda c: F.col("_counts")[c["depth"] * shape.width + c["bucket"]])
+    return wanted.crossJoin(F.broadcast(dense)).select(
+        item, F.array_min(found).cast("bigint").alias("estimate")
     )
 
 

@@ -253,7 +253,7 @@ def session_count(
 session_reduce = session_aggregate
 
 
-def late_split(
+def late_flag(
     df: DataFrame,
     ts: str,
     allowed: int,
@@ -261,12 +261,19 @@ def late_split(
     arrival: Sequence[str],
     position: Column,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> tuple[DataFrame, DataFrame]:
-    """Rows in time, and rows more than ``allowed`` behind the newest that arrived before."""
+    flag: str = "late",
+) -> DataFrame:
+    """Every row with a flag: is it more than ``allowed`` behind the newest that arrived before?"""
     seen = (
         KeyedOrder.of(df, lane, arrival, position, rows_per_chunk)
         .running({"_newest": ("max", micros(ts))}, inclusive=False)
         .result()
     )
     late = F.coalesce(micros(ts) < F.col("_newest") - F.lit(allowed), F.lit(False))
-    return seen.filter(~late).drop("_newest"), seen.filter(late).drop("_newest")
+    return seen.withColumn(flag, late).drop("_newest")
+
+
+def late_split(df: DataFrame, *where, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows in time and late rows, as two filters over one pass (see ``late_flag``)."""
+    flagged = late_flag(df, *where, flag="_late", **options)
+    return flagged.filter("NOT _late").drop("_late"), flagged.filter("_late").drop("_late")

@@ -169,7 +169,7 @@ def fraud_stream(orders: DataFrame, gap: int, limit: float) -> DataFrame:
         last, total = state
         if last is not None and last < row["_at"] - gap:
             total = 0.0
-        total += row["quantity"] * row["price"]
+        total += (row["quantity"] or 0) * (row["price"] or 0.0)
         return (row["_at"], total), [(row["id"], "PASS" if total < limit else "FAIL", total)]
 
     rows = orders.filter("state = 'CREATED'").withColumn("_at", micros("ts"))
@@ -184,9 +184,9 @@ def inventory_stream(orders: DataFrame, stock: DataFrame, order: Sequence[str])
     """Reserve stock per product; the stock table is joined to the stream first."""
 
     def step(state, row):
-        reserved, q = state[0], int(row["quantity"])
-        ok = q >= 0 and row["stock"] - reserved - q >= 0
-        return (reserved + (q if ok else 0),), [(row["id"], "PASS" if ok else "FAIL")]
+        reserved, q = state[0], row["quantity"]
+        ok = q is not None and q >= 0 and row["stock"] - reserved - int(q) >= 0
+        return (reserved + (int(q) if ok else 0),), [(row["id"], "PASS" if ok else "FAIL")]
 
     named = orders.join(stock.select("product", F.col("stock").cast("bigint")), "product")
     rows = named.select("product", *dict.fromkeys(["id", "quantity", "stock", *order]))
