@@ -157,17 +157,20 @@ SELECT user_id, min(ms) AS start_ms, max(ms) AS end_ms, count(*) AS cnt FROM n G
 def session_changelog(i: Inputs) -> DataFrame:
     """Rows arrive out of order, so sessions are deleted and merged; what is left are the sessions.
 
-    A deleted session is part of a longer one and never comes back; a session whose bounds
-    stay is added again with a higher count.
+    A session is left when it was added more often than deleted. Rows at the very instant of a
+    one-row session add it again without a deletion, so such a session is left if never deleted.
     """
     late = F.when(F.col("event_id") % 17 == 0, 40).otherwise(0)
     rows = i.stream("events").withColumn("arrival", F.col("event_id") + late)
     changes = stateful.session_changelog(rows, USERS, ["arrival", "event_id"], "ts", 6 * HOUR)
     emitted = run_available_now(changes, "append", "session-changes")
+    gone, added = F.count_if(F.col("cnt").isNull()), F.count("cnt")
+    one = F.col("start_ms") == F.col("end_ms")
     last = emitted.groupBy("user_id", "start_ms", "end_ms").agg(
-        F.max("cnt").alias("cnt"), F.max(F.col("cnt").isNull()).alias("deleted")
+        F.max("cnt").alias("cnt"), gone.alias("_gone"), added.alias("_added")
     )
-    return last.filter("NOT deleted").drop("deleted")
+    left = last.filter((one & (F.col("_gone") == 0)) | (~one & (F.col("_added") > F.col("_gone"))))
+    return left.drop("_gone", "_added")
 
 
 @query("sessionize", f"""{SESSION_SQL}
