@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows
-from tidelog.operators import custom, detectors, joins, records, routing
+from tidelog.operators import custom, detectors, joins, records, routing, windows
 
 
 def test_values_outside_the_frame_leave_no_trace(spark):
@@ -72,3 +72,12 @@ def test_queues_are_ordered_over_several_tasks(spark):
     for queue in (0, 1):
         ids = [r["id"] for r in sorted((r for r in found if r["queue"] == queue), key=lambda r: r["task"])]
         assert ids == sorted(ids)
+
+
+def test_counts_agree_at_any_overlap(spark):
+    data = [(k, at(s)) for k in (1, 2) for s in (0, 1, 1, 700, 2900, 3050, 9000)]
+    df = spark.createDataFrame(data, "k int, ts timestamp")
+    size, step = 3_000_000_000, 1_000_000
+    dense = windows.hopping(df, ["k"], "ts", size, step)
+    copied = windows.hopping(df, ["k"], "ts", size, step, value=F.lit(1).cast("bigint"))
+    assert dense.count() == copied.count() and dense.exceptAll(copied).isEmpty()

@@ -58,13 +58,22 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    initial_partitions: int | None = None,
 ) -> SparkSession:
-    """Create a session. On a cluster leave ``master`` unset and let spark-submit choose it."""
+    """Create a session. On a cluster leave ``master`` unset and let spark-submit choose it.
+
+    Spark merges small shuffle partitions but never splits them for an aggregate, so
+    ``initial_partitions`` should be about the largest shuffle in bytes over 128 MB.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if initial_partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions)
+        )
     for name, value in {**RUNTIME_SETTINGS, **(extra or {})}.items():
         builder = builder.config(name, value)
     return prepare(builder.getOrCreate())
