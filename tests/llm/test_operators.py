@@ -446,3 +446,15 @@ def test_empty_tables(spark, empty):
     assert substring.report(empty).count() == 0
     assert decontam.report(empty, bench).count() == 0
     assert mixing.take(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def test_html_other_layouts():
+    body = "A sentence with, some commas, and enough words for a paragraph. " * 4
+    page = (
+        "<body><div id=header><a href=/>Home</a></div><div class=menu><ul><li><a href=a>A</a></ul></div><div class=content>"
+        f"<h1>Title</h1><div class=sec><p>{body}</p></div><h2>Sub</h2><div class=sec><p>{body}</p><ul><li>one</ul></div></div>"
+        f"<div id=sidebar><p>{body}</p></div><div class='cookie-notice'>{body}</div><section id=comments><p>{body}</p></section></body>"
+    )
+    assert mainhtml.main_text(page).split("\n") == ["Title", body.strip(), "Sub", body.strip(), "one"]
+    assert mainhtml.main_text(f"<p title='a > b'>{body}<span class=ad>buy</span> end</p><p hidden>no</p>") == f"{body}end"
+    assert mainhtml.main_text(f"<aside>{body}</aside><article><header><h1>T</h1></header><p>Yes.</article>") == "T\nYes."

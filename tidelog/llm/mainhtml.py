@@ -42,13 +42,15 @@ CLOSES = {
 }
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
           "option": {"select"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CORE = frozenset("html body main article".split())
 UNLIKELY = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted promotion nav "
     "navbar navigation menu menubar submenu breadcrumb breadcrumbs header masthead footer foot sidebar side rail aside widget widgets "
     "comment comments disqus discussion replies respond reply notice notices cookie cookies consent gdpr popup modal overlay "
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations pagination "
-    "pager toolbar skip skyscraper alert toc tags".split()
+    "pager toolbar skip skyscraper alert toc tags adsbygoogle adbox adslot adunit commentlist topbar sidenav subnav mainnav "
+    "sitenav pagenav siteheader sitefooter userbar".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 NEGATED = frozenset("has with no without".split())
@@ -217,7 +219,7 @@ def main_text(page: str) -> str:
     nodes: dict[int, Node] = {}
     for node, text, linked in found:
         worth = 1 + text.count(",") + min(len(text) / 100, 3)
-        if node.tag[0] == "h" and node.tag[1:].isdigit():
+        if node.tag in HEADINGS:
             worth = 0.1
         holder, level = _container(node), 0
         while holder is not None:
@@ -233,14 +235,14 @@ def main_text(page: str) -> str:
         return node.points * (1 - node.linked / max(node.chars, 1)) * (1.25 if node.tag in ("article", "main") else 1)
 
     best = max(nodes.values(), key=lambda n: (score(n), n.depth))
-    # A container inside an article speaks for the whole article.
-    up: Node | None = best
-    while up is not None and up.tag != "article":
+    # A container inside an article, or else the main element, speaks for all of it.
+    above, up = {}, best
+    while up is not None:
+        above.setdefault(up.tag, up)
         up = up.parent
-    if up is not None:
-        best = up
+    best = above.get("article") or above.get("main") or best
     keep = {id(best)}
-    siblings = max(10.0, 0.2 * score(best))
+    siblings = max(2.0, 0.2 * score(best))
     lines = []
     for node, text, linked in found:
         inside, branch = node, None
@@ -254,7 +256,7 @@ def main_text(page: str) -> str:
                 continue
             same = score(branch) >= siblings and branch.linked <= 0.3 * branch.chars if id(branch) in nodes else False
             paragraph = branch.tag == "p" and len(text) > 80 and linked < 0.25 * len(text)
-            title = branch.tag == "h1" or branch.tag in ("header", "hgroup") and node.tag == "h1"
+            title = branch.tag in HEADINGS or branch.tag in ("header", "hgroup") and node.tag in HEADINGS
             if not (same or paragraph or title):
                 continue
         elif inside is None:
