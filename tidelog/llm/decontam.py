@@ -172,7 +172,8 @@ def measure(
 
 def contaminated() -> Column:
     """The rule of the contract: a twentieth of the words, at least one, is covered by benchmark windows."""
-    return (F.size(COVERED) > 0) & (20 * F.size(COVERED) >= F.col("__words"))
+    hit = F.size(COVERED).cast("long")
+    return (hit > 0) & (20 * hit >= F.col("__words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
