@@ -37,8 +37,13 @@ def stream(spark, parts, events):
     return read
 
 
-def emitted(df, mode="append"):
-    return sinks.run_available_now(df, mode)
+def emitted(df, mode="append", end=None):
+    return sinks.run_available_now(df, mode, end=end)
+
+
+def waiting(spark, delay=1000 * 24 * H):
+    """Rows may be late by more than the table is long; the input ends."""
+    return stateful.Lateness(delay, scratch_dir(spark, "end"))
 
 
 def test_stateless_operators_on_a_stream(stream, events):
@@ -79,50 +84,114 @@ def test_late_rows_are_dropped_by_the_watermark(spark):
     assert sorted(v for _, v in got) == [1, 3, 7]
 
 
-def test_running_count_and_sessionize(stream, events):
-    counts = stateful.running_count_stream(stream(), ["event_type"], ["event_id"])
+def test_running_count_and_sessionize(spark, stream, events):
+    late = waiting(spark, 0)
+    counts = stateful.running_count_stream(stream(), ["event_type"], ["event_id"], late)
     batch = aggregate.running_count(events, ["event_type"], ["event_id"], F.col("event_id"))
-    assert rows(emitted(counts), "event_id", "cnt") == rows(batch, "event_id", "cnt")
-    numbered = stateful.sessionize_stream(stream(), ["user_id"], ["event_id"], "ts", H)
+    assert rows(emitted(counts, end=late.end), "event_id", "cnt") == rows(batch, "event_id", "cnt")
+    late = waiting(spark, 0)
+    numbered = stateful.sessionize_stream(stream(), ["user_id"], ["event_id"], "ts", H, late)
     batch = windows.sessionize(events, ["user_id"], ["event_id"], F.col("event_id"), "ts", H)
-    assert rows(emitted(numbered), "event_id", "session_id") == rows(batch, "event_id", "session_id")
+    assert rows(emitted(numbered, end=late.end), "event_id", "session_id") == rows(batch, "event_id", "session_id")
 
 
-def test_moving_average_and_dedup(stream, events):
+def test_moving_average_and_dedup(spark, stream, events):
+    late = waiting(spark, 0)
     number = F.when(F.col("event_id") % 5 != 0, F.floor("value"))
-    got = stateful.moving_average_stream(stream(), 10, ["user_id"], ["event_id"], number)
+    got = stateful.moving_average_stream(stream(), 10, ["user_id"], ["event_id"], number, late)
     want = aggregate.moving_average(events, 10, ["user_id"], ["event_id"], F.col("event_id"), number)
-    assert rows(emitted(got), "event_id", "avg") == rows(want, "event_id", "avg")
+    assert rows(emitted(got, end=late.end), "event_id", "avg") == rows(want, "event_id", "avg")
     ids = ["user_id", "event_type"]
-    got = stateful.dedup_stream(stream().select("event_id", "ts", *ids), ids, "ts", ["event_id"], 12 * H)
+    late = waiting(spark, 0)
+    got = stateful.dedup_stream(stream().select("event_id", "ts", *ids), ids, "ts", ["event_id"], 12 * H, late)
     want = dedup.dedup_window(events, ids, "ts", ["event_id"], 12 * H)
-    assert rows(emitted(got), "event_id") == rows(want, "event_id")
+    assert rows(emitted(got, end=late.end), "event_id") == rows(want, "event_id")
 
 
-def test_eager_outer_join_and_patterns(stream, events):
+def test_eager_outer_join_and_patterns(spark, stream, events):
+    late = waiting(spark)
+
     def side(df, kind, name):
         return df.filter(F.col("event_type") == kind).select(
             "user_id", "ts", F.col("event_id").alias("arrival"), F.col("event_id").alias(name)
         )
 
     got = stateful.interval_outer_eager_stream(
-        side(stream(), "click", "c"), side(stream(), "view", "v"), ["user_id"], "ts", "arrival", H, "c", "v"
+        side(stream(), "click", "c"), side(stream(), "view", "v"), ["user_id"], "ts", "arrival", H, "c", "v", late
     )
     left = side(events, "click", "c").withColumnRenamed("ts", "lt").withColumnRenamed("arrival", "la")
     right = side(events, "view", "v").withColumnRenamed("ts", "rt").withColumnRenamed("arrival", "ra")
     want = joins.interval_outer_eager(left, right, ["user_id"], "lt", "rt", H, "la", "ra")
-    assert rows(emitted(got), "user_id", "c", "v") == rows(want, "user_id", "c", "v")
+    assert rows(emitted(got, end=late.end), "user_id", "c", "v") == rows(want, "user_id", "c", "v")
 
     pattern = (
         Pattern.select("a").where(F.col("event_type") == "view")
         .then("b").zero_or_more().skip_till_next_match().where(F.col("event_type") == "click")
         .then("c").skip_till_next_match().where(F.col("event_type") == "purchase").within(86400)
     )
-    got = emitted(stateful.cep_stream(stream(), pattern, ["user_id"], "ts", "event_id"))
+    late = waiting(spark)
+    got = emitted(stateful.cep_stream(stream(), pattern, ["user_id"], "ts", "event_id", late), end=late.end)
     want = match_pattern(events, pattern, ["user_id"], "ts", "event_id")
     assert want.count() > 0 and rows(got) == rows(want)
 
 
+def test_results_do_not_depend_on_triggers(spark, events):
+    """One trigger, and four with the rows dealt at random, give the same rows."""
+    whole, dealt = scratch_dir(spark, "whole"), scratch_dir(spark, "dealt")
+    spread(spark, whole, [events])
+    spread(spark, dealt, [events.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == n) for n in range(4)])
+    users, order = ["user_id"], ["ts", "event_id"]
+    number = F.when(F.col("event_id") % 5 != 0, F.floor("value"))
+    request = "user_id AS customer_id, event_id AS id, CAST(event_id % 3 AS bigint) AS quantity, value AS price, ts, 'CREATED' AS state"
+    pattern = (
+        Pattern.select("a").where(F.col("event_type") == "view")
+        .then("b").skip_till_next_match().where(F.col("event_type") == "click").within(86400)
+    )
+
+    def sides(df):
+        return [
+            df.filter(F.col("event_type") == kind).select("user_id", "ts", F.col("event_id").alias("arrival"), F.col("event_id").alias(name))
+            for kind, name in (("click", "c"), ("view", "v"))
+        ]
+
+    for name, build in {
+        "count": lambda df, late: stateful.running_count_stream(df, ["event_type"], order, late),
+        "sessions": lambda df, late: stateful.sessionize_stream(df, users, order, "ts", H, late),
+        "average": lambda df, late: stateful.moving_average_stream(df, 10, users, order, number, late),
+        "dedup": lambda df, late: stateful.dedup_stream(df.drop("props"), ["user_id", "event_type"], "ts", order, 12 * H, late),
+        "fraud": lambda df, late: stateful.fraud_stream(df.selectExpr(*request.split(", ")), H, 2000, late),
+        "regroup": lambda df, late: stateful.table_regroup_stream(df, users, ["event_id"], "event_type", F.lit(1), late),
+        "changes": lambda df, late: stateful.session_changelog(df, users, order, "ts", H, late),
+        "eager": lambda df, late: stateful.interval_outer_eager_stream(*sides(df), users, "ts", "arrival", H, "c", "v", late),
+        "pattern": lambda df, late: stateful.cep_stream(df, pattern, users, "ts", "event_id", late),
+    }.items():
+        found = []
+        for path in (whole, dealt):
+            late = waiting(spark)
+            source = tables.read_stream(spark, path, events.schema, max_files_per_trigger=1)
+            found.append(rows(emitted(build(source, late), end=late.end)))
+        assert found[0] and found[0] == found[1], name
+
+
+def test_ordered_state_expires_and_keeps_whole_numbers(spark):
+    path, big = scratch_dir(spark, "expire"), 9007199254740993
+    schema = "k string, ts timestamp, v bigint"
+    spread(spark, path, [
+        spark.createDataFrame([("a", at(0), big), ("a", at(1), None)], schema),
+        spark.createDataFrame([("b", at(100), 1)], schema),
+        spark.createDataFrame([("a", at(200), 2), (None, at(201), 3), ("c", None, 4)], schema),
+    ])
+
+    def step(state, row):
+        return (state[0] + 1,), [(row["v"], state[0] + 1)]
+
+    late = waiting(spark, 0)
+    source = tables.read_stream(spark, path, schema, max_files_per_trigger=1)
+    got = stateful.transform_state(source, ["k"], step, "v bigint, n bigint", (0,), ["ts", "v"], late, keep=10_000_000)
+    # The key starts anew after ten idle seconds.
+    assert rows(emitted(got, end=late.end)) == sorted([("a", big, 1), ("a", None, 2), ("b", 1, 1), ("a", 2, 1)], key=repr)
+
+
 def test_session_changelog_golden(spark):
     gap = 30 * 60
     path = scratch_dir(spark, "clicks")
@@ -133,7 +202,8 @@ def test_session_changelog_golden(spark):
         for n, t in enumerate([0, second, gap / 2])
     ])
     source = tables.read_stream(spark, path, schema, max_files_per_trigger=1)
-    got = emitted(stateful.session_changelog(source, ["user"], ["n"], "ts", gap * 1_000_000))
+    late = waiting(spark, 0)
+    got = emitted(stateful.session_changelog(source, ["user"], ["n"], "ts", gap * 1_000_000, late), end=late.end)
     t = int(at(0).timestamp() * 1000)
     s = t + gap * 1000 + 1
     assert rows(got, "start_ms", "end_ms", "cnt") == sorted(

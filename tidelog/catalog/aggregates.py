@@ -89,8 +89,9 @@ def table_regroup_stream(i: Inputs) -> DataFrame:
     """The regrouped table as a stream of additions and subtractions, then summed."""
     value = F.when(F.col("event_type") != "error", F.col("event_type"))
     changes = i.stream("events").select("user_id", value.alias("event_type"), "event_id")
-    moves = stateful.table_regroup_stream(changes, USERS, ORDER, "event_type", F.lit(1))
-    return run_available_now(moves, "append", "regroup").groupBy("grp").agg(
+    late = i.late("events", "event_id")
+    moves = stateful.table_regroup_stream(changes, USERS, ORDER, "event_type", F.lit(1), late)
+    return run_available_now(moves, "append", "regroup", late.end).groupBy("grp").agg(
         F.sum("delta").alias("cnt")
     )
 
@@ -235,8 +236,9 @@ def latest_by_key(i: Inputs) -> DataFrame:
 @query("transform_state", RUNNING_SQL)
 def transform_state(i: Inputs) -> DataFrame:
     """The running count kept in a per-key store of a stream."""
-    counts = stateful.running_count_stream(i.stream("events"), ["event_type"], ORDER)
-    return run_available_now(counts, "append", "running")
+    late = i.late("events", "event_id")
+    counts = stateful.running_count_stream(i.stream("events"), ["event_type"], ORDER, late)
+    return run_available_now(counts, "append", "running", late.end)
 
 
 @query("punctuate_snapshot", f"""

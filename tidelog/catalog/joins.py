@@ -108,11 +108,12 @@ def interval_outer_eager_stream(i: Inputs) -> DataFrame:
             "user_id", "ts", F.col("event_id").alias("arrival"), F.col("event_id").alias(name)
         )
 
+    late = i.late("events", "event_id")
     found = stateful.interval_outer_eager_stream(
         rows("click", "click_id"), rows("purchase", "buy_id"), USERS, "ts", "arrival", SPAN,
-        "click_id", "buy_id",
+        "click_id", "buy_id", late,
     )
-    return run_available_now(found, "append", "eager")
+    return run_available_now(found, "append", "eager", late.end)
 
 
 LOGINS_SQL = f"""{CHANGELOG_SQL},
@@ -262,8 +263,9 @@ def dedup_window(i: Inputs) -> DataFrame:
 @query("dedup_window_stream", DEDUP_SQL)
 def dedup_window_stream(i: Inputs) -> DataFrame:
     rows = i.stream("events").select("event_id", "ts", *IDS)
-    kept = stateful.dedup_stream(rows, IDS, "ts", ["event_id"], 12 * HOUR)
-    return run_available_now(kept, "append", "dedup").drop("ts")
+    late = i.late("events", "event_id")
+    kept = stateful.dedup_stream(rows, IDS, "ts", ["event_id"], 12 * HOUR, late)
+    return run_available_now(kept, "append", "dedup", late.end).drop("ts")
 
 
 @query("dedup_out_of_order", """

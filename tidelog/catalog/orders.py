@@ -72,7 +72,9 @@ FROM fraud JOIN created USING (id)""")
 def fraud_check_stream(i: Inputs) -> DataFrame:
     rows = i.stream("orders").selectExpr(*_columns(REQUEST))
     rows = rows.withColumn("price", F.col("price").cast("double"))
-    return run_available_now(stateful.fraud_stream(rows, FRAUD_GAP, 2000), "append", "fraud")
+    late = i.late("orders", "o_orderdate")
+    results = stateful.fraud_stream(rows, FRAUD_GAP, 2000, late)
+    return run_available_now(results, "append", "fraud", late.end)
 
 
 def reserve_sql(source: str) -> str:
@@ -112,8 +114,9 @@ NUMBERED_SQL = f"""n AS (SELECT id, product, quantity, stock, row_number() OVER
 SELECT product, id, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS result FROM inv""")
 def inventory_stream(i: Inputs) -> DataFrame:
     rows = i.stream("orders").selectExpr(*_columns(REQUEST)).filter("state = 'CREATED'")
-    results = stateful.inventory_stream(rows, stock(i), ["ts", "id"])
-    return run_available_now(results, "append", "inventory")
+    late = i.late("orders", "o_orderdate")
+    results = stateful.inventory_stream(rows, stock(i), ["ts", "id"], late)
+    return run_available_now(results, "append", "inventory", late.end)
 
 
 @query("validation_aggregate", f"""WITH {REQUESTS_SQL},

@@ -136,10 +136,11 @@ def cep_kleene(i: Inputs) -> DataFrame:
 
 @query("cep_stream", KLEENE_SQL)
 def cep_stream(i: Inputs) -> DataFrame:
+    late = i.late("events", "ts")
     matches = stateful.cep_stream(
-        i.stream("events"), clicks_between(5 * 86400), USERS, "ts", "event_id"
+        i.stream("events"), clicks_between(5 * 86400), USERS, "ts", "event_id", late
     )
-    return _kleene(run_available_now(matches, "append", "cep"))
+    return _kleene(run_available_now(matches, "append", "cep", late.end))
 
 
 @query("cep_fold", """

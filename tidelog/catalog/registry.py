@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tidelog.sources import tables
 from tidelog.sources.log import as_log
+from tidelog.sources.scratch import scratch_dir
+from tidelog.streaming.stateful import Lateness
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,6 +43,15 @@ class Inputs:
         micros = getattr(self, name).agg(ends).first()[0] or 0
         return f"{micros // 1_000_000 + 1} seconds"
 
+    def late(self, name: str, position: str, more: int = 0) -> Lateness:
+        """Rows may be as late as the table is long, however its files are ordered. A live stream
+        knows its disorder and passes that."""
+        table = getattr(self, name)
+        stamped = isinstance(table.schema[position].dataType, T.TimestampType)
+        at = F.unix_micros(position) if stamped else F.col(position)
+        length = table.agg(F.max(at) - F.min(at)).first()[0] or 0
+        return Lateness(length + more, scratch_dir(self.spark, "end"))
+
     def kind(self, event_type: str) -> DataFrame:
         return self.events.filter(F.col("event_type") == event_type)
 

@@ -160,10 +160,11 @@ def session_changelog(i: Inputs) -> DataFrame:
     A session is left when it was added more often than deleted. Rows at the very instant of a
     one-row session add it again without a deletion, so such a session is left if never deleted.
     """
-    late = F.when(F.col("event_id") % 17 == 0, 40).otherwise(0)
-    rows = i.stream("events").withColumn("arrival", F.col("event_id") + late)
-    changes = stateful.session_changelog(rows, USERS, ["arrival", "event_id"], "ts", 6 * HOUR)
-    emitted = run_available_now(changes, "append", "session-changes")
+    behind = F.when(F.col("event_id") % 17 == 0, 40).otherwise(0)
+    rows = i.stream("events").withColumn("arrival", F.col("event_id") + behind)
+    late = i.late("events", "event_id", more=40)
+    changes = stateful.session_changelog(rows, USERS, ["arrival", "event_id"], "ts", 6 * HOUR, late)
+    emitted = run_available_now(changes, "append", "session-changes", late.end)
     gone, added = F.count_if(F.col("cnt").isNull()), F.count("cnt")
     one = F.col("start_ms") == F.col("end_ms")
     last = emitted.groupBy("user_id", "start_ms", "end_ms").agg(
@@ -184,8 +185,9 @@ def sessionize(i: Inputs) -> DataFrame:
 @query("sessionize_stream", f"""{SESSION_SQL}
 SELECT user_id, event_id, session_id FROM n""")
 def sessionize_stream(i: Inputs) -> DataFrame:
-    rows = stateful.sessionize_stream(i.stream("events"), USERS, ["event_id"], "ts", GAP)
-    return run_available_now(rows, "append", "sessionize")
+    late = i.late("events", "event_id")
+    rows = stateful.sessionize_stream(i.stream("events"), USERS, ["event_id"], "ts", GAP, late)
+    return run_available_now(rows, "append", "sessionize", late.end)
 
 
 @query("windowed_key_string", f"""

@@ -97,16 +97,34 @@ def compact_upserted(
     write_batch(read_upserted(spark, path, schema, keys, order), target, 0)
 
 
-def run_available_now(df: DataFrame, mode: str, label: str = "run") -> DataFrame:
+def end_of_input(spark: SparkSession, end: str) -> DataFrame:
+    """A stream of one column, ``_time``, that is empty until ``close_input`` is called."""
+    spark.range(0).select(F.timestamp_micros("id").alias("_time")).write.mode("ignore").parquet(end)
+    return spark.readStream.schema("_time timestamp").parquet(end)
+
+
+def close_input(spark: SparkSession, end: str) -> None:
+    """Say that no more rows come: a last instant moves the watermark over all rows that wait."""
+    last = spark.range(1).select(F.to_timestamp(F.lit("2262-01-01")).alias("_time"))
+    last.write.mode("append").parquet(end)
+
+
+def run_available_now(
+    df: DataFrame, mode: str, label: str = "run", end: str | None = None
+) -> DataFrame:
     """Process everything a stream has now and return what it emitted.
 
-    ``append`` and ``update`` return every emitted row, ``complete`` the last result.
+    ``append`` and ``update`` return every emitted row, ``complete`` the last result. ``end`` is
+    the folder of ``Lateness``: the input is then taken as finished, and the query resumed once more.
     """
     spark = df.sparkSession
     path, checkpoint = scratch_dir(spark, f"{label}-out"), scratch_dir(spark, f"{label}-chk")
     if mode == "complete":
         return sink_complete(df, path, checkpoint)
     sink_idempotent(df, path, checkpoint, mode)
+    if end:
+        close_input(spark, end)
+        sink_idempotent(df, path, checkpoint, mode)
     return read_batches(spark, path, df.schema).drop("batch")
 
 

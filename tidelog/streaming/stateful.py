@@ -1,25 +1,47 @@
 """Operators that keep state per key on an unbounded frame.
 
 Each is a small ``step(state, row) -> (state, rows)`` given to ``transform_state``. Spark
-shuffles by key, keeps the state and restores it after a failure. Inside a micro-batch the
-rows of a key are put in arrival order first.
+shuffles by key, keeps the state and restores it after a failure.
+
+Rows are put in order before they are seen: a row waits in its key's state until the watermark
+has passed it, so results do not depend on how the input is split into triggers. ``Lateness``
+says how far rows may be out of order; a row that comes later than that is dropped and counted in
+the query's progress.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelog.functions import nfa
 from tidelog.operators.cep import Pattern, match_schema, runtime_steps, with_conditions
 from tidelog.plans.ordered import micros
+from tidelog.sources.sinks import end_of_input
 
 Step = Callable[[tuple, dict], tuple[tuple, list[tuple]]]
+# Whole numbers as instants, one microsecond each, begin a day after the first watermark.
+DAY = 86_400_000_000
+
+
+@dataclass(frozen=True)
+class Lateness:
+    """How far rows may be out of order, and how a finite input ends.
+
+    ``delay`` is how far behind the newest position a row may still come: microseconds for
+    timestamps, units for whole numbers. A key's state holds the rows of that stretch.
+    ``end`` names a folder: once ``close_input`` has put a file there, all rows that wait come out.
+    """
+
+    delay: int = 0
+    end: str | None = None
 
 
 def ddl(df: DataFrame, columns: Sequence[str]) -> str:
@@ -35,42 +57,99 @@ def _plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
+def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) -> DataFrame:
+    """Rows with their instant (``_time``, watermarked) and its microseconds (``_place``)."""
+    whole = isinstance(df.schema[first].dataType, T.IntegralType)
+    instant = F.timestamp_micros(F.col(first).cast("bigint") + DAY) if whole else F.col(first)
+    rows = df.withColumn("_time", instant).filter(F.col("_time").isNotNull())
+    # Pandas would turn whole numbers beside nulls into doubles, so they travel as text.
+    rows = rows.withColumn("_place", F.unix_micros("_time")).select(
+        *[
+            F.col(f.name).cast("string").alias(f.name)
+            if isinstance(f.dataType, T.IntegralType) and f.name not in keys
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ],
+        "_time", F.col("_place").cast("string").alias("_place"),
+    )
+    if late.end:
+        blank = [
+            F.lit("0" if f.name in keys else None).try_cast(f.dataType).alias(f.name)
+            for f in rows.schema.fields
+            if f.name != "_time"
+        ]
+        rows = rows.unionByName(end_of_input(df.sparkSession, late.end).select("_time", *blank))
+    return rows.withWatermark("_time", f"{late.delay // 1000 + 1} milliseconds")
+
+
 def transform_state(
     df: DataFrame,
     keys: Sequence[str],
     step: Step,
     output: str,
-    state: str,
     initial: tuple,
     order: Sequence[str],
+    late: Lateness,
+    keep: int | None = None,
     mode: str = "append",
 ) -> DataFrame:
     """User function with a store per key; it may emit any number of rows per input row.
 
-    ``output`` lists the columns after the keys. A state declared as ``<name> binary`` holds a
-    Python object, packed once per micro-batch. Rows without a key are dropped.
+    ``order`` begins with a timestamp or whole number, whose watermark decides when rows are due;
+    it must be total and lie in the years 1970 to 2261. ``output`` lists the columns after the keys. A key without rows for ``keep``
+    microseconds (or units) of that position is forgotten; None keeps it for ever. Rows without a
+    key or a position are dropped.
     """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
     schema = f"{ddl(df, keys)}, {output}"
-    packed = state.endswith(" binary")
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)} - set(keys)
+    whole.add("_place")
+    names = [*keys, *[part.split()[0].strip("`") for part in _columns(output)]]
+    ties = list(order[1:])
+
+    def arrived(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+        for frame in batches:
+            for row in frame.drop(columns="_time").to_dict("records"):
+                row = {k: _plain(v) for k, v in row.items()}
+                if row["_place"] is not None:  # otherwise the end of the input
+                    yield {k: int(v) if k in whole and v is not None else v for k, v in row.items()}
+
+    def turn(row: dict) -> tuple:
+        return (row["_place"], *[(row[c] is None, row[c]) for c in ties])
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], store: GroupState):
-        current = store.get if store.exists else initial
-        if packed and store.exists:
-            current = (pickle.loads(current[0]),)
-        rows = pd.concat(list(batches)).sort_values(list(order)).to_dict("records")
+        current, waiting, newest = pickle.loads(store.get[0]) if store.exists else (initial, [], 0)
+        if not store.hasTimedOut:
+            waiting += arrived(batches)
+        mark = store.getCurrentWatermarkMs()
+        due = sorted((r for r in waiting if r["_place"] <= mark * 1000), key=turn)
+        waiting = [r for r in waiting if r["_place"] > mark * 1000]
         out = []
-        for row in rows:
-            current, made = step(current, {k: _plain(v) for k, v in row.items()})
+        for row in due:
+            if keep is not None and row["_place"] - newest > keep:
+                current = initial
+            current, made = step(current, row)
             out += [(*key, *m) for m in made]
-        store.update((pickle.dumps(current[0]),) if packed else current)
-        names = [*keys, *out_names]
+            newest = row["_place"]
+        if waiting:
+            # A timer fires once the watermark is above it.
+            wake = -(-min(r["_place"] for r in waiting) // 1000) - 1
+        elif keep is not None:
+            wake = (newest + keep) // 1000 + 1
+        else:
+            wake = None
+        if not waiting and wake is not None and wake <= mark:
+            if store.exists:
+                store.remove()
+        elif waiting or newest:
+            store.update((pickle.dumps((current, waiting, newest)),))
+            if wake is not None:
+                store.setTimeoutTimestamp(max(wake, mark, 1))
         yield pd.DataFrame(out, columns=names, dtype=object if out else None)
 
-    out_names = [part.split()[0].strip("`") for part in _columns(output)]
-    return df.groupBy(*keys).applyInPandasWithState(
-        run, schema, state, mode, GroupStateTimeout.NoTimeout
+    return _in_time(df, keys, order[0], late).groupBy(*keys).applyInPandasWithState(
+        run, schema, "state binary", mode, GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -86,7 +165,7 @@ def _columns(ddl_text: str) -> list[str]:
 
 
 def running_count_stream(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], late: Lateness, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Count so far, once per row."""
     kept = list(dict.fromkeys([*carry, *order]))
@@ -96,12 +175,12 @@ def running_count_stream(
         return (n,), [(*[row[c] for c in kept], n)]
 
     return transform_state(
-        df.select(*keys, *kept), keys, step, f"{ddl(df, kept)}, cnt bigint", "n bigint", (0,), order
+        df.select(*keys, *kept), keys, step, f"{ddl(df, kept)}, cnt bigint", (0,), order, late
     )
 
 
 def sessionize_stream(
-    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, gap: int
+    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, gap: int, late: Lateness
 ) -> DataFrame:
     """Session number per row; state follows arrival order."""
 
@@ -113,13 +192,12 @@ def sessionize_stream(
 
     rows = df.select(*keys, *arrival, micros(ts).alias("_at"))
     return transform_state(
-        rows, keys, step, f"{ddl(df, arrival)}, session_id bigint",
-        "last bigint, session bigint", (None, 0), arrival,
+        rows, keys, step, f"{ddl(df, arrival)}, session_id bigint", (None, 0), arrival, late
     )
 
 
 def moving_average_stream(
-    df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str], number: Column
+    df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str], number: Column, late: Lateness
 ) -> DataFrame:
     """Whole-number mean of the last ``n`` valid numbers; invalid rows repeat it."""
 
@@ -136,12 +214,12 @@ def moving_average_stream(
 
     rows = df.select(*keys, *order, number.alias("_num"))
     return transform_state(
-        rows, keys, step, f"{ddl(df, order)}, avg bigint", "recent array<bigint>", ([],), order
+        rows, keys, step, f"{ddl(df, order)}, avg bigint", ([],), order, late
     )
 
 
 def dedup_stream(
-    df: DataFrame, ids: Sequence[str], ts: str, arrival: Sequence[str], span: int,
+    df: DataFrame, ids: Sequence[str], ts: str, arrival: Sequence[str], span: int, late: Lateness,
     grace: int = 0,
 ) -> DataFrame:
     """Streaming form of ``dedup_window``. The memory keeps instants up to ``span + grace``
@@ -158,11 +236,11 @@ def dedup_stream(
 
     rows = df.withColumn("_at", micros(ts))
     return transform_state(
-        rows, ids, step, ddl(df, carry), "seen array<bigint>", ([],), arrival
+        rows, ids, step, ddl(df, carry), ([],), arrival, late
     )
 
 
-def fraud_stream(orders: DataFrame, gap: int, limit: float) -> DataFrame:
+def fraud_stream(orders: DataFrame, gap: int, limit: float, late: Lateness) -> DataFrame:
     """Running session total per customer with its verdict."""
 
     def step(state, row):
@@ -174,13 +252,15 @@ def fraud_stream(orders: DataFrame, gap: int, limit: float) -> DataFrame:
 
     rows = orders.filter("state = 'CREATED'").withColumn("_at", micros("ts"))
     return transform_state(
-        rows.select("customer_id", "id", "quantity", "price", "_at"), ["customer_id"], step,
-        f"{ddl(orders, ['id'])}, result string, session_total double",
-        "last bigint, total double", (None, 0.0), ["_at", "id"],
+        rows.select("customer_id", "id", "quantity", "price", "ts", "_at"), ["customer_id"], step,
+        f"{ddl(orders, ['id'])}, result string, session_total double", (None, 0.0), ["ts", "id"], late,
+        keep=gap,
     )
 
 
-def inventory_stream(orders: DataFrame, stock: DataFrame, order: Sequence[str]) -> DataFrame:
+def inventory_stream(
+    orders: DataFrame, stock: DataFrame, order: Sequence[str], late: Lateness
+) -> DataFrame:
     """Reserve stock per product; the stock table is joined to the stream first."""
 
     def step(state, row):
@@ -191,13 +271,13 @@ def inventory_stream(orders: DataFrame, stock: DataFrame, order: Sequence[str])
     named = orders.join(stock.select("product", F.col("stock").cast("bigint")), "product")
     rows = named.select("product", *dict.fromkeys(["id", "quantity", "stock", *order]))
     return transform_state(
-        rows, ["product"], step, f"{ddl(orders, ['id'])}, result string", "reserved bigint",
-        (0,), order,
+        rows, ["product"], step, f"{ddl(orders, ['id'])}, result string", (0,), order, late
     )
 
 
 def table_regroup_stream(
-    changelog: DataFrame, keys: Sequence[str], order: Sequence[str], group: str, value: Column
+    changelog: DataFrame, keys: Sequence[str], order: Sequence[str], group: str, value: Column,
+    late: Lateness,
 ) -> DataFrame:
     """Moves between groups as additions: ``-old`` for the group left and ``+new`` for the one
     entered. Summing ``delta`` per ``grp`` gives the regrouped table at any time."""
@@ -215,12 +295,12 @@ def table_regroup_stream(
         *keys, *order, F.col(group).alias("_g"), value.cast("bigint").alias("_v")
     )
     return transform_state(
-        rows, keys, step, f"grp {kind}, delta bigint", f"g {kind}, v bigint", (None, None), order
+        rows, keys, step, f"grp {kind}, delta bigint", (None, None), order, late
     )
 
 
 def session_changelog(
-    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, gap: int
+    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, gap: int, late: Lateness
 ) -> DataFrame:
     """Every change of the session table. A row that extends or bridges sessions deletes them
     (null count) and adds the merged one. Bounds are epoch milliseconds."""
@@ -240,14 +320,13 @@ def session_changelog(
     gap //= 1000
     rows = df.select(*keys, *arrival, F.unix_millis(ts).alias("_at"))
     return transform_state(
-        rows, keys, step, "start_ms bigint, end_ms bigint, cnt bigint",
-        "starts array<bigint>, ends array<bigint>, cnts array<bigint>", ([], [], []), arrival,
+        rows, keys, step, "start_ms bigint, end_ms bigint, cnt bigint", ([], [], []), arrival, late
     )
 
 
 def interval_outer_eager_stream(
     left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, arrival: str, span: int,
-    left_value: str, right_value: str,
+    left_value: str, right_value: str, late: Lateness,
 ) -> DataFrame:
     """Streaming form of ``interval_outer_eager`` for two streams with equal column types.
 
@@ -272,15 +351,14 @@ def interval_outer_eager_stream(
     ]
     return transform_state(
         sides[0].unionByName(sides[1]), keys, step,
-        f"{ddl(left, [left_value])}, {ddl(right, [right_value])}", "waiting binary", ([],),
-        ["_arrival"],
+        f"{ddl(left, [left_value])}, {ddl(right, [right_value])}", ([],), ["_arrival"], late,
     )
 
 
 def cep_stream(
-    df: DataFrame, pattern: Pattern, partition_by: Sequence[str], ts: str, row_id: str
+    df: DataFrame, pattern: Pattern, partition_by: Sequence[str], ts: str, row_id: str, late: Lateness
 ) -> DataFrame:
-    """Resumable pattern matching: open runs are the state of each key."""
+    """Resumable pattern matching: open runs are the state of each key, as long as ``within`` lets them live."""
     pattern.check()
     steps, count, within = runtime_steps(pattern), len(pattern.stages), pattern.within_micros
 
@@ -289,8 +367,8 @@ def cep_stream(
         made = [tuple(d.taken.get(i, []) for i in range(count)) for d in done]
         return (runs,), made
 
-    rows = with_conditions(df, pattern).withColumn("_at", micros(ts)).drop(ts)
+    rows = with_conditions(df, pattern).withColumn("_at", micros(ts))
     output = match_schema(df, pattern, [], row_id)
     return transform_state(
-        rows, partition_by, step, output, "runs binary", ([],), ["_at", row_id]
+        rows, partition_by, step, output, ([],), [ts, row_id], late, keep=within
     )
