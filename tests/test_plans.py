@@ -99,6 +99,20 @@ def test_hot_chunks_stay_small(skewed):
     assert sizes <= 100
 
 
+def test_bursts_and_equal_positions_are_cut(spark):
+    """One far-off row, all others in one instant: chunks follow rows, not positions."""
+    place = F.when(F.col("id") < 10, F.col("id") * 1_000_000).otherwise(10_000_000)
+    df = spark.range(10_000).select(F.lit("a").alias("k"), place.alias("at"), "id", (F.col("id") % 7).alias("v"))
+    keyed = KeyedOrder.of(df, ["k"], ["at", "id"], F.col("at"), 1_000)
+    sizes = [r["count"] for r in keyed.df.groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 5 and max(sizes) <= 2_000
+    got = keyed.running({"s": ("sum", F.col("v")), "last": ("last", F.when(F.col("v") == 3, F.col("id")))}).result()
+    plain = KeyedOrder.of(df, ["k"], ["at", "id"], F.col("at")).running(
+        {"s": ("sum", F.col("v")), "last": ("last", F.when(F.col("v") == 3, F.col("id")))}
+    ).result()
+    assert rows(got, "id", "s", "last") == rows(plain, "id", "s", "last")
+
+
 def test_tiles_hold_every_visible_row(spark):
     df = spark.range(40)
     cut = tiles(df, F.col("id"), 8, before=3, after=5)

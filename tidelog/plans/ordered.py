@@ -5,7 +5,8 @@ holds a large share of the rows. Two shapes avoid that.
 
 ``KeyedOrder`` first counts rows per key, combined before the shuffle. Without a key above the
 row limit it plans ordinary windows. Otherwise it cuts only the *hot* keys into consecutive
-chunks of the order, computes running values inside each chunk, and completes them with what
+chunks of about that many rows, at places of the order found from a sample of its rows (so
+bursts and equal positions are cut as well), computes running values inside each chunk, and completes them with what
 earlier chunks carry in. The tables of hot keys and of carried values have at most about
 ``2 * total_rows / rows_per_chunk`` rows. They are written to the shared folder and counted,
 and are broadcast only while small.
@@ -25,11 +26,13 @@ from pyspark.sql import functions as F
 from tidelog.sources.scratch import scratch_dir, through
 
 ROWS_PER_CHUNK = 10_000_000
+# The sampled rows that decide a chunk: its size is within a few tenths of the limit.
+SAMPLES_PER_CHUNK = 100
 # About 100 bytes a row: far below what a task can hold.
 BROADCAST_ROWS = 500_000
 
 _LO = "_hot_lo"
-_STEP = "_hot_step"
+_CUTS = "_hot_cuts"
 _CHUNK = "_chunk"
 
 
@@ -76,22 +79,19 @@ class KeyedOrder:
             .agg(
                 F.count(F.lit(1)).alias("_n"),
                 F.min("_pos").alias(_LO),
-                F.max("_pos").alias("_hi"),
             )
             .filter(F.col("_n") > limit)
-            .select(
-                *keys,
-                _LO,
-                ((F.col("_hi") - F.col(_LO) + 1) / F.ceil(F.col("_n") / limit)).alias(_STEP),
-            )
+            .select(*keys, _LO)
         )
         found = through(hot, scratch_dir(df.sparkSession, "hot-keys"))
         count = found.count()
         if count == 0:
             return KeyedOrder(df, tuple(keys), tuple(order), False)
-        chunk = F.floor((F.col("_pos") - F.col(_LO)) / F.col(_STEP))
-        chunked = placed.join(small_side(found, count), list(keys), "left")
-        chunked = chunked.withColumn(_CHUNK, chunk).drop("_pos", _STEP)
+        found = _with_cuts(placed, found, count, keys, order, rows_per_chunk)
+        cut_points = found.agg(F.sum(F.size(_CUTS) + 1)).first()[0]
+        chunked = placed.join(small_side(found, cut_points), list(keys), "left")
+        chunk = F.when(F.col(_CUTS).isNotNull(), _at_or_below(F.col(_CUTS), F.struct(*order)))
+        chunked = chunked.withColumn(_CHUNK, chunk.cast("bigint")).drop("_pos", _CUTS)
         return KeyedOrder(chunked, tuple(keys), tuple(order), True)
 
     def running(
@@ -177,6 +177,48 @@ class KeyedOrder:
         return self.df.drop(_LO, _CHUNK)
 
 
+def _with_cuts(
+    df: DataFrame, hot: DataFrame, hot_rows: int, keys: Sequence[str], order: Sequence[str], limit: int
+) -> DataFrame:
+    """Add to each hot key where its chunks begin: every so many of its sampled rows."""
+    every = max(1, limit // SAMPLES_PER_CHUNK)
+    sampled = (
+        df.join(small_side(hot, hot_rows), list(keys), "left_semi")
+        .filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
+        .select(*keys, F.struct(*order).alias("_at"))
+    )
+    numbered = sampled.withColumn(
+        "_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))
+    )
+    cuts = (
+        numbered.filter(F.col("_n") % max(1, limit // every) == 0)
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("_at")).alias("_found"))
+    )
+    none = F.array().cast(cuts.schema["_found"].dataType)
+    placed = hot.join(cuts, list(keys), "left").select(
+        *keys, _LO, F.coalesce("_found", none).alias(_CUTS)
+    )
+    return through(placed, scratch_dir(df.sparkSession, "hot-cuts"))
+
+
+def _at_or_below(cuts: Column, at: Column) -> Column:
+    """How many of the sorted cuts are at or below a place, found by halving."""
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        open_ = s["lo"] < s["hi"]
+        below = open_ & (F.get(cuts, middle) <= at)
+        return F.struct(
+            F.when(below, middle + 1).otherwise(s["lo"]).alias("lo"),
+            F.when(open_ & ~below, middle).otherwise(s["hi"]).alias("hi"),
+        )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.aggregate(steps, start, halve, lambda s: s["lo"])
+
+
 def _last(value: Column) -> Column:
     return F.last(value, ignorenulls=True)
 
