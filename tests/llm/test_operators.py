@@ -171,6 +171,33 @@ def test_near_copies_by_similarity(spark):
     assert {r[0] for r in kept.collect()} == want
 
 
+def test_near_copies_are_checked_exactly(spark):
+    """Pairs on both sides of the threshold, and a dense group that needs several rounds."""
+    rows, want = [], set()
+    for g in range(40):
+        words = prose(2000 + g, 104).split()  # 100 shingles; a changed word costs five
+        rows.append((1000 * g, " ".join(words)))
+        want.add(1000 * g)
+        for c, at in enumerate(([9], [9, 19], [9, 19, 29])):  # 95/105, 90/110 and 85/115
+            rows.append((1000 * g + c + 1, " ".join(f"new{c}{i}" if i in at else w for i, w in enumerate(words))))
+    base = prose(9, 400).split()
+    for c in range(300):  # changes of one's own: similarity to each other about 0.9
+        rows.append((50_000 + c, " ".join(f"own{c}x{i}" if i % 131 == c % 131 else w for i, w in enumerate(base))))
+    want.add(50_000)
+    sets = {}
+    for doc_id, text in rows:
+        words = text.split()
+        sets[doc_id] = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    for g in range(40):
+        alike = [len(sets[1000 * g] & sets[1000 * g + c]) / len(sets[1000 * g] | sets[1000 * g + c]) for c in (1, 2, 3)]
+        assert alike[1] >= 0.8 > alike[2]
+        want.add(1000 * g + 3)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    kept = {r[0] for r in simhash.drop_near_copies(docs).collect()}
+    # Changed documents are alike only through their original: the third has 0.74 of it, 0.7 of the others.
+    assert want <= kept and len(kept - want) <= 4
+
+
 def brute_substring(rows):
     first, words = {}, [WORDS.findall(r[1] or "") for r in rows]
     ids = [float("inf") if r[0] is None else r[0] for r in rows]

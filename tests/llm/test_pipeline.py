@@ -38,10 +38,10 @@ def test_stages(spark, small):
         for a in sets for b in sets if a < b and sets[a] & sets[b]
     }
     kept = set(ids[3])
-    # The estimate's error is 0.04 near the threshold.
-    assert not [p for p, s in alike.items() if s >= 0.9 and p[0] in kept and p[1] in kept]
+    # Links are exact; fingerprints may miss a few pairs near the threshold.
+    assert not [p for p, s in alike.items() if s >= 0.85 and p[0] in kept and p[1] in kept]
     for lost in set(ids[2]) - kept:
-        assert max(s for p, s in alike.items() if lost in p) >= 0.7
+        assert max(s for p, s in alike.items() if lost in p) >= 0.8
 
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {w[0] for w in brute_decontam(rows[3], items) if not w[5]}
