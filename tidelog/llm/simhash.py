@@ -497,9 +497,10 @@ def near_links(
             "proposed",
         )
         pairs = written(proposed.where("a IS NOT NULL").select("a", "b").distinct(), "pairs")
-        good = written(check_pairs(pairs, nodes, keyed, shingle, similarity), "near")
-        links = good if links is None else links.unionByName(good)
-        roots = written(components(links).select("a", F.col("b").alias("root")), "roots")
+        if roots is None or not pairs.isEmpty():  # most groups are whole after the first round
+            good = written(check_pairs(pairs, nodes, keyed, shingle, similarity), "near")
+            links = good if links is None else links.unionByName(good)
+            roots = written(components(links).select("a", F.col("b").alias("root")), "roots")
         more = proposed.where("more IS NOT NULL").select(F.col("more").alias("task"))
         if more.isEmpty():
             return roots
