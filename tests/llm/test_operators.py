@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -198,6 +199,35 @@ def test_near_copies_are_checked_exactly(spark):
     assert want <= kept and len(kept - want) <= 4
 
 
+def test_near_copies_none_is_missed(spark):
+    """Every pair from 0.8 up is linked, of short texts too, whose fingerprints can be far apart."""
+    draw, rows, want = random.Random(17), [], set()
+    for g, n in enumerate([5, 6, 9, 10, 13, 14, 18, 24, 30, 44, 60, 104] * 60):  # n - 4 shingles
+        words = prose(10_000 + g, n).split()
+        kept = n - 4
+        other = words + [f"own{g}x{i}" for i in range(math.floor(kept / 0.8 + 1e-9) - kept)]
+        rows += [(10 * g, " ".join(words)), (10 * g + 1, " ".join(other))]  # kept / len(other's) >= 0.8, and no more
+        want.add(10 * g)
+        worse = other + [f"own{g}last"]
+        if draw.random() < 0.2 and kept / (len(worse) - 4) < 0.8 and len(other) == n:
+            rows.append((10 * g + 2, " ".join(worse)))
+            want.add(10 * g + 2)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r[0] for r in simhash.drop_near_copies(docs).collect()} == want
+
+
+def test_first_shingles_meet_in_lists():
+    draw = np.random.Generator(np.random.PCG64(3))
+    for n in [1, 2, 4, 5, 9, 10, 37, 400] * 20:
+        a = np.unique(draw.integers(0, 1 << 64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([draw.permutation(a)[: math.ceil(0.8 * n)]]))
+        hot = np.sort(draw.permutation(a)[: n // 2])
+        first = [simhash._first(x, hot, np.arange(len(hot)) + 1, simhash.prefix_length(len(x), 0.8)) for x in (a, b)]
+        assert np.isin(*first).any()
+        differ = int.from_bytes(simhash._parity(a), "big") ^ int.from_bytes(simhash._parity(b), "big")
+        assert differ.bit_count() <= len(a) - len(b)
+
+
 def brute_substring(rows):
     first, words = {}, [WORDS.findall(r[1] or "") for r in rows]
     ids = [float("inf") if r[0] is None else r[0] for r in rows]

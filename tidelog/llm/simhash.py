@@ -19,10 +19,14 @@ that no task ever holds more than two cells. Tasks send a spanning forest of the
 never all pairs.
 
 **Check.** ``drop_near_copies`` links documents by the exact similarity of their shingle sets. The trees
-only propose pairs, within a radius that leaves room for the estimate's error; ``near_links`` checks them
-in rounds. A round proposes for each document its next nearest partners of other groups, checks these
+only propose pairs, for each document its nearest ones; they find most links, and groups of near copies are whole
+after them. What they miss is found exactly, by lists of rare shingles: two sets of similarity s have their
+first common shingle among the first n - ceil(s n) + 1 of each, in any order of all shingles. The order
+puts those that a sample finds common last, so the lists stay short. Lists with documents of one group only
+are left out. ``near_links`` checks the others in rounds. A round proposes for each document its next nearest
+partners of other groups, leaves out those that sizes or parities of the sets rule out, checks the rest
 on the texts, and merges groups. Tasks that still hold unchecked partners across groups go on to the
-next round with eight times as many, so every proposed pair is checked or lies inside one group, and
+next round with eight times as many, so every pair is ruled out, checked or lies inside one group, and
 groups of near copies are never expanded into all their pairs.
 
 **Groups.** Components come from alternating large and small stars, one written table a round.
@@ -52,6 +56,7 @@ BLOCK = 1 << 18
 CELL = 4096
 LEAF = 64
 FP, TEXT_HASH = "__fingerprint", "__text_hash"
+SAMPLED, COMMON, MOST_COMMON = 10_000, 5, 100_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -85,8 +90,10 @@ def fingerprint(text: bytes, shingle: int, width: int, distinct: bool = False) -
     shingle counts once, and 8 bytes that name the set of shingles follow the fingerprint.
     """
     hashes = shingle_hashes(text, shingle)
-    if distinct:
-        hashes = np.unique(hashes)
+    return _majority(np.unique(hashes) if distinct else hashes, width, distinct)
+
+
+def _majority(hashes: np.ndarray, width: int, distinct: bool) -> bytes:
     counts = np.zeros(64 * width, dtype=np.int64)
     for at in range(0, len(hashes), BLOCK):
         first = hashes[at : at + BLOCK]
@@ -192,10 +199,18 @@ def _sharder(masks: np.ndarray, width: int, radius: int, points_per_tree: int =
 
 
 def _tasks(fingerprints: DataFrame, masks: np.ndarray, width: int, radius: int, cell: int) -> DataFrame:
-    """(task, fp): every shard, or pair of cells of a large shard, under a number of its own."""
+    """(task, fp): the shards of all trees."""
     shards = fingerprints.select("fp").mapInArrow(
         _sharder(masks, width, radius), "shard bigint, ring int, fp binary"
     )
+    return _cut(shards, cell)
+
+
+def _cut(shards: DataFrame, cell: int) -> DataFrame:
+    """(task, fp and further columns): every shard, or pair of cells of a large shard, under a number of its own.
+
+    Partners lie in equal or neighbouring rings.
+    """
     rings = shards.groupBy("shard", "ring").count()
     large = written(
         rings.groupBy("shard").agg(
@@ -215,7 +230,8 @@ def _tasks(fingerprints: DataFrame, masks: np.ndarray, width: int, radius: int,
     )
     task = f"transform({others}, o -> xxhash64(shard, least(o, {mine}), greatest(o, {mine})))"
     return placed.select(
-        F.explode(F.expr(f"CASE WHEN cells IS NULL THEN array(shard) ELSE {task} END")).alias("task"), "fp"
+        F.explode(F.expr(f"CASE WHEN cells IS NULL THEN array(shard) ELSE {task} END")).alias("task"),
+        *[c for c in shards.columns if c not in ("shard", "ring")],
     )
 
 
@@ -374,50 +390,175 @@ def similarity_radius(similarity: float, width: int) -> int:
     return round(64 * width * math.acos(cosine) / math.pi)
 
 
-def _proposer(width: int, radius: int, low: int, high: int):
-    """Pairs of each task to check (a > b), and the tasks that have more.
+def _proposed(tasks: DataFrame, pairs) -> DataFrame:
+    """(a, b, more): pairs of each task to check (a > b), and the tasks that have more.
 
-    Rows are (task, fp, root). Of a point's partners, nearest first, those from the ``low``-th to the
-    ``high``-th are proposed if they are of another group; in the first round its smallest partner is, too.
+    Rows of ``tasks`` are (task, fp, root) and further columns, which ``pairs`` gets with the fingerprints in order.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("more", pa.int64())])
 
-    def pairs(prints: list[bytes], roots: list[bytes]) -> tuple[set[tuple[int, int]], bool]:
-        points, out, more = _as_words(prints, width), set(), False
-        _, group = np.unique(np.array(roots, dtype=object), return_inverse=True)
-        if group.max() == 0:
-            return out, False
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, rows in _by_task(batches):
+            known = {r[0]: r[1:] for r in rows}
+            prints = sorted(known)
+            if len(prints) < 2:
+                continue
+            roots, *others = zip(*(known[p] for p in prints))
+            _, group = np.unique(np.array(roots, dtype=object), return_inverse=True)
+            if group.max() == 0:
+                continue
+            chosen, more = pairs(prints, group, *others)
+            a, b = [prints[i] for i, _ in chosen], [prints[j] for _, j in chosen]
+            flags = [None] * len(chosen)
+            if more:
+                a, b, flags = [*a, None], [*b, None], [*flags, task]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip((a, b, flags), schema)], schema=schema)
+
+    found = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary, more bigint")
+    return written(found, "proposed")
+
+
+def _nearest(width: int, radius: int, count: int):
+    """Of a point's partners within the radius the nearest of other groups, and the smallest."""
+
+    def pairs(prints: list[bytes], group: np.ndarray) -> tuple[set[tuple[int, int]], bool]:
+        points, out = _as_words(prints, width), set()
 
         def found(row: int, partners: np.ndarray) -> None:
-            nonlocal more
             partners = partners[partners != row]
             order = np.lexsort((partners, _distance(points[partners], points[row])))
             ranked = partners[order]
-            other = group[ranked] != group[row]
-            chosen = ranked[low:high][other[low:high]].tolist()
-            more = more or bool(other[high:].any())
-            if low == 0:
-                chosen.append(int(ranked.min()))
+            chosen = ranked[:count][group[ranked[:count]] != group[row]].tolist()
+            chosen.append(int(ranked.min()))
             out.update((max(row, c), min(row, c)) for c in chosen)
 
         everything = np.arange(len(prints))
         _search(everything, points, everything, radius, lambda row, near: found(int(row), near))
+        return out, False
+
+    return pairs
+
+
+def _possible(width: int, similarity: float, low: int, high: int):
+    """Of a point's partners that sizes and parities allow, nearest first, the ``low``-th to ``high``-th of other groups.
+
+    Sets of n and m shingles have at most (n + m) (1 - s) / (1 + s) that only one of them has, and their parities
+    differ in no more bits than that.
+    """
+    apart = (1 - similarity) / (1 + similarity)
+
+    def pairs(prints, group, sizes, parities) -> tuple[set[tuple[int, int]], bool]:
+        points, out, more = _as_words(prints, width), set(), False
+        size, bits = np.array(sizes, dtype=np.int64), _as_words(list(parities), 4)
+        for lo in range(0, len(prints), 256):
+            part = np.arange(lo, min(lo + 256, len(prints)))
+            mine = size[part][:, None]
+            near = np.minimum(mine, size) >= similarity * np.maximum(mine, size) - 1e-6
+            differ = np.zeros(near.shape, dtype=np.int64)
+            for w in range(4):
+                differ += np.bitwise_count(bits[part, w][:, None] ^ bits[:, w])
+            near &= differ <= apart * (mine + size) + 1e-6
+            near[part - lo, part] = False
+            open_rows = (near & (group[part][:, None] != group)).any(axis=1)
+            for row in part[open_rows].tolist():
+                partners = np.flatnonzero(near[row - lo])
+                ranked = partners[np.lexsort((partners, _distance(points[partners], points[row])))]
+                other = group[ranked] != group[row]
+                more = more or bool(other[high:].any())
+                out.update((max(row, c), min(row, c)) for c in ranked[low:high][other[low:high]].tolist())
         return out, more
 
+    return pairs
+
+
+# ---------------------------------------------------------------- lists of rare shingles
+
+
+def prefix_length(count: int, similarity: float) -> int:
+    """How many first shingles of a set hold the first one that it has in common with any similar set."""
+    return count - math.ceil(similarity * count - 1e-6) + 1 if count else 0
+
+
+def _first(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, count: int) -> np.ndarray:
+    """The first shingles in the order that puts common ones last, the most common at the end."""
+    late = np.zeros(len(hashes), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        late = np.where(common[at] == hashes, rank[at], 0)
+    return hashes[np.lexsort((hashes, late))[:count]]
+
+
+def _parity(hashes: np.ndarray) -> bytes:
+    """For each of 256 classes of shingles whether their number is odd."""
+    odd = np.bincount((mix(hashes) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found often in a sample of the documents, sorted, and their order by number.
+
+    Only the lengths of lists depend on the sample; what is linked does not.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for task, rows in _by_task(batches):
-            root = dict(rows)
-            prints = sorted(root)
-            if len(prints) < 2:
-                continue
-            chosen, more = pairs(prints, [root[p] for p in prints])
-            a, b = [prints[i] for i, _ in chosen], [prints[j] for _, j in chosen]
-            flags = [None] * len(chosen)
-            if more:
-                a, b, flags = [*a, None], [*b, None], [*flags, task]
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip((a, b, flags), schema)], schema=schema)
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                hashes = np.unique(shingle_hashes(text or b"", shingle))
+                yield pa.record_batch([pa.array(hashes.view(np.int64))], names=["shingle"])
 
-    return run
+    every = max(1, docs.count() // SAMPLED)
+    sample = docs.where(F.pmod(F.xxhash64(TEXT_HASH), F.lit(every)) == 0).select("text")
+    counted = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= COMMON)
+    rows = counted.orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).collect()
+    hashes = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(rows) - np.arange(len(rows)))[order]
+
+
+def with_shingles(
+    docs: DataFrame, shingle: int, width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]
+) -> DataFrame:
+    """Per document: id, hash of the text, fingerprint, hash of the shingle set, its size, parities and first shingles."""
+    chosen = docs.select("text", "doc_id", TEXT_HASH)
+    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+    names = (FP, "__set", "__n", "__parity", "__first")
+
+    def described(text: bytes) -> tuple:
+        hashes = np.unique(shingle_hashes(text, shingle))
+        first = _first(hashes, *common, prefix_length(len(hashes), similarity))
+        prints = _majority(hashes, width, True)
+        name = int.from_bytes(prints[-8:], "big", signed=True)
+        return prints, name, len(hashes), _parity(hashes), first.view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [described(t or b"") for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            columns = [pa.array([d[i] for d in done], kind) for i, kind in enumerate(kinds)]
+            yield pa.record_batch([*batch.columns[1:], *columns], names=["doc_id", TEXT_HASH, *names])
+
+    added = zip(names, (T.BinaryType(), T.LongType(), T.IntegerType(), T.BinaryType(), T.ArrayType(T.LongType())))
+    schema = T.StructType([*chosen.schema.fields[1:], *(T.StructField(n, t) for n, t in added)])
+    return chosen.mapInArrow(run, schema)
+
+
+def _listed(prints: DataFrame) -> DataFrame:
+    """(shard, set): the sets that have a first shingle in common with another one."""
+    postings = prints.select(F.explode("__first").alias("shard"), F.col("__set").alias("set"))
+    ends = postings.groupBy("shard").agg(F.min("set").alias("lo"), F.max("set").alias("hi"))
+    shared = written(ends.where("lo != hi").select("shard"), "shared")
+    return written(postings.join(shared, "shard").distinct(), "listed")
+
+
+def _list_tasks(listed: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, cell: int) -> DataFrame:
+    """(task, fp, n, parity): the lists that hold nodes of several groups. Rings are sizes within the similarity."""
+    rooted = written(
+        nodes.join(roots, nodes["fp"] == roots["a"], "left").select("set", F.coalesce("root", "fp").alias("root")), "rooted"
+    )
+    ends = listed.join(rooted, "set").groupBy("shard").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = written(ends.where("lo != hi").select("shard"), "several")
+    ring = F.floor(F.log("n") / (-math.log(similarity) * 1.0001)).cast("int").alias("ring")
+    members = listed.join(several, "shard").join(nodes, "set").select("shard", ring, "fp", "n", "parity")
+    return written(_cut(written(members, "members"), cell), "tasks")
 
 
 def _checker(shingle: int, similarity: float):
@@ -475,37 +616,33 @@ def check_pairs(
 
 
 def near_links(
-    nodes: DataFrame, keyed: DataFrame, masks: np.ndarray, width: int, radius: int,
+    prints: DataFrame, nodes: DataFrame, keyed: DataFrame, masks: np.ndarray, width: int, radius: int,
     shingle: int, similarity: float, cell: int = CELL, first: int = 2,
 ) -> DataFrame:
-    """(a, root): every linked node with its group's smallest, by checked links between the pairs the trees find.
+    """(a, root): every linked node with its group's smallest, by checked links. No similar pair is left out.
 
-    ``nodes`` has ``fp`` and ``first`` (the document whose text stands for the node), ``keyed`` the documents' texts.
+    ``nodes`` has ``fp``, ``first`` (the document whose text stands for the node), ``set``, ``n`` and ``parity``,
+    ``prints`` the first shingles of the documents, ``keyed`` their texts.
     """
-    tasks = written(_tasks(nodes, masks, width, radius, cell), "tasks")
-    low, high, links, roots = 0, first, None, None
-    while True:
-        if roots is None:
-            placed = tasks.select("task", "fp", F.col("fp").alias("root"))
-        else:
-            placed = tasks.join(roots, tasks["fp"] == roots["a"], "left").select(
-                "task", "fp", F.coalesce("root", "fp").alias("root")
-            )
-        proposed = written(
-            placed.repartition("task").sortWithinPartitions("task")
-            .mapInArrow(_proposer(width, radius, low, high), "a binary, b binary, more bigint"),
-            "proposed",
+    tasks = _tasks(nodes, masks, width, radius, cell).select("task", "fp", F.col("fp").alias("root"))
+    pairs = _proposed(tasks, _nearest(width, radius, first)).select("a", "b").distinct()
+    good = check_pairs(written(pairs, "pairs"), nodes, keyed, shingle, similarity)
+    roots = written(components(good).select("a", F.col("b").alias("root")), "roots")
+    tasks, low, high = _list_tasks(_listed(prints), nodes, roots, similarity, cell), 0, first
+    while not tasks.isEmpty():
+        placed = tasks.join(roots, tasks["fp"] == roots["a"], "left").select(
+            "task", "fp", F.coalesce("root", "fp").alias("root"), "n", "parity"
         )
+        proposed = _proposed(placed, _possible(width, similarity, low, high))
         pairs = written(proposed.where("a IS NOT NULL").select("a", "b").distinct(), "pairs")
-        if roots is None or not pairs.isEmpty():  # most groups are whole after the first round
-            good = written(check_pairs(pairs, nodes, keyed, shingle, similarity), "near")
-            links = good if links is None else links.unionByName(good)
+        good = None if pairs.isEmpty() else written(check_pairs(pairs, nodes, keyed, shingle, similarity), "near")
+        if good is not None and not good.isEmpty():
+            links = good.unionByName(roots.select("a", F.col("root").alias("b")))
             roots = written(components(links).select("a", F.col("b").alias("root")), "roots")
         more = proposed.where("more IS NOT NULL").select(F.col("more").alias("task"))
-        if more.isEmpty():
-            return roots
         tasks = written(tasks.join(more, "task", "left_semi"), "tasks")
         low, high = high, 8 * high
+    return roots
 
 
 def drop_near_copies(
@@ -514,18 +651,21 @@ def drop_near_copies(
     """The documents without near copies, in all their columns: of each group the smallest ``doc_id`` stays.
 
     Two documents are linked when they share ``similarity`` of their distinct shingles (Jaccard), checked exactly;
-    pairs are found by fingerprints of 64 x ``width`` bits. ``recall`` is the share of pairs at the threshold
-    that the trees find, and the share whose fingerprints lie within the radius.
+    all of these are found. ``width`` and ``recall`` decide only how many the trees of fingerprints of 64 x ``width``
+    bits find before the lists of rare shingles.
     """
     mean, bits = similarity_radius(similarity, width), 64 * width
     slack = NormalDist().inv_cdf(recall) * math.sqrt(mean * (1 - mean / bits))
     radius = mean + math.ceil(slack)
     keyed = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
-    prints = written(with_fingerprints(keyed, shingle, width, [TEXT_HASH], distinct=True), "fingerprints")
+    common = common_shingles(keyed, shingle)
+    prints = written(with_shingles(keyed, shingle, width, similarity, common), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", TEXT_HASH)
-    nodes = written(prints.groupBy(F.col(FP).alias("fp")).agg(F.min(order).alias("first")), "nodes")
+    described = [F.min(f"__{c}").alias(c) for c in ("set", "n", "parity")]
+    nodes = written(prints.groupBy(F.col(FP).alias("fp")).agg(F.min(order).alias("first"), *described), "nodes")
     masks = sampled_forest(width, mean, nodes.count(), recall)
-    roots = near_links(nodes, keyed, masks, width, radius, shingle, similarity)
+    roots = near_links(prints, nodes, keyed, masks, width, radius, shingle, similarity)
+    prints = prints.select("doc_id", TEXT_HASH, FP)
     placed = nodes.join(roots, nodes["fp"] == roots["a"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     best = written(placed.groupBy("root").agg(F.min("first").alias("best")), "best")
     groups = written(placed.join(best, "root").select("fp", "best"), "components")
