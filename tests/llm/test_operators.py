@@ -255,6 +255,29 @@ def test_substring_against_brute_force(docs):
     assert got(kept, "doc_id", "text") == sorted(((w[0], w[4]) for w in want), key=repr)
 
 
+def test_substring_hot_anchor_is_spread(spark):
+    """A phrase between different words gives one anchor to many different windows; no block holds them all."""
+    phrases = [prose(500 + i, 6) for i in range(300)]
+    hashes = [substring.hash_grams(hash_words(*plain(p), WHITE)[0], 6, substring.GRAM)[0] for p in phrases]
+    phrase = phrases[int(np.argmin(hashes))]
+    rows = [(i, f"{prose(7000 + i, 10)} {phrase} {prose(20_000 + i, 10)}") for i in range(2000)]
+    rows += [(9000 + i, rows[7 * i][1]) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    options = {"docs_per_block": 50}
+    windows = F.sum(F.length("whole")) / substring.EXACT_BYTES
+    sizes = [r["n"] for r in substring.indexed(docs, **options).groupBy("block").agg(windows.alias("n")).collect()]
+    assert max(sizes) < 3 * sum(sizes) / 41
+    found = substring.find_factors(docs, **options).groupBy("doc").agg(F.sum("length").alias("n"))
+    assert {r["doc"] for r in found.collect()} == {9000 + i for i in range(50)}
+    want = brute_substring(rows)
+    columns = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got(substring.report(docs), *columns) == sorted((w[:4] for w in want), key=repr)
+
+
+def plain(text: str) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+
+
 def brute_decontam(rows, items):
     windows = defaultdict(set)
     for name, text in items:

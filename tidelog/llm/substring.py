@@ -4,7 +4,10 @@
 ``window`` words is the smallest hash of its runs of ``k`` words, so equal windows, wherever they stand, meet in
 one block. A block knows, for each window, the smallest document that has it. Neighbouring windows with
 one anchor travel together; of windows that repeat within a batch only the smallest document's is
-sent, which bounds what a passage shared by many documents brings to its block.
+sent, which bounds what a passage shared by many documents brings to its block. A short phrase that stands between
+different words gives many different windows with one anchor. Anchors that a sample of the documents finds in more
+than a quarter of a block's share of windows are cut into parts by the hash of the whole window, each part in a block
+of its own; equal windows still meet, so results do not depend on the sample.
 
 **Factors.** In each block the windows of a document are matched with the reference. Consecutive windows that are
 found in one reference document make up a factor, at least ``window`` words long. A greedy parse would miss a
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import WHITE, buffers, hash_grams, hash_words, sliding_min
+from tidelog.llm.common import WHITE, buffers, hash_grams, hash_words, mix, sliding_min, written
 
 GRAM, EXACT = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 TEXT_HASH = "__text_hash"
@@ -40,6 +43,7 @@ LAST = np.iinfo(np.int64).max
 FLUSH_WORDS = 1_000_000
 NARROW = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("text", "<i4"), ("at", "<i4")])
 EXACT_BYTES = 6
+SAMPLED, MOST_HOT = 20_000, 1_000_000
 
 
 def _firsts(anchor: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -69,7 +73,42 @@ def _bytes(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 
 
-def _index(window: int, k: int, blocks: int):
+def _blocks(anchor: np.ndarray, whole: np.ndarray, blocks: int, hot: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """The block of each window; those of hot anchors (sorted) are dealt over the anchor's parts."""
+    key = anchor
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+        part = np.where(hot[at] == anchor, mix(whole) % parts[at], np.uint64(0))
+        key = np.where(part > 0, mix(anchor + part * np.uint64(EXACT)), anchor)
+    return (key % np.uint64(blocks)).astype(np.int64)
+
+
+def _hot_anchors(docs: DataFrame, rows: int, window: int, k: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors above a quarter of a block's share of the windows, sorted, and into how many parts each is cut."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, cuts = hash_words(*buffers(batch.column(0)), WHITE)
+            anchor = sliding_min(hash_grams(words, k, GRAM), window - k + 1)
+            row = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))[: len(anchor)]
+            inside = np.arange(len(anchor)) + window <= cuts[1:][row]
+            found, counts = np.unique(anchor[inside], return_counts=True)
+            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(counts)], names=["anchor", "n"])
+
+    every = max(1, rows // SAMPLED)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    counted = written(
+        sample.mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")), "anchors"
+    )
+    share = (counted.agg(F.sum("n")).first()[0] or 0) / blocks / 4
+    large = counted.where(F.col("n") > share).orderBy(F.desc("n"), "anchor").limit(MOST_HOT).collect()
+    hot = np.array([r[0] for r in large], dtype=np.int64).view(np.uint64)
+    parts = np.array([-(-r[1] // max(share, 1)) for r in large]).astype(np.uint64)
+    order = np.argsort(hot)
+    return hot[order], parts[order]
+
+
+def _index(window: int, k: int, blocks: int, hot: np.ndarray, parts: np.ndarray):
     """Windows of the batch's documents by block, and factors that the batch itself shows."""
 
     def pack(ids, texts, words, rows) -> pa.RecordBatch:
@@ -87,7 +126,7 @@ def _index(window: int, k: int, blocks: int):
         first = _firsts(anchor, whole, doc)
         known = doc > first
         # Known repeats go along as factors; the rest is sorted by block and anchor.
-        block = (anchor % np.uint64(blocks)).astype(np.int64)
+        block = _blocks(anchor, whole & np.uint64((1 << 8 * EXACT_BYTES) - 1), blocks, hot, parts)
         out: dict[str, list] = {"block": [], "head": [], "counts": [], "whole": [], "known": []}
         free = np.flatnonzero(~known)
         order = free[np.lexsort((place[free], row[free], block[free]))]
@@ -191,6 +230,17 @@ def _match(window: int):
     return run
 
 
+def indexed(docs: DataFrame, *, window: int = 13, k: int = 6, docs_per_block: int = 2_000) -> DataFrame:
+    """(block, head, counts, whole, known): windows of the documents, packed by block."""
+    keyed = docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("t"), "text")
+    rows = docs.count()
+    blocks = max(16, -(-rows // docs_per_block))
+    hot, parts = _hot_anchors(keyed, rows, window, k, blocks)
+    return keyed.mapInArrow(
+        _index(window, k, blocks, hot, parts), "block bigint, head binary, counts binary, whole binary, known binary"
+    )
+
+
 def find_factors(docs: DataFrame, *, window: int = 13, k: int = 6, docs_per_block: int = 2_000) -> DataFrame:
     """(doc, text, start, length, reference): factors of at least ``window`` words, in words.
 
@@ -198,12 +248,8 @@ def find_factors(docs: DataFrame, *, window: int = 13, k: int = 6, docs_per_bloc
     A block has about ``docs_per_block`` documents' share of the windows, however large the corpus is; larger
     blocks need more memory and fewer messages.
     """
-    keyed = docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("t"), "text")
-    blocks = max(16, -(-docs.count() // docs_per_block))
-    indexed = keyed.mapInArrow(
-        _index(window, k, blocks), "block bigint, head binary, counts binary, whole binary, known binary"
-    )
-    return indexed.repartition("block").sortWithinPartitions("block").mapInArrow(
+    packed = indexed(docs, window=window, k=k, docs_per_block=docs_per_block)
+    return packed.repartition("block").sortWithinPartitions("block").mapInArrow(
         _match(window), "doc bigint, text bigint, start bigint, length bigint, reference bigint"
     )
 
