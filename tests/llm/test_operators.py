@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
 import random
@@ -502,6 +503,20 @@ def test_warc_round_trip(spark, range_bytes):
     assert sum(r["records"] for r in archives.collect()) == len(PAGES)
 
 
+def test_warc_payload_is_verified():
+    payload = b"<p>some text</p>"
+    digest = warc.base32_sha1(payload)
+    whole = gzip.decompress(warc.record(1, "u", payload, digest, None, False))
+    assert warc.parse_record(whole)[2:5] == (payload, len(payload), digest)
+    altered = whole.replace(b"some text", b"same text")
+    cut = whole.replace(payload, payload[:-4])
+    for content in (altered, cut):
+        with pytest.raises(ValueError, match="payload"):
+            warc.parse_record(content)
+    seen = gzip.decompress(warc.record(2, "u", payload, digest, 1, True))
+    assert warc.parse_record(seen)[2:5] == (b"", len(payload), digest)
+
+
 def test_warc_decoys_and_empty(spark):
     """Gzip magic and even whole gzip members inside a payload are not records."""
     import io

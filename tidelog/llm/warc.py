@@ -167,7 +167,11 @@ def _decode(first: bytes, window: _Window, limit: int | None = None) -> tuple[by
 
 
 def parse_record(content: bytes) -> tuple:
-    """Fields of a record in the order of ``COLUMNS``."""
+    """Fields of a record in the order of ``COLUMNS``.
+
+    Length and digest of a response are those of the payload read; other ones than its headers name are an error. A
+    revisit has no payload, so its headers' are returned.
+    """
     head, _, block = content.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
     block = block[: int(fields["Content-Length"])]
@@ -176,13 +180,19 @@ def parse_record(content: bytes) -> tuple:
         int(line.split(b":")[1]) for line in http.split(b"\r\n") if line.lower().startswith(b"content-length:")
     )
 
+    digest = fields["WARC-Payload-Digest"].partition(":")[2]
+    if fields["WARC-Type"] == "response":
+        named, (length, digest) = (length, digest), (len(payload), base32_sha1(payload))
+        if (length, digest) != named:
+            raise ValueError(f"{fields['WARC-Record-ID']}: payload has {(length, digest)}, headers name {named}")
+
     def number(name: str) -> int | None:
         value = fields.get(name, f"<{ID}null>")[len(ID) + 1 : -1]
         return None if value == "null" else int(value)
 
     return (
         number("WARC-Record-ID"), unquote(fields["WARC-Target-URI"]), payload, length,
-        fields["WARC-Payload-Digest"].partition(":")[2], fields["WARC-Type"], number("WARC-Refers-To"),
+        digest, fields["WARC-Type"], number("WARC-Refers-To"),
     )
 
 
