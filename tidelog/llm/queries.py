@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, decontam, exact, langid, mainhtml, mixing, quality, simhash, substring, warc
+from tidelog.llm import chat, decontam, divergence, exact, langid, mainhtml, mixing, quality, simhash, substring
+from tidelog.llm import tokenfiles, warc, whitening
 from tidelog.llm.common import table
 
 # Fixed value of the contract: a conversation that contains control strings.
@@ -60,6 +61,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings")).drop("deviation_text")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenfiles.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_exact_dedup, op3_language_id, op4_html_extraction, op5_simhash_dedup, op6_substring_dedup,
-        op7_decontamination, op8_mixing, op9_quality, op10_warc, pipeline,
+        op7_decontamination, op8_mixing, op9_quality, op10_warc, op11_whitening, op12_token_files, op13_divergence,
+        pipeline,
     )
 }
 
@@ -199,7 +215,48 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, dig
 FROM payloads JOIN digests USING (hex)
 """
 
+_OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), uses AS (
+  SELECT d, lang, source, term, count(*) AS n FROM (SELECT d, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n) AS n FROM uses GROUP BY lang, term HAVING count(*) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), groups AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(u.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN (SELECT lang, v FROM langs) USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(uses.n) AS n FROM uses JOIN kept USING (lang, term) GROUP BY lang, source) u USING (lang, source)
+  GROUP BY lang, source
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * CAST(coalesce(u.n, 0) + 1 AS HUGEINT) // CAST(g.n + g.v AS HUGEINT) AS p
+  FROM groups g JOIN kept k USING (lang)
+    LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM uses GROUP BY ALL) u USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum((p.p - q.p) * (p.p - q.p) // q.p), 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares p ON p.lang = a.lang AND p.source = a.source
+    LEFT JOIN shares q ON q.lang = b.lang AND q.source = b.source AND q.term = p.term
+  GROUP BY a.lang, a.source, b.source
+), terms AS (
+  SELECT lang, source, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+  FROM (
+    SELECT s.*, 1 + CAST(1000000000 AS HUGEINT) * CAST(k.n + 1 AS HUGEINT) // CAST(l.n + l.v AS HUGEINT) AS q
+    FROM shares s JOIN kept k USING (lang, term) JOIN langs l USING (lang)
+  ) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank
+FROM ranked QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) <= 200
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": _OP1, "op2_exact_dedup": _OP2, "op6_substring_dedup": _OP6, "op7_decontamination": _OP7,
-    "op8_mixing": _OP8, "op10_warc": _OP10,
+    "op8_mixing": _OP8, "op10_warc": _OP10, "op13_divergence": _OP13,
 }
