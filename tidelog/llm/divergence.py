@@ -2,8 +2,9 @@
 
 **Vectors.** ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` turns each document into an exact
 sparse vector. A term carries its language, so one model holds every language's vocabulary: a term of a language is in it if enough of that
-language's documents have it. The model's vocabulary lies in the driver and goes to every task; so that its size is bounded, terms are dealt
-by hash to as many models as an estimate of the distinct terms asks for (``max_terms`` each). Results do not depend on their number.
+language's documents have it. A model's vocabulary lies in the driver and goes to every task; so that its size is bounded, terms are dealt
+by hash to as many models as their number asks for (``max_terms`` each), which is estimated from the terms whose hash ends in ten
+zero bits. Results do not depend on the number of models; each one costs a pass over the texts.
 
 **Group sums.** Vector entries are summed per (language, source) and index, on sparse entries and in whole numbers.
 
@@ -19,64 +20,121 @@ the bytes of the item. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.llm.common import ready, text_of, written
+from tidelog.llm.common import Alphabet, buffers, hash_words, ready, text_of, word_bounds, written
 
-# Fixed values of the contract.
+# Fixed values of the contract. In UTF-8 a term is a run of ASCII letters and bytes from 0x80 on.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_DOCS, WHOLE, TOP = 3, 10**9, 200
 
 MAX_VOCABULARY = 2**31 - 1
 # Between a language and a term; terms have no such character.
 MARK = "\u0000"
-
-
-def documents_terms(docs: DataFrame) -> DataFrame:
-    """``lang``, ``source`` and the terms of each document, each after its language."""
-    terms = F.regexp_extract_all(F.translate(text_of("text"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    rows = docs.select(text_of("lang").alias("lang"), text_of("source").alias("source"), terms.alias("terms"))
-    return rows.withColumn("terms", F.transform("terms", lambda t: F.concat(F.col("lang"), F.lit(MARK), t)))
-
-
-def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 1_000_000) -> DataFrame:
-    """Occurrences per group of the terms a language keeps: ``lang``, ``source``, ``term``, ``count``, above 0."""
-    spark, rows = docs.sparkSession, documents_terms(docs)
-    distinct = rows.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0]
-    parts = max(1, -(-distinct // max_terms))
-    counts = []
+LETTERS = Alphabet(bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
+FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+SAMPLE_BITS = 10
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each pair of a start and a size, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def marked_terms(texts: pa.Array, langs: pa.Array, parts: int = 1, part: int = 0) -> pa.Array:
+    """The terms of each text in lower case, each after its language; of several parts only those of one."""
+    data, cuts = buffers(texts)
+    starts, ends = word_bounds(data, cuts, 0, len(data), LETTERS.is_word)
+    keep = np.ones(len(starts), dtype=bool)
+    if parts > 1:
+        keep = hash_words(data, cuts, LETTERS)[0] % np.uint64(parts) == part
+    letters = FOLD[data[LETTERS.is_word[data]]]
+    if parts > 1:
+        letters = letters[np.repeat(keep, ends - starts)]
+    starts, sizes = starts[keep], (ends - starts)[keep]
+    heads, head_cuts = buffers(pa.array([v + MARK for v in langs.to_pylist()], pa.string()))
+    doc = np.searchsorted(cuts, starts, "right") - 1
+    head_sizes = np.diff(head_cuts)[doc]
+    offsets = np.concatenate([[0], np.cumsum(sizes + head_sizes)])
+    out, mine = np.empty(offsets[-1], dtype=np.uint8), np.ones(offsets[-1], dtype=bool)
+    front = _ranges(offsets[:-1], head_sizes)
+    out[front] = heads[_ranges(head_cuts[doc], head_sizes)]
+    mine[front] = False
+    out[mine] = letters
+    terms = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(starts, cuts), pa.int32()), terms)
+
+
+def document_terms(docs: DataFrame, parts: int = 1, part: int = 0) -> DataFrame:
+    """``lang``, ``source`` and ``terms`` of each document."""
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = marked_terms(batch.column(2), batch.column(0), parts, part)
+            yield pa.record_batch([batch.column(0), batch.column(1), terms], names=["lang", "source", "terms"])
+
+    return _rows(docs).mapInArrow(take, "lang string, source string, terms array<string>")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(*[text_of(c).alias(c) for c in ("lang", "source", "text")])
+
+
+def models_needed(docs: DataFrame, min_docs: int, max_terms: int) -> int:
+    """How many models hold all kept terms, from the share of them whose hash ends in zeros."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, starts = hash_words(*buffers(batch.column(2)), LETTERS)
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            few = hashes & np.uint64((1 << SAMPLE_BITS) - 1) == 0
+            pairs = np.unique(np.stack([doc[few], hashes[few].view(np.int64)], axis=1), axis=0)
+            langs = batch.column(0).take(pa.array(pairs[:, 0]))
+            yield pa.record_batch([langs, pa.array(pairs[:, 1])], names=["lang", "term"])
+
+    found = _rows(docs).mapInArrow(sample, "lang string, term bigint")
+    kept = found.groupBy("lang", "term").count().where(F.col("count") >= min_docs).count()
+    return max(1, -(-(kept << SAMPLE_BITS) // max_terms))
+
+
+def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """Occurrences above 0, per group, of the terms a language keeps (``lang``, ``source``, ``index``, ``count``), and the
+    terms (``index``, ``term``). An index belongs to one language."""
+    spark, parts = docs.sparkSession, models_needed(docs, min_docs, max_terms)
+    counts, names = [], []
     for part in range(parts):
-        mine = rows
-        if parts > 1:
-            dealt = f"filter(terms, t -> pmod(xxhash64(t), {parts}) = {part})"
-            mine = rows.withColumn("terms", F.expr(dealt))
-        mine = mine.where(F.size("terms") > 0)
+        rows = document_terms(docs, parts, part).where(F.size("terms") > 0)
         model = CountVectorizer(
             inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MAX_VOCABULARY
-        ).fit(mine)
-        if not model.vocabulary:
+        ).fit(rows)
+        vocabulary = model.vocabulary
+        if not vocabulary:
             continue
-        names = [(i, *marked.rsplit(MARK, 1)) for i, marked in enumerate(model.vocabulary)]
+        first = part * (MAX_VOCABULARY + 1)
         vector = F.unwrap_udt("vector")
-        entries = model.transform(mine).select(
-            "source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("entry")
+        entries = model.transform(rows).select(
+            "lang", "source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("entry")
         )
-        # An index belongs to one language, so it needs no further key.
-        sums = entries.groupBy("source", F.col("entry.indices").alias("index")).agg(
+        sums = entries.groupBy("lang", "source", (F.col("entry.indices") + F.lit(first)).alias("index")).agg(
             F.sum(F.col("entry.values").cast("bigint")).alias("count")
         )
-        vocabulary = spark.createDataFrame(names, "index int, lang string, term string")
-        counts.append(written(sums.join(vocabulary, "index").select("lang", "source", "term", "count"), "term-counts"))
+        counts.append(written(sums, "term-counts"))
+        terms = {"index": np.arange(first, first + len(vocabulary)), "term": [v.rsplit(MARK, 1)[1] for v in vocabulary]}
+        names.append(written(spark.createDataFrame(pa.table(terms)), "terms"))
     if not counts:
-        return spark.createDataFrame([], "lang string, source string, term string, count bigint")
-    whole = counts[0]
-    for more in counts[1:]:
-        whole = whole.unionByName(more)
-    return whole
+        empty = "lang string, source string, index bigint, count bigint"
+        return spark.createDataFrame([], empty), spark.createDataFrame([], "index bigint, term string")
+    for more in range(1, len(counts)):
+        counts[0], names[0] = counts[0].unionByName(counts[more]), names[0].unionByName(names[more])
+    return counts[0], names[0]
 
 
 def share(count: Column, size: Column) -> Column:
@@ -92,9 +150,9 @@ def gap(p: Column, q: Column) -> Column:
 def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = 1_000_000) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``: other sources and own terms by divergence."""
     ready(docs.sparkSession)
-    counts = term_counts(docs, min_docs, max_terms)
+    counts, names = term_counts(docs, min_docs, max_terms)
     keys = ["lang", "source"]
-    kept = counts.groupBy("lang", "term").agg(F.sum("count").alias("all"))
+    kept = counts.groupBy("lang", "index").agg(F.sum("count").alias("all"))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all").alias("n_lang"))
     occurring = docs.select(*[text_of(k).alias(k) for k in keys]).distinct()
     groups = written(
@@ -107,7 +165,7 @@ def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_term
     )
     rows = counts.join(groups.select(*keys, "size", "p0"), keys).withColumn("p", share(F.col("count"), F.col("size")))
 
-    return _pairs(rows, groups).unionByName(_terms(rows, kept, sizes, top))
+    return _pairs(rows, groups).unionByName(_terms(rows, kept, sizes, names, top))
 
 
 def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
@@ -117,10 +175,10 @@ def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
     return ranked.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
 
 
-def _terms(rows: DataFrame, kept: DataFrame, sizes: DataFrame, top: int) -> DataFrame:
+def _terms(rows: DataFrame, kept: DataFrame, sizes: DataFrame, names: DataFrame, top: int) -> DataFrame:
     """Terms a group uses more than its language. The rank filter cuts groups in tasks before they are shuffled."""
-    langs = kept.join(sizes, "lang").select("lang", "term", share(F.col("all"), F.col("n_lang") + F.col("v")).alias("q"))
-    above = rows.join(langs, ["lang", "term"]).where("p > q")
+    langs = kept.join(sizes, "lang").select("index", share(F.col("all"), F.col("n_lang") + F.col("v")).alias("q"))
+    above = rows.join(langs, "index").where("p > q").join(names, "index")
     return _ranked(above.select("lang", "source", F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value")), "term", top)
 
 
@@ -144,11 +202,8 @@ def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
         mine.join(theirs, "lang").where(unlike).select(
             "lang", "source", "item", (F.col("terms") * (gap(p0, q) - gap(p0, q0))).alias("value")
         ),
-        rows.select("lang", "term", "source", "p", "p0")
-        .join(
-            rows.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0")),
-            ["lang", "term"],
-        )
+        rows.select("lang", "index", "source", "p", "p0")
+        .join(rows.select("index", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0")), "index")
         .where(unlike)
         .select("lang", "source", "item", (gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("value")),
     ]
