@@ -29,6 +29,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,12 @@ RANGE_BYTES = 64 << 20
 MEMORY = 1 << 20
 SOLID = r"[^\s\u180e\u200b\ufeff]"
 PIECE_BORDER = re.compile(f"(?<={SOLID}) (?={SOLID})")
+# A piece of two parts that a byte-level tokenizer never joins: letters or digits, then sentence marks.
+PLAIN_PIECE = re.compile("([0-9]+|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+# Byte-level vocabularies write printable bytes as themselves and number the others from 256.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+SPACE = chr(BYTE_NAMES[32])
 
 
 def to_planes(numbers: np.ndarray, unit: int) -> list[bytes]:
@@ -225,6 +232,7 @@ class Encoder:
         # Pieces at the start of a text and pieces after a space: their place in the tables of ids.
         self.first: dict[str, int] = {}
         self.later: dict[str, int] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -238,9 +246,21 @@ class Encoder:
                 yield found.ids
             begin = end
 
-    def _learn(self, codes: dict[str, int], pieces: set[str], prefix: str) -> None:
-        new = [p for p in pieces if p not in codes]
-        flat, sizes = _joined(self._encode([prefix + p for p in new]))
+    def _part(self, part: str) -> tuple[int, ...]:
+        """Ids of a part that the tokenizer does not cut, straight from its merges."""
+        ids = self.parts.get(part)
+        if ids is None:
+            named = part.replace(" ", SPACE) if part.isascii() else part.encode().decode("latin-1").translate(BYTE_NAMES)
+            ids = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(named)])
+        return ids
+
+    def _learn(self, codes: dict[str, int], pieces: list[str], prefix: str) -> None:
+        new = list(set(pieces).difference(codes))
+        plain = list(map(PLAIN_PIECE.fullmatch, new))
+        others = iter(self._encode([prefix + p for p, m in zip(new, plain) if not m]))
+        flat, sizes = _joined(
+            self._part(prefix + m[1]) + (self._part(m[2]) if m[2] else ()) if m else next(others) for m in plain
+        )
         codes.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
@@ -251,19 +271,18 @@ class Encoder:
             return _joined(self._encode(texts))
         if len(self.sizes) > self.memory:
             self._forget()
-        pieces = [PIECE_BORDER.split(t) for t in texts]
-        self._learn(self.first, {p[0] for p in pieces}, "")
-        self._learn(self.later, {w for p in pieces for w in p[1:]}, " ")
-        codes: list[int] = []
-        for p in pieces:
-            codes.append(self.first[p[0]])
-            codes += map(self.later.__getitem__, p[1:])
-        at = np.array(codes, dtype=np.int64)
+        split = [PIECE_BORDER.split(t) for t in texts]
+        pieces, heads = list(chain.from_iterable(split)), [p[0] for p in split]
+        self._learn(self.first, heads, "")
+        self._learn(self.later, pieces, " ")
+        at = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))
+        begins = np.cumsum([0, *map(len, split)])
+        at[begins[:-1]] = [self.first[h] for h in heads]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)]
-        borders = np.concatenate([[0], ends])[np.cumsum([0, *map(len, pieces)])]
+        borders = np.concatenate([[0], ends])[begins]
         return ids, np.diff(borders)
 
 
