@@ -3,15 +3,15 @@
 **Vectors.** ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` turns each document into an exact
 sparse vector. A term carries its language, so one model holds every language's vocabulary: a term of a language is in it if enough of that
 language's documents have it. A model's vocabulary lies in the driver and goes to every task; so that its size is bounded, terms are dealt
-by hash to as many models as their number asks for (``max_terms`` each), which is estimated from the terms whose hash ends in ten
-zero bits. Results do not depend on the number of models; each one costs a pass over the texts.
+by hash to as many models as their number asks for (about ``max_terms`` each), which is estimated from the terms whose hash ends in ten
+zero bits. Results do not depend on the number of models. With several, the texts' terms are written once, by model.
 
 **Group sums.** Vector entries are summed per (language, source) and index, on sparse entries and in whole numbers.
 
 **Sparse pairs.** A pair's value is a sum over all kept terms, of which a source has few. With f0 the value where both counts are 0, the sum
 is V f0, plus f(p, q0) - f0 over the terms of the one, plus f(p0, q) - f0 over those of the other, plus what is still missing
-over terms of both. The first two come from how often each count occurs, the last from a join on the term. All parts are summed in
-tasks before they are shuffled.
+over terms of both. The first two come from how often each share occurs. For the last the rows of a term meet in one task, at most one
+a source; pairs are made in blocks and summed there, so what is shuffled on is one row a pair of sources and task.
 
 Defined cases: null text, language and source are empty strings. Documents are rows, repeated ones too. A language without
 kept terms has pairs of value 0 and no ``term`` rows; a source alone in its language has no pair. Ties are ranked by
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.llm.common import Alphabet, buffers, hash_words, ready, text_of, word_bounds, written
+from tidelog.sources.scratch import scratch_dir
 
 # Fixed values of the contract. In UTF-8 a term is a run of ASCII letters and bytes from 0x80 on.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -49,39 +50,40 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def marked_terms(texts: pa.Array, langs: pa.Array, parts: int = 1, part: int = 0) -> pa.Array:
-    """The terms of each text in lower case, each after its language; of several parts only those of one."""
+def marked_terms(texts: pa.Array, langs: pa.Array, parts: int = 1) -> Iterator[pa.Array]:
+    """The terms of each text in lower case, each after its language: a list per text, for one part of the terms after another."""
     data, cuts = buffers(texts)
     starts, ends = word_bounds(data, cuts, 0, len(data), LETTERS.is_word)
-    keep = np.ones(len(starts), dtype=bool)
-    if parts > 1:
-        keep = hash_words(data, cuts, LETTERS)[0] % np.uint64(parts) == part
-    letters = FOLD[data[LETTERS.is_word[data]]]
-    if parts > 1:
-        letters = letters[np.repeat(keep, ends - starts)]
-    starts, sizes = starts[keep], (ends - starts)[keep]
-    heads, head_cuts = buffers(pa.array([v + MARK for v in langs.to_pylist()], pa.string()))
+    sizes, letters = ends - starts, FOLD[data[LETTERS.is_word[data]]]
     doc = np.searchsorted(cuts, starts, "right") - 1
-    head_sizes = np.diff(head_cuts)[doc]
-    offsets = np.concatenate([[0], np.cumsum(sizes + head_sizes)])
-    out, mine = np.empty(offsets[-1], dtype=np.uint8), np.ones(offsets[-1], dtype=bool)
-    front = _ranges(offsets[:-1], head_sizes)
-    out[front] = heads[_ranges(head_cuts[doc], head_sizes)]
-    mine[front] = False
-    out[mine] = letters
-    terms = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(starts, cuts), pa.int32()), terms)
-
-
-def document_terms(docs: DataFrame, parts: int = 1, part: int = 0) -> DataFrame:
-    """``lang``, ``source`` and ``terms`` of each document."""
+    dealt = hash_words(data, cuts, LETTERS)[0] % np.uint64(parts) if parts > 1 else np.zeros(len(starts), np.uint64)
+    heads, head_cuts = buffers(pa.array([v + MARK for v in langs.to_pylist()], pa.string()))
+    for part in range(parts):
+        keep = dealt == part
+        mine, of, own = sizes[keep], doc[keep], letters[np.repeat(keep, sizes)]
+        head_sizes = np.diff(head_cuts)[of]
+        offsets = np.concatenate([[0], np.cumsum(mine + head_sizes)])
+        out, is_letter = np.empty(offsets[-1], dtype=np.uint8), np.ones(offsets[-1], dtype=bool)
+        front = _ranges(offsets[:-1], head_sizes)
+        out[front] = heads[_ranges(head_cuts[of], head_sizes)]
+        is_letter[front] = False
+        out[is_letter] = own
+        terms = pa.StringArray.from_buffers(len(mine), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
+        yield pa.ListArray.from_arrays(pa.array(np.searchsorted(starts[keep], cuts), pa.int32()), terms)
+
+
+def document_terms(docs: DataFrame, parts: int = 1) -> DataFrame:
+    """``part``, ``lang``, ``source`` and ``terms`` of each document, a row for each part of the terms that it has."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = marked_terms(batch.column(2), batch.column(0), parts, part)
-            yield pa.record_batch([batch.column(0), batch.column(1), terms], names=["lang", "source", "terms"])
+            for part, terms in enumerate(marked_terms(batch.column(2), batch.column(0), parts)):
+                number = pa.array(np.full(batch.num_rows, part, dtype=np.int32))
+                yield pa.record_batch(
+                    [number, batch.column(0), batch.column(1), terms], names=["part", "lang", "source", "terms"]
+                )
 
-    return _rows(docs).mapInArrow(take, "lang string, source string, terms array<string>")
+    return _rows(docs).mapInArrow(take, "part int, lang string, source string, terms array<string>").where(F.size("terms") > 0)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -105,19 +107,22 @@ def models_needed(docs: DataFrame, min_docs: int, max_terms: int) -> int:
     return max(1, -(-(kept << SAMPLE_BITS) // max_terms))
 
 
-def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 400_000) -> tuple[DataFrame, DataFrame]:
     """Occurrences above 0, per group, of the terms a language keeps (``lang``, ``source``, ``index``, ``count``), and the
     terms (``index``, ``term``). An index belongs to one language."""
     spark, parts = docs.sparkSession, models_needed(docs, min_docs, max_terms)
-    counts, names = [], []
+    counts, names, whole = [], [], document_terms(docs, parts)
+    if parts > 1:
+        folder = scratch_dir(spark, "document-terms")
+        whole.write.partitionBy("part").parquet(folder)
+        whole = spark.read.schema(whole.schema).parquet(folder)
     for part in range(parts):
-        rows = document_terms(docs, parts, part).where(F.size("terms") > 0)
+        rows = whole.where(F.col("part") == part)
+        if rows.isEmpty():
+            continue
         model = CountVectorizer(
             inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MAX_VOCABULARY
         ).fit(rows)
-        vocabulary = model.vocabulary
-        if not vocabulary:
-            continue
         first = part * (MAX_VOCABULARY + 1)
         vector = F.unwrap_udt("vector")
         entries = model.transform(rows).select(
@@ -127,8 +132,11 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 1_00
             F.sum(F.col("entry.values").cast("bigint")).alias("count")
         )
         counts.append(written(sums, "term-counts"))
-        terms = {"index": np.arange(first, first + len(vocabulary)), "term": [v.rsplit(MARK, 1)[1] for v in vocabulary]}
-        names.append(written(spark.createDataFrame(pa.table(terms)), "terms"))
+        # The saved model holds the vocabulary in one row, so it need not pass through Python.
+        folder = scratch_dir(spark, "vocabulary")
+        model.save(folder)
+        marked = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "marked"))
+        names.append(marked.select((F.col("at") + F.lit(first)).alias("index"), F.substring_index("marked", MARK, -1).alias("term")))
     if not counts:
         empty = "lang string, source string, index bigint, count bigint"
         return spark.createDataFrame([], empty), spark.createDataFrame([], "index bigint, term string")
@@ -147,7 +155,7 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = 1_000_000) -> DataFrame:
+def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = 400_000) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``: other sources and own terms by divergence."""
     ready(docs.sparkSession)
     counts, names = term_counts(docs, min_docs, max_terms)
@@ -156,16 +164,17 @@ def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_term
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all").alias("n_lang"))
     occurring = docs.select(*[text_of(k).alias(k) for k in keys]).distinct()
     groups = written(
-        occurring.join(counts.groupBy(*keys).agg(F.sum("count").alias("n"), F.count("*").alias("terms")), keys, "left")
+        occurring.join(counts.groupBy(*keys).agg(F.sum("count").alias("n")), keys, "left")
         .join(sizes, "lang", "left")
-        .na.fill(0, ["n", "terms", "v", "n_lang"])
+        .na.fill(0, ["n", "v", "n_lang"])
         .withColumn("size", F.col("n") + F.col("v"))
-        .withColumn("p0", F.when(F.col("size") > 0, share(F.lit(0), F.col("size")))),
+        .withColumn("p0", F.when(F.col("size") > 0, share(F.lit(0), F.col("size"))))
+        .withColumn("gid", F.monotonically_increasing_id()),
         "groups",
     )
-    rows = counts.join(groups.select(*keys, "size", "p0"), keys).withColumn("p", share(F.col("count"), F.col("size")))
-
-    return _pairs(rows, groups).unionByName(_terms(rows, kept, sizes, names, top))
+    shares = counts.join(groups.select(*keys, "gid", "size", "p0"), keys)
+    rows = written(shares.select("index", "gid", share(F.col("count"), F.col("size")).alias("p"), "p0"), "shares")
+    return _pairs(rows, groups).unionByName(_terms(rows, groups, kept, sizes, names, top))
 
 
 def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
@@ -175,42 +184,84 @@ def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
     return ranked.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
 
 
-def _terms(rows: DataFrame, kept: DataFrame, sizes: DataFrame, names: DataFrame, top: int) -> DataFrame:
+def _terms(
+    rows: DataFrame, groups: DataFrame, kept: DataFrame, sizes: DataFrame, names: DataFrame, top: int
+) -> DataFrame:
     """Terms a group uses more than its language. The rank filter cuts groups in tasks before they are shuffled."""
     langs = kept.join(sizes, "lang").select("index", share(F.col("all"), F.col("n_lang") + F.col("v")).alias("q"))
-    above = rows.join(langs, "index").where("p > q").join(names, "index")
+    above = rows.join(langs, "index").where("p > q").join(names, "index").join(groups.select("gid", "lang", "source"), "gid")
     return _ranked(above.select("lang", "source", F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value")), "term", top)
 
 
 def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Every other source of a language, from sums over the terms that occur in one of the two."""
-    mine = groups.select("lang", "source", "v", "p0")
-    other = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"))
+    mine = groups.select("lang", "gid", "v", "p0")
+    other = groups.select("lang", F.col("gid").alias("other"), F.col("p0").alias("q0"))
     # How many terms of a group have the same share.
-    shares = rows.groupBy("lang", "source", "p0", "p").agg(F.count("*").alias("terms"))
-    theirs = shares.select(
-        "lang", F.col("source").alias("item"), F.col("p0").alias("q0"), F.col("p").alias("q"), "terms"
-    )
+    shares = rows.groupBy("gid", "p").agg(F.count("*").alias("terms")).join(mine, "gid")
+    theirs = shares.select("lang", F.col("gid").alias("other"), F.col("p0").alias("q0"), F.col("p").alias("q"), "terms")
     p, p0, q, q0 = (F.col(c) for c in ("p", "p0", "q", "q0"))
-    unlike = F.col("source") != F.col("item")
     neither = F.when(F.col("v") > 0, F.col("v") * gap(p0, q0)).otherwise(0)
-    parts = [
-        mine.join(other, "lang").where(unlike).select("lang", "source", "item", neither.alias("value")),
-        shares.join(other, "lang").where(unlike).select(
-            "lang", "source", "item", (F.col("terms") * (gap(p, q0) - gap(p0, q0))).alias("value")
-        ),
-        mine.join(theirs, "lang").where(unlike).select(
-            "lang", "source", "item", (F.col("terms") * (gap(p0, q) - gap(p0, q0))).alias("value")
-        ),
-        rows.select("lang", "index", "source", "p", "p0")
-        .join(rows.select("index", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0")), "index")
-        .where(unlike)
-        .select("lang", "source", "item", (gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("value")),
+    first = F.col("terms") * (gap(p, q0) - gap(p0, q0))
+    second = F.col("terms") * (gap(p0, q) - gap(p0, q0))
+    parts = [(mine, other, neither), (shares, other, first), (mine, theirs, second)]
+    summed = [
+        a.join(b, "lang").where("gid <> other").groupBy("gid", "other").agg(F.sum(value).alias("value"))
+        for a, b, value in parts
     ]
-    # Each part is summed before the parts meet, so what is shuffled are pairs.
-    key = ["lang", "source", "item"]
-    summed = [part.groupBy(*key).agg(F.sum("value").alias("value")) for part in parts]
-    whole = summed[0]
-    for more in summed[1:]:
+    # All rows of a term in one task, next to each other.
+    whole = rows.repartition("index").sortWithinPartitions("index").mapInArrow(_common, "gid bigint, other bigint, value bigint")
+    for more in summed:
         whole = whole.unionByName(more)
-    return _ranked(whole.groupBy(*key).agg(F.sum("value").alias("value")), "pair")
+    values = whole.groupBy("gid", "other").agg(F.sum("value").alias("value"))
+    named = values.join(groups.select("gid", "lang", "source"), "gid").join(
+        groups.select(F.col("gid").alias("other"), F.col("source").alias("item")), "other"
+    )
+    return _ranked(named, "pair")
+
+
+def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) * (p - q) // q
+
+
+PAIRS, SUMS = 1 << 20, 1 << 20
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is missing over terms that both sources have, summed by pair. Rows (term, group, p, p0) come by term."""
+    sums: dict[tuple[int, int], int] = {}
+
+    def out() -> pa.RecordBatch:
+        columns = [[a for a, _ in sums], [b for _, b in sums], list(sums.values())]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["gid", "other", "value"])
+
+    def add(table: np.ndarray) -> None:
+        term, group, p, p0 = table
+        begins = np.searchsorted(term, term, "left")
+        partners = np.searchsorted(term, term, "right") - begins
+        groups, code = np.unique(group, return_inverse=True)
+        cuts = np.searchsorted(np.cumsum(partners), np.arange(0, int(partners.sum()) + PAIRS, PAIRS))
+        for begin, end in zip(cuts, np.append(cuts[1:], len(term))):
+            a = np.repeat(np.arange(begin, end), partners[begin:end])
+            b = _ranges(begins[begin:end], partners[begin:end])
+            a, b = a[a != b], b[a != b]
+            value = _gap(p[a], p[b]) - _gap(p[a], p0[b]) - _gap(p0[a], p[b]) + _gap(p0[a], p0[b])
+            pairs, place = np.unique(code[a] * len(groups) + code[b], return_inverse=True)
+            totals = np.zeros(len(pairs), dtype=np.int64)
+            np.add.at(totals, place, value)
+            for pair, total in zip(pairs.tolist(), totals.tolist()):
+                key = int(groups[pair // len(groups)]), int(groups[pair % len(groups)])
+                sums[key] = sums.get(key, 0) + total
+
+    rest = np.zeros((4, 0), dtype=np.int64)
+    for batch in batches:
+        rest = np.concatenate([rest, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        last = np.searchsorted(rest[0], rest[0][-1]) if rest.shape[1] else 0
+        if last >= 1 << 15:  # the last term may go on in the next batch
+            add(rest[:, :last])
+            rest = rest[:, last:]
+        if len(sums) >= SUMS:
+            yield out()
+            sums.clear()
+    add(rest)
+    yield out()
