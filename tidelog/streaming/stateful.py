@@ -3,10 +3,13 @@
 Each is a small ``step(state, row) -> (state, rows)`` given to ``transform_state``. Spark
 shuffles by key, keeps the state and restores it after a failure.
 
-Rows are put in order before they are seen: a row waits in its key's state until the watermark
+Rows are put in order before they are seen: a row waits until the watermark
 has passed it, so results do not depend on how the input is split into triggers. ``Lateness``
 says how far rows may be out of order; a row that comes later than that is dropped and counted in
 the query's progress.
+
+Rows that wait lie in a map by the instant they are due, with one timer per instant. A trigger reads and
+writes the instants that rows arrived for and those that are due; it does not touch what else waits.
 """
 
 from __future__ import annotations
@@ -15,11 +18,10 @@ import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.functions import nfa
 from tidelog.operators.cep import Pattern, match_schema, runtime_steps, with_conditions
@@ -27,6 +29,8 @@ from tidelog.plans.ordered import micros
 from tidelog.sources.sinks import end_of_input
 
 Step = Callable[[tuple, dict], tuple[tuple, list[tuple]]]
+# A user's timer: state and instant (microseconds) to state, rows, and the next instant or None.
+Tick = Callable[[tuple, int], tuple[tuple, list[tuple], "int | None"]]
 # Whole numbers as instants, one microsecond each, begin a day after the first watermark.
 DAY = 86_400_000_000
 
@@ -48,30 +52,12 @@ def ddl(df: DataFrame, columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
-def _plain(value):
-    """Python value of a pandas cell, missing as None."""
-    if isinstance(value, (list, dict, bytes, str)) or value is None:
-        return value
-    if pd.isna(value):
-        return None
-    return value.item() if hasattr(value, "item") else value
-
-
 def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) -> DataFrame:
     """Rows with their instant (``_time``, watermarked) and its microseconds (``_place``)."""
     whole = isinstance(df.schema[first].dataType, T.IntegralType)
     instant = F.timestamp_micros(F.col(first).cast("bigint") + DAY) if whole else F.col(first)
     rows = df.withColumn("_time", instant).filter(F.col("_time").isNotNull())
-    # Pandas would turn whole numbers beside nulls into doubles, so they travel as text.
-    rows = rows.withColumn("_place", F.unix_micros("_time")).select(
-        *[
-            F.col(f.name).cast("string").alias(f.name)
-            if isinstance(f.dataType, T.IntegralType) and f.name not in keys
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ],
-        "_time", F.col("_place").cast("string").alias("_place"),
-    )
+    rows = rows.withColumn("_place", F.unix_micros("_time"))
     if late.end:
         blank = [
             F.lit("0" if f.name in keys else None).try_cast(f.dataType).alias(f.name)
@@ -82,6 +68,94 @@ def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) ->
     return rows.withWatermark("_time", f"{late.delay // 1000 + 1} milliseconds")
 
 
+class InOrder(StatefulProcessor):
+    """Hands the rows of a key to ``step`` in order, once the watermark has passed them.
+
+    ``tick`` is called at the instant a state asks for: ``wake(state, place)`` says when that is, after each row. Rows before an
+    instant are seen before its tick, rows at it after.
+    """
+
+    def __init__(
+        self, keys: Sequence[str], names: Sequence[str], step: Step, initial: tuple, ties: Sequence[str],
+        keep: int | None, tick: Tick | None = None, wake: Callable[[tuple, int], int | None] | None = None,
+    ) -> None:
+        self.keys, self.step, self.initial, self.ties, self.keep = keys, step, initial, ties, keep
+        self.tick, self.wake = tick, wake
+        self.out = Row(*names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "due bigint", "rows binary")
+        self.state = handle.getValueState("state", "value binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived: dict[int, list[dict]] = {}
+        for row in rows:
+            if row["_place"] is not None:  # otherwise the end of the input
+                arrived.setdefault(row["_place"] // 1000 + 1, []).append(row.asDict())
+        for due, found in arrived.items():
+            before = self.waiting.getValue((due,))
+            if before is None:
+                self.handle.registerTimer(due)
+            else:
+                found = pickle.loads(before[0]) + found
+            self.waiting.updateValue((due,), (pickle.dumps(found),))
+        return iter(())
+
+    def _turn(self, row: dict) -> tuple:
+        return (row["_place"], *[(row[c] is None, row[c]) for c in self.ties])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        stored = self.state.get() if self.state.exists() else None
+        current, newest, alarm = pickle.loads(stored[0]) if stored else (self.initial, 0, None)
+        blob, made, told = self.waiting.getValue((due,)), [], alarm
+        if alarm is not None and alarm < due * 1000:  # the tick lies before some of the rows that are due now
+            rows = sorted(pickle.loads(blob[0]), key=self._turn) if blob else []
+        elif blob:
+            rows = sorted(pickle.loads(blob[0]), key=self._turn)
+        else:
+            rows = []
+        for row in rows:
+            while alarm is not None and alarm <= row["_place"]:
+                current, more, alarm = self.tick(current, alarm)
+                made += more
+            if self.keep is not None and row["_place"] - newest > self.keep:
+                current = self.initial
+            current, more = self.step(current, row)
+            made += more
+            newest = row["_place"]
+            if self.wake is not None:
+                alarm = self.wake(current, newest)
+        # Ticks up to the next instant that rows wait for; the watermark has passed them all.
+        border = due * 1000
+        if self.tick is not None and alarm is not None:
+            later = [t for t in self.handle.listTimers() if t > due]
+            border = min([*later, timerValues.getCurrentWatermarkInMs() + 1]) * 1000 - 1000
+        while alarm is not None and alarm <= max(border, due * 1000):
+            current, more, alarm = self.tick(current, alarm)
+            made += more
+        if blob:
+            self.waiting.removeKey((due,))
+        self._store(due, current, newest, alarm, told)
+        for row in made:
+            yield self.out(*key, *row)
+
+    def _store(self, due: int, current: tuple, newest: int, alarm: int | None, told: int | None) -> None:
+        if self.keep is not None and due * 1000 > newest + self.keep + 1000 and alarm is None:
+            self.state.clear()
+            return
+        self.state.update((pickle.dumps((current, newest, alarm)),))
+        if self.keep is not None:
+            # Looks again when the key may be forgotten; rows that come until then set a later instant.
+            self.handle.registerTimer((newest + self.keep) // 1000 + 3)
+        if alarm is not None and alarm != told:
+            self.handle.registerTimer(-(-alarm // 1000))
+
+    def close(self) -> None:
+        pass
+
+
 def transform_state(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,6 +166,8 @@ def transform_state(
     late: Lateness,
     keep: int | None = None,
     mode: str = "append",
+    tick: Tick | None = None,
+    wake: Callable[[tuple, int], int | None] | None = None,
 ) -> DataFrame:
     """User function with a store per key; it may emit any number of rows per input row.
 
@@ -99,57 +175,16 @@ def transform_state(
     it must be total and lie in the years 1970 to 2261. ``output`` lists the columns after the keys. A key without rows for ``keep``
     microseconds (or units) of that position is forgotten; None keeps it for ever. Rows without a
     key or a position are dropped.
+
+    Timers: after each row ``wake(state, place)`` may name an instant (microseconds since 1970, behind the row's) at which
+    ``tick(state, instant) -> (state, rows, next instant or None)`` is called, between the rows before and after it.
     """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    schema = f"{ddl(df, keys)}, {output}"
-    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)} - set(keys)
-    whole.add("_place")
     names = [*keys, *[part.split()[0].strip("`") for part in _columns(output)]]
-    ties = list(order[1:])
-
-    def arrived(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
-        for frame in batches:
-            for row in frame.drop(columns="_time").to_dict("records"):
-                row = {k: _plain(v) for k, v in row.items()}
-                if row["_place"] is not None:  # otherwise the end of the input
-                    yield {k: int(v) if k in whole and v is not None else v for k, v in row.items()}
-
-    def turn(row: dict) -> tuple:
-        return (row["_place"], *[(row[c] is None, row[c]) for c in ties])
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], store: GroupState):
-        current, waiting, newest = pickle.loads(store.get[0]) if store.exists else (initial, [], 0)
-        if not store.hasTimedOut:
-            waiting += arrived(batches)
-        mark = store.getCurrentWatermarkMs()
-        due = sorted((r for r in waiting if r["_place"] <= mark * 1000), key=turn)
-        waiting = [r for r in waiting if r["_place"] > mark * 1000]
-        out = []
-        for row in due:
-            if keep is not None and row["_place"] - newest > keep:
-                current = initial
-            current, made = step(current, row)
-            out += [(*key, *m) for m in made]
-            newest = row["_place"]
-        if waiting:
-            # A timer fires once the watermark is above it.
-            wake = -(-min(r["_place"] for r in waiting) // 1000) - 1
-        elif keep is not None:
-            wake = (newest + keep) // 1000 + 1
-        else:
-            wake = None
-        if not waiting and wake is not None and wake <= mark:
-            if store.exists:
-                store.remove()
-        elif waiting or newest:
-            store.update((pickle.dumps((current, waiting, newest)),))
-            if wake is not None:
-                store.setTimeoutTimestamp(max(wake, mark, 1))
-        yield pd.DataFrame(out, columns=names, dtype=object if out else None)
-
-    return _in_time(df, keys, order[0], late).groupBy(*keys).applyInPandasWithState(
-        run, schema, "state binary", mode, GroupStateTimeout.EventTimeTimeout
+    processor = InOrder(keys, names, step, initial, list(order[1:]), keep, tick, wake)
+    return _in_time(df, keys, order[0], late).groupBy(*keys).transformWithState(
+        processor, f"{ddl(df, keys)}, {output}", mode, "eventTime"
     )
 
 
