@@ -11,6 +11,7 @@ from tidelog.catalog import (  # noqa: F401  (importing registers the queries)
     orders,
     patterns,
     records,
+    streams,
     windows,
 )
 

@@ -127,14 +127,17 @@ good AS (SELECT id FROM v WHERE result = 'PASS' GROUP BY id, epoch_us(ts) // {5
 bad AS (SELECT DISTINCT id FROM v WHERE result = 'FAIL' AND ts <= ots + INTERVAL 5 MINUTE)
 SELECT id, 'VALIDATED' AS state FROM good UNION ALL SELECT id, 'FAILED' FROM bad""")
 def validation_aggregate(i: Inputs) -> DataFrame:
+    return orders.validation_aggregate(checks(requests(i)), requests(i)).select("id", "state")
+
+
+def checks(requests: DataFrame) -> DataFrame:
     """Three results per order, a minute apart; some come too late for the window."""
-    new = requests(i).filter("state = 'CREATED'")
+    new = requests.filter("state = 'CREATED'")
     results = new.select("id", "ts", F.explode(F.array(*map(F.lit, range(3)))).alias("c"))
     late = F.when((F.col("id") % 13 == 0) & (F.col("c") == 2), 8).otherwise(0)
     at = F.timestamp_micros(F.unix_micros("ts") + (F.col("c") + late) * MINUTE)
     verdict = F.when((F.col("id") + F.col("c")) % 11 == 0, "FAIL").otherwise("PASS")
-    checks = results.select("id", verdict.alias("result"), at.alias("ts"))
-    return orders.validation_aggregate(checks, requests(i)).select("id", "state")
+    return results.select("id", verdict.alias("result"), at.alias("ts"))
 
 
 PAYMENTS_SQL = """payments AS (SELECT o_orderkey + 1000000 AS payment_id, o_orderkey AS order_id, o_totalprice AS amount,

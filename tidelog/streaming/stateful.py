@@ -87,8 +87,16 @@ class InOrder(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "due bigint", "rows binary")
         self.state = handle.getValueState("state", "value binary")
+        self.pending = handle.getValueState("pending", "instants bigint")
+
+    def _pend(self, more: int) -> int:
+        """How many instants rows wait for; kept only where ticks need it."""
+        count = (self.pending.get()[0] if self.pending.exists() else 0) + more
+        self.pending.update((count,))
+        return count
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        fresh = 0
         arrived: dict[int, list[dict]] = {}
         for row in rows:
             if row["_place"] is not None:  # otherwise the end of the input
@@ -97,9 +105,12 @@ class InOrder(StatefulProcessor):
             before = self.waiting.getValue((due,))
             if before is None:
                 self.handle.registerTimer(due)
+                fresh += 1
             else:
                 found = pickle.loads(before[0]) + found
             self.waiting.updateValue((due,), (pickle.dumps(found),))
+        if fresh and self.tick is not None:
+            self._pend(fresh)
         return iter(())
 
     def _turn(self, row: dict) -> tuple:
@@ -110,12 +121,7 @@ class InOrder(StatefulProcessor):
         stored = self.state.get() if self.state.exists() else None
         current, newest, alarm = pickle.loads(stored[0]) if stored else (self.initial, 0, None)
         blob, made, told = self.waiting.getValue((due,)), [], alarm
-        if alarm is not None and alarm < due * 1000:  # the tick lies before some of the rows that are due now
-            rows = sorted(pickle.loads(blob[0]), key=self._turn) if blob else []
-        elif blob:
-            rows = sorted(pickle.loads(blob[0]), key=self._turn)
-        else:
-            rows = []
+        rows = sorted(pickle.loads(blob[0]), key=self._turn) if blob else []
         for row in rows:
             while alarm is not None and alarm <= row["_place"]:
                 current, more, alarm = self.tick(current, alarm)
@@ -127,14 +133,12 @@ class InOrder(StatefulProcessor):
             newest = row["_place"]
             if self.wake is not None:
                 alarm = self.wake(current, newest)
-        # Ticks up to the next instant that rows wait for; the watermark has passed them all.
-        border = due * 1000
-        if self.tick is not None and alarm is not None:
-            later = [t for t in self.handle.listTimers() if t > due]
-            border = min([*later, timerValues.getCurrentWatermarkInMs() + 1]) * 1000 - 1000
-        while alarm is not None and alarm <= max(border, due * 1000):
-            current, more, alarm = self.tick(current, alarm)
-            made += more
+        if self.tick is not None:
+            # A later row's ticks come before it. Where no row waits, all ticks that the watermark has passed are due.
+            until = due if self._pend(-1 if blob else 0) else max(due, timerValues.getCurrentWatermarkInMs())
+            while alarm is not None and alarm <= until * 1000:
+                current, more, alarm = self.tick(current, alarm)
+                made += more
         if blob:
             self.waiting.removeKey((due,))
         self._store(due, current, newest, alarm, told)
