@@ -370,6 +370,33 @@ def cms_heavy_hitters(i: Inputs) -> DataFrame:
     return sketch.cms_heavy_hitters(cells, i.events, "event_type")
 
 
+@query("cms_heavy_hitters_parts", """
+WITH n AS (SELECT l_partkey, count(*) AS cnt, sum(count(*)) OVER () AS total FROM lineitem GROUP BY 1)
+SELECT l_partkey, true AS found FROM n WHERE cnt >= 0.0005 * total""")
+def cms_heavy_hitters_parts(i: Inputs) -> DataFrame:
+    """No heavy part is missed among thousands; estimates never lie below the counts."""
+    shape = sketch.SketchShape(heavy=0.0005)
+    found = sketch.cms_heavy_hitters(sketch.cms_build(i.lineitem, "l_partkey", shape), i.lineitem, "l_partkey", shape)
+    true, total = aggregate.group_count(i.lineitem, ["l_partkey"]), i.lineitem.agg(F.count(F.lit(1)).alias("total"))
+    heavy = true.join(F.broadcast(total), F.col("cnt") >= 0.0005 * F.col("total"))
+    kept = heavy.join(found, "l_partkey", "left")
+    return kept.select("l_partkey", (F.coalesce("estimate", F.lit(0)) >= F.col("cnt")).alias("found"))
+
+
+@query("cms_stream", """
+WITH n AS (SELECT count(*) AS total FROM events)
+SELECT user_id, true AS within_bounds FROM events, n GROUP BY 1""")
+def cms_stream(i: Inputs) -> DataFrame:
+    """The sketch kept by a stream in complete mode, asked for every user."""
+    shape = sketch.SketchShape()
+    cells = run_available_now(sketch.cms_build(i.stream("events"), "user_id", shape), "complete", "sketch")
+    estimates = sketch.cms_count(cells, i.events, "user_id", shape)
+    true = aggregate.group_count(i.events, USERS)
+    slack = i.events.agg(F.count(F.lit(1)) * F.lit(shape.eps)).scalar()
+    ok = F.col("estimate").between(F.col("cnt"), F.col("cnt") + slack)
+    return estimates.join(true, "user_id").select("user_id", ok.alias("within_bounds"))
+
+
 @query("cms_merge", "SELECT l_partkey, true AS within_bounds FROM lineitem GROUP BY 1")
 def cms_merge(i: Inputs) -> DataFrame:
     """Estimates of all parts from the merged sketches of two halves, against the true counts."""
