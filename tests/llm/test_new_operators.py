@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidelog.llm import divergence, tokenfiles, whitening
+from tidelog.llm import divergence, tokenfiles, warc, whitening
 from tidelog.llm.common import ready
 
 DOC = "doc_id bigint, text string, lang string, source string"
@@ -254,3 +254,16 @@ def test_divergence_without_kept_terms(spark):
     got = {tuple(r) for r in divergence.audit(spark.createDataFrame(rows, DOC)).collect()}
     assert got == {("en", "s1", "pair", "s2", 0, 1), ("en", "s2", "pair", "s1", 0, 1)}
     assert divergence.audit(spark.createDataFrame([], DOC)).count() == 0
+
+
+# --- archives
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    ready(spark)
+    pages = spark.createDataFrame([(i, f"u{i}", prose(i, 900)) for i in range(400)], "page_id bigint, url string, html string")
+    archives = warc.write_archives(spark, pages)
+    got = warc.read_archives(archives, range_bytes=40_000)
+    tasks = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    ranges = archives.agg(F.sum(F.ceil(F.col("bytes") / 40_000))).first()[0]
+    assert got.count() == 400 and ranges >= 8 and tasks >= ranges // 2

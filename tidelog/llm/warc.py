@@ -261,7 +261,9 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE) -> DataFrame:
                     if rows:
                         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    return ranges.repartition("path", "begin").mapInArrow(read, COLUMNS)
+    # A number of its own, as rows of a few bytes would be merged into one task whatever they stand for.
+    size = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    return ranges.repartition(int(size), "path", "begin").mapInArrow(read, COLUMNS)
 
 
 def archive_report(pages: DataFrame, **options: int) -> DataFrame:
