@@ -145,3 +145,16 @@ def test_order_verdicts(spark):
     want = orders.validation_aggregate(results, order)
     assert rows(emitted(got, end=late.end)) == rows(want)
     assert {r.state for r in want.collect()} == {"FAILED", "VALIDATED"}
+
+
+def test_fraud_totals_agree_to_the_last_digit(spark):
+    """Two orders that sum up to just under the limit pass in batch and on a stream; one at the limit fails."""
+    schema = "id bigint, customer_id bigint, state string, product bigint, quantity int, price double, ts timestamp"
+    new = [(1, 1, "CREATED", 1, 1, 1999.99996, at(0)), (2, 2, "CREATED", 1, 3, 666.666666666, at(1)), (3, 3, "CREATED", 1, 2, 1000.0, at(2)),
+           (4, 2, "CREATED", 1, 1, 0.000000002, at(3)), (5, 4, "CREATED", 1, None, None, at(3))]
+    order = spark.createDataFrame(new, schema)
+    late = stateful.Lateness(S, scratch_dir(spark, "end"))
+    got = emitted(stateful.fraud_stream(follow(spark, split(order, "id", 2)), H, 2000, late), end=late.end)
+    want = orders.fraud_check(order)
+    assert rows(got, "id", "result", "session_total") == rows(want.fillna(0.0, ["session_total"]), "id", "result", "session_total")
+    assert dict(rows(want, "id", "result"))[1] == "PASS" and dict(rows(want, "id", "result"))[3] == "FAIL"

@@ -48,6 +48,11 @@ def order_details_check(orders: DataFrame) -> DataFrame:
     )
 
 
+def exact_amount() -> Column:
+    """Quantity times price in decimals of twelve places, the same in batch and stream."""
+    return (F.col("quantity").cast("decimal(10,0)") * F.col("price").cast("decimal(24,12)")).cast("decimal(38,12)")
+
+
 def fraud_check(
     orders: DataFrame,
     gap: int = 60 * MINUTE,
@@ -60,8 +65,7 @@ def fraud_check(
     ordering of the customer's orders serves both. Decimal sums keep the difference exact.
     """
     at = micros("ts")
-    amount = (F.col("quantity") * F.col("price")).cast("decimal(28,4)")
-    created = _created(orders).withColumn("_amount", amount)
+    created = _created(orders).withColumn("_amount", exact_amount())
     seen = KeyedOrder.of(created, ["customer_id"], ["ts", "id"], at, rows_per_chunk).running(
         {"_last": ("max", at)}, inclusive=False
     )

@@ -17,6 +17,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidelog.functions import nfa
 from tidelog.operators.cep import Pattern, match_schema, runtime_steps, with_conditions
+from tidelog.operators.orders import exact_amount
 from tidelog.plans.ordered import micros
 from tidelog.sources.sinks import end_of_input
 
@@ -285,14 +287,14 @@ def fraud_stream(orders: DataFrame, gap: int, limit: float, late: Lateness) -> D
     def step(state, row):
         last, total = state
         if last is not None and last < row["_at"] - gap:
-            total = 0.0
-        total += (row["quantity"] or 0) * (row["price"] or 0.0)
-        return (row["_at"], total), [(row["id"], "PASS" if total < limit else "FAIL", total)]
+            total = Decimal(0)
+        total += row["_amount"] or 0
+        return (row["_at"], total), [(row["id"], "PASS" if float(total) < limit else "FAIL", float(total))]
 
-    rows = orders.filter("state = 'CREATED'").withColumn("_at", micros("ts"))
+    rows = orders.filter("state = 'CREATED'").withColumn("_at", micros("ts")).withColumn("_amount", exact_amount())
     return transform_state(
-        rows.select("customer_id", "id", "quantity", "price", "ts", "_at"), ["customer_id"], step,
-        f"{ddl(orders, ['id'])}, result string, session_total double", (None, 0.0), ["ts", "id"], late,
+        rows.select("customer_id", "id", "_amount", "ts", "_at"), ["customer_id"], step,
+        f"{ddl(orders, ['id'])}, result string, session_total double", (None, Decimal(0)), ["ts", "id"], late,
         keep=gap,
     )
 
