@@ -13,6 +13,7 @@ from tidelog.functions import text
 from tidelog.operators import (
     aggregate,
     batching,
+    cep,
     dedup,
     detectors,
     joins,
@@ -239,8 +240,8 @@ def test_inventory_reserve(spark):
 def test_inventory_reserve_against_replay(spark, chunk):
     """Hot products, orders larger than the stock, zero and negative quantities."""
     rng = random.Random(chunk)
-    stock = {0: 40, 1: 0, 2: 500, 3: 17}
-    data = [(n, rng.choice([0, 0, 0, 1, 2, 3]), rng.choice([-1, 0, 1, 2, 3, 5, 8, 13, 30, 60])) for n in range(300)]
+    stock = {0: 40, 1: 0, 2: 500, 3: 17, 4: -5}
+    data = [(n, rng.choice([0, 0, 0, 1, 2, 3, 4]), rng.choice([-1, 0, 1, 2, 3, 5, 8, 13, 30, 60])) for n in range(300)]
     left, expected = dict(stock), []
     for n, p, q in data:
         ok = 0 <= q <= left[p]
@@ -301,9 +302,32 @@ def test_topic_patterns(pattern, key, hit):
 def test_size_batches_oversize_row_is_alone(spark):
     sizes = [40, 50, 20, 500, 10, 60, 40, 1]
     df = spark.createDataFrame([(n, "k", s) for n, s in enumerate(sizes)], "n bigint, k string, s int")
-    for list_rows, expected in [(100, [0, 0, 1, 2, 3, 3, 4, 4]), (4, [0, 0, 1, 2, 0, 0, 1, 1])]:
-        got = batching.size_batches(df, 100, ["k"], ["n"], F.col("n"), F.col("s"), "n", list_rows=list_rows)
-        assert [r.batch for r in got.orderBy("n").collect()] == expected
+    for piece in (1, 3, 4, 100):
+        got = batching.size_batches(df, 100, ["k"], ["n"], F.col("n"), F.col("s"), "n", rows_per_piece=piece)
+        assert [r.batch for r in got.orderBy("n").collect()] == [0, 0, 1, 2, 3, 3, 4, 4]
+
+
+@pytest.mark.parametrize("piece", [1, 2, 7, 50, 1000])
+def test_size_batches_against_greedy(spark, piece):
+    """Batches do not depend on pieces: zero and null sizes, rows at and above the limit, a hot key."""
+    rng = random.Random(piece)
+    data = [(n, rng.choice([0, 0, 0, 1, None]), rng.choice([0, 0, 1, 3, 10, 19, 20, 21, 90, None])) for n in range(400)]
+    expected, state = [], {}
+    for n, k, s in data:
+        if k is None:
+            continue
+        batch, used = state.get(k, (-1, 21))
+        batch, used = (batch + 1, s or 0) if used + (s or 0) > 20 else (batch, used + (s or 0))
+        state[k] = batch, used
+        expected.append((n, batch))
+    df = spark.createDataFrame(data, "n bigint, k bigint, s bigint")
+    got = batching.size_batches(df, 20, ["k"], ["n"], F.col("n"), F.col("s"), "n", rows_per_chunk=30, rows_per_piece=piece)
+    assert sorted((r.n, r.batch) for r in got.collect()) == expected
+
+
+def test_size_batches_of_no_rows(spark):
+    df = spark.createDataFrame([], "n bigint, k bigint, s bigint")
+    assert batching.size_batches(df, 20, ["k"], ["n"], F.col("n"), F.col("s"), "n").collect() == []
 
 
 def letters(spark, word):
@@ -328,6 +352,10 @@ def test_cep_goldens(spark):
     kleene = (Pattern.select("a").where(one("A")).then("b").where(one("B"))
               .then("c").one_or_more().where(one("C")).then("d").where(one("D")).within(hour))
     assert matched(spark, "ABCCD", kleene) == [((0,), (1,), (2, 3), (4,))]
+    assert matched(spark, "ABCCD", kleene.within(2)) == []
+    unbounded = (Pattern.select("a").where(one("A")).then("b").where(one("B"))
+                 .then("c").one_or_more().where(one("C")).then("d").where(one("D")))
+    assert matched(spark, "ABCCD", unbounded) == [((0,), (1,), (2, 3), (4,))]
     skip = (Pattern.select("a").where(one("A")).then("c").skip_till_next_match().where(one("C"))
             .then("d").skip_till_next_match().where(one("D")))
     assert matched(spark, "ABCCD", skip) == [((0,), (2,), (4,))]
@@ -340,6 +368,47 @@ def test_cep_goldens(spark):
     assert matched(spark, "ABCCD", anyone) == [((0,), (1,), (2,), (4,)), ((0,), (1,), (3,), (4,))]
 
 
+def test_cep_bounds_of_stages(spark):
+    a = Pattern.select("a").where(one("A"))
+    skipping = a.then("b").skip_till_next_match().where(one("B")).within(2).then("c").skip_till_next_match().where(one("C"))
+    assert matched(spark, "AABXXC", skipping) == [((0,), (2,), (5,)), ((1,), (2,), (5,))]
+    assert matched(spark, "AAXBXC", skipping) == [((1,), (3,), (5,))]
+    # What ends a repeated stage lies within its bound.
+    kleene = a.then("b").one_or_more().where(one("B"))
+    assert matched(spark, "ABBC", kleene.within(2).then("c").where(one("C"))) == []
+    assert matched(spark, "ABBC", kleene.within(3).then("c").where(one("C"))) == [((0,), (1, 2), (3,))]
+
+
+SPLITS = {
+    "middle": lambda p: p("x").then("y").one_or_more().where(F.col("c").isin("B", "C")).then("z").where(F.col("c").isin("C", "D")),
+    "first": lambda p: p("x").one_or_more().then("y").where(F.col("c").isin("A", "B")).then("z").optional().where(one("C")).then("w").where(one("D")),
+    "bounds": lambda p: p("x").then("y").zero_or_more().where(F.col("c").isin("A", "B")).within(2).then("z").one_or_more()
+    .where(F.col("c").isin("B", "C")).then("w").where(F.col("c") != "A").within(6),
+}
+
+
+@pytest.mark.parametrize("name", SPLITS)
+@pytest.mark.parametrize("chunk", [9, 1000])
+def test_contiguous_patterns_equal_the_run_by_run_search(spark, name, chunk):
+    """Rows that fit several stages, equal instants, several keys, cut keys."""
+    rng = random.Random(name)
+    data = [(rng.choice([1, 1, 1, 2, None]), n, at(n // 2), rng.choice("AABBCCD")) for n in range(120)]
+    df = spark.createDataFrame(data, "p int, n bigint, ts timestamp, c string")
+    pattern = SPLITS[name](lambda first: Pattern.select(first).where(F.col("c").isin("A", "B")))
+    got = cep.match_pattern(df, pattern, ["p"], "ts", "n", rows_per_chunk=chunk)
+    expected = cep._match_runs(df.filter("p IS NOT NULL"), pattern, ["p"], "ts", "n")
+    assert len(rows(expected)) > 5
+    assert rows(got) == rows(expected)
+
+
+def test_user_predicates_see_whole_numbers_beside_nulls(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(1, n, at(n), v) for n, v in enumerate([5, None, big])], "p int, n bigint, ts timestamp, v bigint")
+    pattern = (Pattern.select("x").one_or_more().where(lambda row, state: row["v"] is None or row["v"] == 5)
+               .then("y").where(lambda row, state: row["v"] == big))
+    assert rows(match_pattern(df, pattern, ["p"], "ts", "n"), "x", "y") == [([0, 1], [2]), ([1], [2])]
+
+
 def test_cep_optional_and_rejections(spark):
     base = Pattern.select("a").where(one("A"))
     maybe = base.then("b").optional().where(one("B")).then("c").where(one("C")).within(60)

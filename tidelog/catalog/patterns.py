@@ -103,13 +103,13 @@ def cep_overlap(i: Inputs) -> DataFrame:
     return ids(found(i, pattern), "a", "b", "c")
 
 
-def clicks_between(seconds: float) -> Pattern:
-    return (
+def clicks_between(seconds: float | None) -> Pattern:
+    p = (
         Pattern.select("seen").where(kind("view"))
         .then("clicks").one_or_more().where(kind("click"))
         .then("bought").where(kind("purchase"))
-        .within(seconds)
     )
+    return p.within(seconds) if seconds else p
 
 
 # A view, then only clicks up to the next other row, which is a purchase.
@@ -134,6 +134,25 @@ def cep_kleene(i: Inputs) -> DataFrame:
     return _kleene(found(i, clicks_between(5 * 86400)))
 
 
+@query("cep_kleene_open", KLEENE_SQL[: KLEENE_SQL.index(" AND p.ts - n.ts")])
+def cep_kleene_open(i: Inputs) -> DataFrame:
+    """No bound on time: a match may be as long as its key."""
+    return _kleene(found(i, clicks_between(None)))
+
+
+@query("cep_stage_bounds", f"""WITH {NEXT_SQL}
+SELECT m.user_id, seen, clicked, bought FROM m JOIN events c ON c.event_id = clicked JOIN events p ON p.event_id = bought
+WHERE c.ts - m.ts <= INTERVAL 6 HOUR AND p.ts - m.ts <= INTERVAL 2 DAY""")
+def cep_stage_bounds(i: Inputs) -> DataFrame:
+    """A click soon after the view, a purchase later."""
+    pattern = (
+        Pattern.select("seen").where(kind("view"))
+        .then("clicked").skip_till_next_match().where(kind("click")).within(6 * 3600)
+        .then("bought").skip_till_next_match().where(kind("purchase")).within(2 * 86400)
+    )
+    return ids(found(i, pattern), "seen", "clicked", "bought")
+
+
 @query("cep_stream", KLEENE_SQL)
 def cep_stream(i: Inputs) -> DataFrame:
     late = i.late("events", "ts")

@@ -260,23 +260,20 @@ def grouped(i: Inputs) -> DataFrame:
 
 
 @query("size_batches", """
-WITH RECURSIVE s AS (
+WITH RECURSIVE l AS (
   SELECT source, doc_id, length('documents') + length(text) + 20 AS size,
-         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn FROM documents),
-l AS (SELECT source, rn // 100 AS list_no, rn % 100 AS i, doc_id, size FROM s),
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents WHERE source IS NOT NULL),
 r AS (
-  SELECT source, list_no, i, doc_id, size, CAST(0 AS BIGINT) AS batch, size AS used FROM l WHERE i = 0
+  SELECT source, rn, doc_id, size, CAST(0 AS BIGINT) AS batch, size AS used FROM l WHERE rn = 1
   UNION ALL
-  SELECT l.source, l.list_no, l.i, l.doc_id, l.size,
+  SELECT l.source, l.rn, l.doc_id, l.size,
          CASE WHEN r.used + l.size > 20000 THEN r.batch + 1 ELSE r.batch END,
          CASE WHEN r.used + l.size > 20000 THEN l.size ELSE r.used + l.size END
-  FROM r JOIN l ON l.source = r.source AND l.list_no = r.list_no AND l.i = r.i + 1)
-SELECT source, list_no, batch, doc_id, CAST(size AS BIGINT) AS size FROM r""")
+  FROM r JOIN l ON l.source = r.source AND l.rn = r.rn + 1)
+SELECT source, batch, doc_id, CAST(size AS BIGINT) AS size FROM r""")
 def size_batches(i: Inputs) -> DataFrame:
     size = F.length(F.lit("documents")) + F.length("text") + 20
-    return batching.size_batches(
-        i.documents, 20_000, ["source"], ["doc_id"], F.col("doc_id"), size, "doc_id", list_rows=100
-    )
+    return batching.size_batches(i.documents, 20_000, ["source"], ["doc_id"], F.col("doc_id"), size, "doc_id")
 
 
 @query("fold", """

@@ -15,12 +15,14 @@ STRICT, SKIP_NEXT, SKIP_ANY = "strict", "skip_next", "skip_any"
 
 @dataclass(frozen=True)
 class Step:
-    """What a stage needs at run time; ``test(row, state)`` decides, ``folds`` update state."""
+    """What a stage needs at run time; ``test(row, state)`` decides, ``folds`` update state, and a
+    run in this stage ends ``bound`` behind its first row."""
 
     test: Callable
     cardinality: str
     strategy: str
     folds: tuple[tuple[str, Callable], ...] = ()
+    bound: int | None = None
 
     @property
     def repeats(self) -> bool:
@@ -99,13 +101,14 @@ def evaluate(steps: Sequence[Step], run: Run, row, row_id, at: int) -> list[Run]
 
 
 def advance(
-    steps: Sequence[Step], runs: list[Run], row, row_id, at: int, within: int | None, start: bool
+    steps: Sequence[Step], runs: list[Run], row, row_id, at: int, start: bool
 ) -> tuple[list[Run], list[Run]]:
     """Open runs and finished runs after ``row``; ``start`` lets the row begin a run."""
     open_runs: list[Run] = []
     done: list[Run] = []
     for run in runs + ([Run(0)] if start else []):
-        if within is not None and run.first is not None and at - run.first > within:
+        bound = steps[run.stage].bound
+        if bound is not None and run.first is not None and at - run.first > bound:
             continue
         for new in evaluate(steps, run, row, row_id, at):
             (done if new.stage == len(steps) else open_runs).append(new)

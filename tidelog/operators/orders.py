@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tidelog.operators.aggregate import first_rows
 from tidelog.operators.joins import interval_join
 from tidelog.operators.windows import MINUTE
 from tidelog.plans.ordered import ROWS_PER_CHUNK, KeyedOrder, micros
-from tidelog.sources.scratch import scratch_dir, through
 
 # States, results, check names and limits of the validation services.
 CREATED, VALIDATED, FAILED = "CREATED", "VALIDATED", "FAILED"
@@ -106,61 +107,54 @@ def inventory_reserve(
        Once an order of quantity ``q`` has failed, every later order of that quantity fails,
        so only the first ``r div q`` of them can pass. At most about ``r * ln(r)`` candidates
        remain per product, a bound set by the largest order and not by the number of orders.
-    3. Those candidates are replayed per product.
+    3. Those candidates are replayed in one sorted pass that holds what is left of one product.
     """
     named = stock.select(F.col(product), F.col(available).cast("bigint").alias("_stock"))
     asked = orders.join(named, product).withColumn("_q", F.col(quantity).cast("bigint"))
     fits = F.when(F.col("_q").between(0, F.col("_stock")), F.col("_q"))
     keyed = KeyedOrder.of(asked, [product], order, position, rows_per_chunk)
-    sums = keyed.running({"_n": ("count", F.lit(1)), "_sum": ("sum", fits)}).result()
-    # Written once: the steps below read it several times.
-    numbered = through(sums, scratch_dir(orders.sparkSession, "reserve"))
-    # The first order that does not fit, and what is left there. Both are one row per product.
-    broke = (
-        numbered.filter(fits.isNotNull() & (F.col("_sum") > F.col("_stock")))
-        .groupBy(product)
-        .agg(F.min_by(F.struct("_n", (F.col("_stock") - F.col("_sum") + F.col("_q")).alias("left")), "_n").alias("b"))
-        .select(product, F.col("b._n").alias("_from"), F.col("b.left").alias("_left"))
-    )
-    staged = numbered.join(broke, product, "left")
-    prefix = F.col("_from").isNull() | (F.col("_n") < F.col("_from"))
-    free = F.col("_q") == 0
-    candidate = ~prefix & (F.col("_q") > 0) & (F.col("_q") <= F.col("_left"))
-    candidates = staged.filter(candidate).select(product, "_q", "_n", "_left")
+    keyed = keyed.running({"_n": ("count", F.lit(1)), "_sum": ("sum", fits)})
+    # Sums never fall: the largest within the stock is what went out before the first that is not.
+    within = F.coalesce(F.col("_sum") <= F.greatest("_stock", F.lit(0)), F.lit(True))
+    sums = keyed.running({"_out": ("max", F.when(within, F.col("_sum")))}).result()
+    left = F.col("_stock") - F.coalesce("_out", F.lit(0))
+    candidate = F.coalesce(~within & F.col("_q").between(1, left), F.lit(False))
+    ok = F.when(within, fits.isNotNull()).otherwise(F.col("_q").eqNullSafe(0))
+    verdict = [*orders.columns, _verdict(ok).alias("result")]
+    decided = sums.filter(~candidate).select(*verdict)
+    candidates = sums.filter(candidate).withColumn("_left", left)
     by_quantity = ((product, "_q"), ("_n",))
     if keyed.cut:
         lines = KeyedOrder.of(candidates, *by_quantity, F.col("_n"), rows_per_chunk)
     else:
         # Parts of a product cannot be hot when no product is.
         lines = KeyedOrder(candidates, *by_quantity, False)
-    short = lines.number("_rank").result().filter(F.col("_rank") <= F.expr("_left div _q"))
-    waiting = short.groupBy(product).agg(
-        F.first("_left").alias("_left"),
-        F.sort_array(F.collect_list(F.struct("_n", "_q"))).alias("_rows"),
-    )
-    passed = waiting.select(product, F.explode(_served("_rows", "_left")).alias("_n")).withColumn(
-        "_ok", F.lit(True)
-    )
-    ok = F.when(prefix, fits.isNotNull()).otherwise(F.coalesce("_ok", free))
-    final = staged.join(passed, [product, "_n"], "left").withColumn("result", _verdict(ok))
-    return final.select(*orders.columns, "result")
-
-
-def _served(rows: str, left: str) -> Column:
-    """Positions of the orders served from what is left, first come first served."""
-    start = F.struct(
-        F.col(left).alias("left"), F.array().cast("array<bigint>").alias("served")
-    )
-
-    def serve(state: Column, row: Column) -> Column:
-        fits = row["_q"] <= state["left"]
-        taken = F.concat(state["served"], F.array(row["_n"]))
-        return F.struct(
-            F.when(fits, state["left"] - row["_q"]).otherwise(state["left"]).alias("left"),
-            F.when(fits, taken).otherwise(state["served"]).alias("served"),
-        )
-
-    return F.aggregate(rows, start, serve, lambda s: s["served"])
+    ranked = lines.number("_rank").result()
+    possible = F.col("_rank") <= F.expr("_left div _q")
+    late = ranked.filter(~possible).select(*orders.columns, _verdict(F.lit(False)).alias("result"))
+    served = _served(ranked.filter(possible), product)
+    replayed = served.select(*orders.columns, _verdict(F.col("_ok")).alias("result"))
+    return decided.unionByName(late).unionByName(replayed)
+
+
+def _served(waiting: DataFrame, product: str) -> DataFrame:
+    """First come, first served from what is left of each product; adds ``_ok``."""
+    ordered = waiting.repartition(product).sortWithinPartitions(product, "_n")
+    schema = StructType([*ordered.schema.fields, StructField("_ok", BooleanType())])
+
+    def serve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, left = None, 0
+        for batch in batches:
+            verdicts = []
+            columns = (batch.column(c).to_pylist() for c in (product, "_left", "_q"))
+            for name, rest, asked in zip(*columns):
+                if name != current:
+                    current, left = name, rest
+                verdicts.append(asked <= left)
+                left -= asked if asked <= left else 0
+            yield batch.append_column("_ok", pa.array(verdicts, pa.bool_()))
+
+    return ordered.mapInArrow(serve, schema)
 
 
 def inventory_check(orders: DataFrame, stock: DataFrame, **kw) -> DataFrame:

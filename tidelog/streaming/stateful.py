@@ -404,7 +404,7 @@ def cep_stream(
     steps, count, within = runtime_steps(pattern), len(pattern.stages), pattern.within_micros
 
     def step(state, row):
-        runs, done = nfa.advance(steps, state[0], row, row[row_id], row["_at"], within, True)
+        runs, done = nfa.advance(steps, state[0], row, row[row_id], row["_at"], True)
         made = [tuple(d.taken.get(i, []) for i in range(count)) for d in done]
         return (runs,), made
 
