@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 # Fixed values of the template.
 CONTROL = r"(?:</?s>|\[/?ROLE\]|\[/?INST\])"
-ESCAPABLE = rf"(\\*)({CONTROL})"
-ESCAPED = rf"\\(\\*{CONTROL})"
+# A run of backslashes is entered at its start only and never given back.
+ESCAPABLE = rf"(?<!\\)(\\*+)({CONTROL})"
+ESCAPED = rf"(?<!\\)\\(\\*+{CONTROL})"
 BARE = rf"(?<!\\){CONTROL}"
 TURN = r"(?s)<s>\[ROLE\] (.*?) \[/ROLE\] (.*?) </s>"
 MARKS = len("<s>[ROLE]  [/ROLE]  </s>")
@@ -120,8 +121,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
     joined = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
-    masked = F.zip_with("turns", "loss_runs", lambda t, r: F.when(r["on"] > 0, t["text"]).otherwise(F.lit("")))
-    loss = F.array_join(masked, "")
+    # The mask is laid over the output: a run covers one turn of it, from mark to mark.
+    learned = F.zip_with(
+        F.regexp_extract_all("formatted", F.lit(TURN), F.lit(0)), "loss_runs",
+        lambda turn, r: F.when(r["on"] > 0, turn.substr(r["off"] + 1, r["on"])).otherwise(F.lit("")),
+    )
+    loss = F.array_join(F.transform(learned, unescape), "")
     return parsed.withColumn("loss", loss).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
