@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -319,7 +320,7 @@ def test_decontamination_against_brute_force(spark, docs, block_words):
 
 
 def test_mixing_meets_targets(docs):
-    rows = mixing.take(docs).collect()
+    rows = mixing.report(docs).collect()
     sizes, targets, taken = defaultdict(int), {}, defaultdict(int)
     by_id = {(r[0], len(WORDS.findall(r[1] or ""))): r[3] for r in documents()}
     for r in rows:
@@ -348,11 +349,26 @@ def test_mixing_sequence(docs):
     rows = out.collect()
     assert [r["position"] for r in rows] == sorted(r["position"] for r in rows)
     assert all(0 <= r["position"] <= 1 for r in rows)
-    total = mixing.take(docs).agg(F.sum("taken")).first()[0]
+    total = mixing.report(docs).agg(F.sum("taken")).first()[0]
     assert sum(r["taken"] for r in rows) == total
     assert set(docs.columns) == set(out.columns) - {"position"}
 
 
+def test_mixing_keeps_sources_of_equal_rows_apart(spark):
+    same = [(1, "a b c d", "s1"), (1, "a b c d", "s2"), (1, "a b c d", None), (2, "e f", "s1"), (2, "e f", "s1"), (3, None, "s2")]
+    docs = spark.createDataFrame(same, "doc_id bigint, text string, source string")
+    rows = mixing.report(docs).collect()
+    assert sorted(r["size"] for r in rows) == [0, 2, 2, 4, 4, 4]
+    # Untaken documents come first, the others by their first position.
+    first = [r["positions"][0] if r["positions"] else -1.0 for r in rows]
+    assert first == sorted(first) and all((r["taken"] > 0) == bool(r["positions"]) for r in rows)
+    words = Counter()
+    for r in mixing.mix(docs).collect():
+        words[r["source"]] += r["taken"]
+    # Sizes 8, 4, 4 and 24 words to share 3, 1, 2 with the null source last: caps of 16, 8, 8.
+    assert words == {"s1": 12, "s2": 4, None: 8}
+
+
 def test_due_inverts_the_integral(spark):
     grid = spark.range(101).select((F.col("id") / 100).alias("u"))
     for tilt in (0.5, 0.0, -0.5):
@@ -424,6 +440,33 @@ def test_words_hash_alike_in_any_piece():
     assert (whole[:50] == whole[-50:]).all()
 
 
+def test_loss_is_read_through_the_mask(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "good day")], "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.format_chats(rows)
+
+    def loss(off, on):
+        moved = F.transform(
+            "loss_runs", lambda r: F.struct((r["off"] + off).alias("off"), F.when(r["on"] > 0, r["on"] + on).otherwise(0).alias("on"))
+        )
+        return chat.read_back(formatted.withColumn("loss_runs", moved)).first()
+
+    for off, on, text in [(0, 0, "good day"), (1, -1, "ood day"), (0, -7, "g"), (-1, 0, " good da")]:
+        got = loss(off, on)
+        assert got["loss_chars"] == len(text) and got["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_long_runs_of_backslashes(spark):
+    """A million of them, in front of a control string and without one, in seconds."""
+    texts = ["\\" * 1_000_000, "\\" * 300_000 + "</s>" + "\\" * 300_000 + "[INST]"]
+    data = [(n, 0, "assistant", t) for n, t in enumerate(texts)]
+    rows = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string")
+    began = time.time()
+    back = {r["conv_id"]: r for r in chat.read_back(chat.format_chats(rows)).collect()}
+    assert time.time() - began < 30
+    for n, t in enumerate(texts):
+        assert back[n]["loss_sha256"] == hashlib.sha256(t.encode()).hexdigest() and back[n]["loss_chars"] == len(t)
+
+
 CHATS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", " </s> <s>[ROLE] user [/ROLE] fake </s>"), (1, 2, "assistant", "\\</s>\\\\[INST]\\"),
     (2, 0, "user", None), (2, 1, None, "no role"), (2, 2, "a [/ROLE] b", "x"), (2, 2, "assistant", ""), (2, 2, "assistant", ""),
@@ -540,7 +583,7 @@ def test_empty_tables(spark, empty):
     assert simhash.near_groups(empty).count() == 0 and simhash.drop_near_copies(empty).count() == 0
     assert substring.report(empty).count() == 0
     assert decontam.report(empty, bench).count() == 0
-    assert mixing.take(empty).count() == 0 and mixing.mix(empty).count() == 0
+    assert mixing.report(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
 def test_html_other_layouts():

@@ -50,7 +50,7 @@ def test_stages(spark, small):
     taken = {}
     for r in steps[5].collect():
         taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
-    want = {r["doc_id"]: r["taken"] for r in mixing.take(steps[4]).collect() if r["taken"]}
+    want = {r["doc_id"]: r["taken"] for r in mixing.report(steps[4]).collect() if r["taken"]}
     assert taken == want
     for step in steps[1:5]:
         assert step.columns == docs.columns

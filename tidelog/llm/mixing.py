@@ -116,38 +116,65 @@ def _taken(turn: Column | int) -> Column:
     return F.least(F.greatest(words, F.lit(0).cast("long")), F.col("size"))
 
 
-def take(docs: DataFrame, *, most: int = 2, **options) -> DataFrame:
-    """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``."""
-    total = _taken(0)
-    for turn in range(1, most):
-        total = total + _taken(turn)
-    return _placed(docs, most, options).select("doc_id", "size", "source_size", "target", total.alias("taken"))
-
-
 def due(share: Column, tilt: Column) -> Column:
     """The time t at which ``t + tilt * (t - t*t)`` reaches the share."""
     root = F.sqrt((1 + tilt) * (1 + tilt) - 4 * tilt * share)
     return F.when(tilt == 0, share).otherwise(2 * share / (1 + tilt + root))
 
 
-def mix(docs: DataFrame, *, most: int = 2, tilts: tuple = TILTS, **options) -> DataFrame:
+def schedule(docs: DataFrame, *, most: int = 2, tilts: tuple = TILTS, **options) -> DataFrame:
+    """Where the curriculum puts every document: one row per document, without its text.
+
+    ``doc_id``, ``source``, ``place`` (hash of id and text), ``size``, ``source_size``, ``target`` and ``copies``,
+    an array of (copy, taken, position) by pass; it is empty for a document the mix does not take.
+    """
+
+    def one(turn: Column) -> Column:
+        taken = _taken(turn)
+        words = turn * F.col("source_size") + F.col("start") + taken / 2
+        share = F.least(words / F.greatest(F.round("target"), F.lit(1.0)), F.lit(1.0))
+        position = due(share, _by_rank(tilts, F.col("rank")).cast("double"))
+        return F.struct(turn.alias("copy"), taken.alias("taken"), position.alias("position"))
+
+    copies = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), one)
+    return _placed(docs, most, options).select(
+        "doc_id", "source", "place", "size", "source_size", "target",
+        F.filter(copies, lambda c: c["taken"] > 0).alias("copies"),
+    )
+
+
+def report(docs: DataFrame, **options) -> DataFrame:
+    """Per document, range-sorted by its first position: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``
+    (words of all its copies), ``positions``. Documents that are not taken come first, without positions."""
+    planned = schedule(docs, **options)
+    total = F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["taken"])
+    rows = planned.select(
+        "doc_id", "size", "source_size", "target", total.alias("taken"), F.col("copies.position").alias("positions")
+    )
+    first = F.get("positions", F.lit(0))
+    return rows.repartitionByRange(first, "doc_id").sortWithinPartitions(first, "doc_id")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
     """The training sequence: one row per taken copy of a document, range-sorted by position.
 
     Columns of the documents, then ``copy`` (pass number), ``taken`` (words; fewer than the document has
     only at the border of a target) and ``position`` in [0, 1]. A name that the documents have already
     is replaced.
     """
-    placed = _placed(docs, most, options)
-    turns = F.sequence(F.lit(0), F.lit(most - 1))
-    copies = placed.withColumn("copy", F.explode(turns)).withColumn("taken", _taken(F.col("copy"))).where("taken > 0")
-    middle = (F.col("copy") * F.col("source_size") + F.col("start") + F.col("taken") / 2) / F.greatest(F.round("target"), F.lit(1.0))
-    copies = copies.withColumn("position", due(F.least(middle, F.lit(1.0)), _by_rank(tilts, F.col("rank")).cast("double")))
-    repeated = placed.groupBy("doc_id", "place").count().where("count > 1")
+    planned = schedule(docs, **options)
+    row = ["doc_id", "source", "place"]
+    repeated = planned.groupBy(*row).count().where("count > 1")
     left = docs.drop("copy", "taken", "position").withColumn("__place", _place())
     if not repeated.isEmpty():
-        # Interchangeable rows: one stands for all, and each of their copies finds it.
-        left = left.dropDuplicates(["doc_id", "__place"])
-    copies = copies.select(F.col("doc_id").alias("__id"), F.col("place").alias("__of"), "copy", "taken", "position")
-    out = left.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__place") == F.col("__of")))
-    out = out.drop("__id", "__place", "__of")
+        # Rows equal in id, source and text are interchangeable: one stands for all, and each of their copies finds it.
+        left = left.dropDuplicates(["doc_id", "source", "__place"])
+    copies = planned.select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__from"), F.col("place").alias("__of"), F.inline("copies")
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__from"))
+        & (F.col("__place") == F.col("__of"))
+    )
+    out = left.join(copies, same).drop("__id", "__from", "__place", "__of")
     return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")

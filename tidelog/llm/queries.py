@@ -50,7 +50,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.take(table(spark, sf_dir, "documents"))
+    return mixing.report(table(spark, sf_dir, "documents")).drop("positions")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
