@@ -31,7 +31,8 @@ CONTROL = r"(?:</?s>|\[/?ROLE\]|\[/?INST\])"
 ESCAPABLE = rf"(?<!\\)(\\*+)({CONTROL})"
 ESCAPED = rf"(?<!\\)\\(\\*+{CONTROL})"
 BARE = rf"(?<!\\){CONTROL}"
-TURN = r"(?s)<s>\[ROLE\] (.*?) \[/ROLE\] (.*?) </s>"
+TURN = r"(?s)<s>\[ROLE\] .*? \[/ROLE\] .*? </s>"
+OPEN, MIDDLE, CLOSE = "<s>[ROLE] ", " [/ROLE] ", " </s>"
 MARKS = len("<s>[ROLE]  [/ROLE]  </s>")
 BEFORE_TEXT = len("<s>[ROLE]  [/ROLE] ")
 
@@ -52,11 +53,23 @@ def render(turns: Column) -> Column:
     return F.array_join(each, "")
 
 
+def _marked(formatted: Column) -> Column:
+    """Turns as they stand in the output, from mark to mark."""
+    return F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
+
+
 def _raw(formatted: Column) -> Column:
-    """Turns as they stand in the output, escapes included."""
-    roles = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(1))
-    texts = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(2))
-    return F.zip_with(roles, texts, lambda r, t: F.struct(r.alias("role"), t.alias("text")))
+    """Roles and texts as they stand in the output, escapes included."""
+
+    def body(turn: Column) -> Column:
+        return turn.substr(F.lit(len(OPEN) + 1), F.length(turn) - len(OPEN + CLOSE))
+
+    def cut(inner: Column) -> Column:
+        role = F.substring_index(inner, MIDDLE, 1)
+        text = inner.substr(F.length(role) + len(MIDDLE) + 1, F.length(inner))
+        return F.struct(role.alias("role"), text.alias("text"))
+
+    return F.transform(F.transform(_marked(formatted), body), cut)
 
 
 def parse(formatted: Column) -> Column:
@@ -123,7 +136,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     )
     # The mask is laid over the output: a run covers one turn of it, from mark to mark.
     learned = F.zip_with(
-        F.regexp_extract_all("formatted", F.lit(TURN), F.lit(0)), "loss_runs",
+        _marked(F.col("formatted")), "loss_runs",
         lambda turn, r: F.when(r["on"] > 0, turn.substr(r["off"] + 1, r["on"])).otherwise(F.lit("")),
     )
     loss = F.array_join(F.transform(learned, unescape), "")
