@@ -133,6 +133,15 @@ def test_late_rows_at_any_split(spark, events, parts):
     assert want.filter("late").count() > 0
 
 
+@pytest.mark.parametrize("parts, size", [(1, 6 * H), (3, 25 * M)])
+def test_panes_added_and_subtracted(spark, events, parts, size):
+    """Windows that are no multiple of the step as well; equal to the batch runs at any split."""
+    late = stateful.Lateness(M, scratch_dir(spark, "end"))
+    found = timed.sliding_inverse_reduce_stream(follow(spark, split(events, "ts", parts)), ["user_id"], "ts", size, 10 * M, late)
+    want = windows.sliding_inverse_reduce(events, ["user_id"], "ts", size, 10 * M)
+    assert rows(emitted(found, end=late.end)) == rows(want)
+
+
 def test_order_verdicts(spark):
     schema = "id bigint, customer_id bigint, state string, product bigint, quantity int, price double, ts timestamp"
     new = [(i, i, "CREATED", 1, 1, 1.0, at(100 * i)) for i in range(1, 9)] + [(9, 9, "PAID", 1, 1, 1.0, at(0))]

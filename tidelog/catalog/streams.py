@@ -82,6 +82,14 @@ def punctuate_snapshot_stream(i: Inputs) -> DataFrame:
     return run_available_now(ticks, "append", "ticks", late.end)
 
 
+@query("sliding_inverse_reduce_stream", SQL["sliding_inverse_reduce"])
+def sliding_inverse_reduce_stream(i: Inputs) -> DataFrame:
+    """Six hours advancing by ten minutes, panes added as rows come and subtracted by timers."""
+    late = i.late("events", "ts")
+    runs = timed.sliding_inverse_reduce_stream(i.stream("events"), USERS, "ts", 6 * HOUR, 10 * MINUTE, late)
+    return run_available_now(runs, "append", "panes", late.end)
+
+
 @query("late_split_stream", SQL["late_split"])
 def late_split_stream(i: Inputs) -> DataFrame:
     """Late rows as a side output: both outputs are filters on the flag."""

@@ -40,6 +40,47 @@ def punctuate_stream(
     return made.select(*keys, name, F.timestamp_micros("tick_us").alias("tick"))
 
 
+def sliding_inverse_reduce_stream(
+    df: DataFrame, keys: Sequence[str], ts: str, size: int, step: int, late: Lateness, name: str = "cnt"
+) -> DataFrame:
+    """Streaming form of ``sliding_inverse_reduce``: runs of window starts with one count, each when its end is known.
+
+    A key holds a ring of panes, at most ``size / step + 1``: how many rows leave at which window start. A row is added when it
+    enters; a timer subtracts a pane once no row can come any more that enters before it. A key without rows stays at 0.
+    """
+
+    def moved(begin, count, at):
+        """The run that ends before ``at``, unless it begins there."""
+        return [] if begin is None or begin == at else [(begin, at - step, count)]
+
+    def enter(state, row):
+        begin, count, leaving = state
+        place = row["_place"]
+        at, until = ((place - size) // step + 1) * step, (place // step + 1) * step
+        made = moved(begin, count, at)
+        if leaving and leaving[-1][0] == until:
+            leaving = (*leaving[:-1], (until, leaving[-1][1] + 1))
+        else:
+            leaving = (*leaving, (until, 1))
+        return (at, count + 1, leaving), made
+
+    def leave(state, _):
+        begin, count, ((at, rows), *others) = state
+        left = (at, count - rows, tuple(others))
+        return left, moved(begin, count, at), wake(left, None)
+
+    def wake(state, _):
+        # A row before this instant can still enter at or before the first start that loses rows.
+        return state[2][0][0] + size if state[2] else None
+
+    rows = df.select(*keys, F.col(ts).alias("_ts"))
+    output = f"from_us bigint, to_us bigint, {name} bigint"
+    runs = transform_state(rows, keys, enter, output, (None, 0, ()), ["_ts"], late, tick=leave, wake=wake)
+    return runs.select(
+        *keys, F.timestamp_micros("from_us").alias("start_from"), F.timestamp_micros("to_us").alias("start_to"), name
+    )
+
+
 class AsArrived(StatefulProcessor):
     """Flags rows that are far behind the newest of their lane that arrived before. There is no watermark, so none is dropped."""
 
