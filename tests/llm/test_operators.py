@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidelog.llm import chat, decontam, exact, langid, mainhtml, mixing, quality, simhash, substring, warc
-from tidelog.llm.common import WHITE, hash_words, ready
+from tidelog.llm.common import WHITE, hash_words, ready, written
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -440,6 +440,19 @@ def test_words_hash_alike_in_any_piece():
     assert (whole[:50] == whole[-50:]).all()
 
 
+def test_language_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
+    kept = {}
+
+    def keep(df, label):
+        kept[label] = written(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(langid, "written", keep)
+    data = [(1, prose(n, 20), "abc"[n % 3], "s", 0) for n in range(400)]
+    model = langid.train(spark.createDataFrame(data, DOC), max_rows=50, landmarks=12)
+    assert kept["sample"].count() == 50 and model is not None
+
+
 def test_loss_is_read_through_the_mask(spark):
     rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "good day")], "conv_id bigint, turn bigint, role string, text string")
     formatted = chat.format_chats(rows)

@@ -104,9 +104,9 @@ def train(docs: DataFrame, *, max_rows: int = 8_000, landmarks: int = 128, ridge
                 packed += [np.packbits(v > 0).tobytes() for v in presence(data, cuts)]
             yield pa.record_batch([batch.column(1), batch.column(2), pa.array(packed, pa.binary())], names=["lang", "place", "bits"])
 
-    sample = written(
-        pool.where(F.col("place") <= border).mapInArrow(vectors, "lang string, place bigint, bits binary"), "sample"
-    )
+    # Rows that repeat an id share a place: the limit holds for them as well, on short vectors.
+    drawn = pool.where(F.col("place") <= border).mapInArrow(vectors, "lang string, place bigint, bits binary")
+    sample = written(drawn.orderBy("place", "bits", "lang").limit(max_rows), "sample")
     languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     first = Window.partitionBy("lang").orderBy("place", "bits")
     each = max(1, landmarks // len(languages))
