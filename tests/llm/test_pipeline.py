@@ -38,8 +38,7 @@ def test_stages(spark, small):
         for a in sets for b in sets if a < b and sets[a] & sets[b]
     }
     kept = set(ids[3])
-    # Links are exact; fingerprints may miss a few pairs near the threshold.
-    assert not [p for p, s in alike.items() if s >= 0.85 and p[0] in kept and p[1] in kept]
+    assert not [p for p, s in alike.items() if s >= 0.8 and p[0] in kept and p[1] in kept]
     for lost in set(ids[2]) - kept:
         assert max(s for p, s in alike.items() if lost in p) >= 0.8
 

@@ -23,9 +23,9 @@ only propose pairs, for each document its nearest ones; they find most links, an
 after them. What they miss is found exactly, by lists of rare shingles: two sets of similarity s have their
 first common shingle among the first n - ceil(s n) + 1 of each, in any order of all shingles. The order
 puts those that a sample finds common last, so the lists stay short. Lists with documents of one group only
-are left out. ``near_links`` checks the others in rounds. A round proposes for each document its next nearest
-partners of other groups, leaves out those that sizes or parities of the sets rule out, checks the rest
-on the texts, and merges groups. Tasks that still hold unchecked partners across groups go on to the
+are left out, and lists of the same documents are one. ``near_links`` checks the others in rounds. A round proposes for each document its next nearest
+partners of other groups, leaves out those that sizes or parities of the sets or the number of their common first
+shingles rule out, checks the rest on the texts, and merges groups. Tasks that still hold unchecked partners across groups go on to the
 next round with eight times as many, so every pair is ruled out, checked or lies inside one group, and
 groups of near copies are never expanded into all their pairs.
 
@@ -390,7 +390,7 @@ def similarity_radius(similarity: float, width: int) -> int:
     return round(64 * width * math.acos(cosine) / math.pi)
 
 
-def _proposed(tasks: DataFrame, pairs) -> DataFrame:
+def _proposed(tasks: DataFrame, pairs, parts: int) -> DataFrame:
     """(a, b, more): pairs of each task to check (a > b), and the tasks that have more.
 
     Rows of ``tasks`` are (task, fp, root) and further columns, which ``pairs`` gets with the fingerprints in order.
@@ -414,7 +414,7 @@ def _proposed(tasks: DataFrame, pairs) -> DataFrame:
                 a, b, flags = [*a, None], [*b, None], [*flags, task]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip((a, b, flags), schema)], schema=schema)
 
-    found = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary, more bigint")
+    found = tasks.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "a binary, b binary, more bigint")
     return written(found, "proposed")
 
 
@@ -542,11 +542,50 @@ def with_shingles(
 
 
 def _listed(prints: DataFrame) -> DataFrame:
-    """(shard, set): the sets that have a first shingle in common with another one."""
+    """(shard, weight, set): the sets that have first shingles in common with another one.
+
+    Shingles of the same sets, such as those of one passage, are one list; ``weight`` says how many they are.
+    """
     postings = prints.select(F.explode("__first").alias("shard"), F.col("__set").alias("set"))
     ends = postings.groupBy("shard").agg(F.min("set").alias("lo"), F.max("set").alias("hi"))
     shared = written(ends.where("lo != hi").select("shard"), "shared")
-    return written(postings.join(shared, "shard").distinct(), "listed")
+    each = written(postings.join(shared, "shard").distinct(), "postings")
+    members = [F.count("*"), F.min("set"), F.max("set")]
+    members += [F.sum(F.xxhash64("set", F.lit(i)).cast("decimal(20,0)")) for i in range(2)]
+    alike = each.groupBy("shard").agg(*(m.alias(f"m{i}") for i, m in enumerate(members)))
+    lists = alike.groupBy(*(f"m{i}" for i in range(len(members)))).agg(
+        F.min("shard").alias("shard"), F.count("*").alias("weight")
+    )
+    return written(each.join(written(lists.select("shard", "weight"), "lists"), "shard").select("shard", "weight", "set"), "listed")
+
+
+def _briefs(listed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(fp, n, lists): each node's lists, as strings of number and weight, that no array is longer than the set's first part."""
+    entry = F.concat_ws(":", "shard", "weight")
+    lists = listed.groupBy("set").agg(F.collect_list(entry).alias("lists"))
+    return written(nodes.select("fp", "n", "set").join(lists, "set").select("fp", "n", "lists"), "briefs")
+
+
+def _alike(pairs: DataFrame, briefs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that sizes and common first shingles allow; no similar pair is left out.
+
+    Similar sets of n and m shingles share s (n + m) / (1 + s) of them. Take the set whose first part ends earlier
+    in the order: what it shares outside of that part is at most the rest of it, and what it shares inside lies in the
+    first part of the other set as well.
+    """
+
+    def side(name: str) -> DataFrame:
+        return briefs.select(*(F.col(c).alias(name if c == "fp" else f"{name}_{c}") for c in ("fp", "n", "lists")))
+
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    rest = [F.ceil(F.col(f"{x}_n") * similarity - 1e-6) - 1 for x in "ab"]
+    needed = (F.col("a_n") + F.col("b_n")) * (similarity / (1 + similarity)) - F.greatest(*rest) - 1e-6
+    weight = F.aggregate(
+        F.array_intersect("a_lists", "b_lists"), F.lit(0).cast("bigint"),
+        lambda total, x: total + F.substring_index(x, ":", -1).cast("bigint"),
+    )
+    sizes = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * similarity - 1e-6
+    return both.where(sizes).where(weight >= F.greatest(needed, F.lit(1.0))).select("a", "b")
 
 
 def _list_tasks(listed: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, cell: int) -> DataFrame:
@@ -561,6 +600,11 @@ def _list_tasks(listed: DataFrame, nodes: DataFrame, roots: DataFrame, similarit
     return written(_cut(written(members, "members"), cell), "tasks")
 
 
+def _parts(rows: int, per_task: int = 16_384) -> int:
+    """Partitions for so many rows of tasks: their work grows with rows, not with bytes."""
+    return max(1, math.ceil(rows / per_task))
+
+
 def _checker(shingle: int, similarity: float):
     """The pairs whose shingle sets are similar; rows are (b, part, a, text), b's own text first."""
 
@@ -624,17 +668,21 @@ def near_links(
     ``nodes`` has ``fp``, ``first`` (the document whose text stands for the node), ``set``, ``n`` and ``parity``,
     ``prints`` the first shingles of the documents, ``keyed`` their texts.
     """
+    listed = _listed(prints)
+    briefs = _briefs(listed, nodes)
     tasks = _tasks(nodes, masks, width, radius, cell).select("task", "fp", F.col("fp").alias("root"))
-    pairs = _proposed(tasks, _nearest(width, radius, first)).select("a", "b").distinct()
-    good = check_pairs(written(pairs, "pairs"), nodes, keyed, shingle, similarity)
+    proposed = _proposed(tasks, _nearest(width, radius, first), _parts(nodes.count() * len(masks)))
+    pairs = written(_alike(proposed.select("a", "b").distinct(), briefs, similarity), "pairs")
+    good = check_pairs(pairs, nodes, keyed, shingle, similarity)
     roots = written(components(good).select("a", F.col("b").alias("root")), "roots")
-    tasks, low, high = _list_tasks(_listed(prints), nodes, roots, similarity, cell), 0, first
+    tasks, low, high = _list_tasks(listed, nodes, roots, similarity, cell), 0, first
     while not tasks.isEmpty():
         placed = tasks.join(roots, tasks["fp"] == roots["a"], "left").select(
             "task", "fp", F.coalesce("root", "fp").alias("root"), "n", "parity"
         )
-        proposed = _proposed(placed, _possible(width, similarity, low, high))
-        pairs = written(proposed.where("a IS NOT NULL").select("a", "b").distinct(), "pairs")
+        proposed = _proposed(placed, _possible(width, similarity, low, high), _parts(tasks.count()))
+        pairs = proposed.where("a IS NOT NULL").select("a", "b").distinct()
+        pairs = written(_alike(pairs, briefs, similarity), "pairs")
         good = None if pairs.isEmpty() else written(check_pairs(pairs, nodes, keyed, shingle, similarity), "near")
         if good is not None and not good.isEmpty():
             links = good.unionByName(roots.select("a", F.col("root").alias("b")))
