@@ -218,6 +218,39 @@ def test_near_copies_none_is_missed(spark):
     assert {r[0] for r in simhash.drop_near_copies(docs).collect()} == want
 
 
+def test_common_first_shingles_rule_out_no_similar_pair(spark):
+    """All pairs of 150 sets against the filter by lists, where shingles of the same sets are one list."""
+    draw = np.random.Generator(np.random.PCG64(21))
+    passage = draw.integers(0, 1 << 62, 30).tolist()
+    sets = [set(), {7}]
+    for _ in range(37):
+        base = draw.integers(0, 1 << 62, int(draw.integers(1, 120))).tolist() + (passage if draw.random() < 0.5 else [])
+        sets.append(set(base))
+        for share in (0.95, 0.82, 0.7):
+            keep = [h for h in base if draw.random() < share]
+            sets.append(set(keep) | set(draw.integers(0, 1 << 62, int(draw.integers(0, 8))).tolist()))
+    hot = np.sort(np.array(passage[:9], dtype=np.uint64))
+    rows = []
+    for i, one in enumerate(sets):
+        hashes = np.sort(np.array(sorted(one), dtype=np.uint64))
+        first = simhash._first(hashes, hot, np.arange(len(hot)) + 1, simhash.prefix_length(len(hashes), 0.8))
+        rows.append((i.to_bytes(4, "big"), i, len(hashes), first.view(np.int64).tolist()))
+    prints = spark.createDataFrame(rows, "fp binary, __set bigint, n int, __first array<bigint>")
+    listed = simhash._listed(prints)
+    briefs = simhash._briefs(listed, prints.withColumnRenamed("__set", "set"))
+    asked = [(rows[a][0], rows[b][0]) for a in range(len(sets)) for b in range(a)]
+    found = {
+        (int.from_bytes(r[0], "big"), int.from_bytes(r[1], "big"))
+        for r in simhash._alike(spark.createDataFrame(asked, "a binary, b binary"), briefs, 0.8).collect()
+    }
+    overlap = {(a, b): len(sets[a] & sets[b]) for a in range(len(sets)) for b in range(a)}
+    similar = {p for p, o in overlap.items() if o and o >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - o)}
+    assert len(similar) > 20 and similar <= found
+    assert len(found) < sum(o > 0 for o in overlap.values()) / 2
+    totals = listed.groupBy("shard").agg(F.max("weight").alias("w"))
+    assert totals.count() < totals.agg(F.sum("w")).first()[0]
+
+
 def test_first_shingles_meet_in_lists():
     draw = np.random.Generator(np.random.PCG64(3))
     for n in [1, 2, 4, 5, 9, 10, 37, 400] * 20:
