@@ -8,12 +8,14 @@ has passed it, so results do not depend on how the input is split into triggers.
 says how far rows may be out of order; a row that comes later than that is dropped and counted in
 the query's progress.
 
-Rows that wait lie in a map by the instant they are due, with one timer per instant. A trigger reads and
-writes the instants that rows arrived for and those that are due; it does not touch what else waits.
+Keys are dealt to shards, and Spark's state is kept by shard: calls to the state cost more than the work on a row. Rows that wait
+lie in pieces by stretches of time, with one timer a shard for the first that is due. A trigger writes pieces of what arrived, reads
+the stretches that are due, and reads and writes each key that is due once; it does not touch what else waits.
 """
 
 from __future__ import annotations
 
+import heapq
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -29,6 +31,7 @@ from tidelog.operators.cep import Pattern, match_schema, runtime_steps, with_con
 from tidelog.operators.orders import exact_amount
 from tidelog.plans.ordered import micros
 from tidelog.sources.sinks import end_of_input
+from tidelog.streaming.packed import pack, packed, unpacked
 
 Step = Callable[[tuple, dict], tuple[tuple, list[tuple]]]
 # A user's timer: state and instant (microseconds) to state, rows, and the next instant or None.
@@ -54,109 +57,206 @@ def ddl(df: DataFrame, columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
-def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) -> DataFrame:
-    """Rows with their instant (``_time``, watermarked) and its microseconds (``_place``)."""
+# Groups of keys whose state is kept together; a part of the state's layout, so it must not change while a query lives.
+SHARDS = 256
+# The stretch that rows may be out of order is cut into so many buckets.
+BUCKETS = 64
+# Rows of a shard that are held before a piece of each bucket is written, and keys whose state is held before it is written.
+ROWS_HELD, KEYS_HELD = 20_000, 20_000
+
+
+def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) -> tuple[DataFrame, list[str]]:
+    """Packed rows (``row``, the values of the columns named beside) with shard, instant (``_time``, watermarked) and the
+    millisecond when they are due. Null rows are the end of the input."""
     whole = isinstance(df.schema[first].dataType, T.IntegralType)
     instant = F.timestamp_micros(F.col(first).cast("bigint") + DAY) if whole else F.col(first)
-    rows = df.withColumn("_time", instant).filter(F.col("_time").isNotNull())
-    rows = rows.withColumn("_place", F.unix_micros("_time"))
+    for key in keys:
+        if isinstance(df.schema[key].dataType, (T.FloatType, T.DoubleType)):
+            # Zeros of both signs are one key.
+            df = df.withColumn(key, (F.col(key) + F.lit(0.0)).cast(df.schema[key].dataType))
+    rows = df.withColumn("_time", instant).filter(F.col("_time").isNotNull()).withColumn("_place", F.unix_micros("_time"))
+    names = [*keys, *[c for c in df.columns if c not in keys], "_place"]
+    shard = F.pmod(F.xxhash64(*keys), F.lit(SHARDS)).cast("int")
+    due = F.expr("(_place - pmod(_place, 1000L)) div 1000L + 1L")
+    rows = packed(rows.withColumn("_shard", shard).withColumn("_due", due), ["_shard", "_time", "_due"], names)
     if late.end:
-        blank = [
-            F.lit("0" if f.name in keys else None).try_cast(f.dataType).alias(f.name)
-            for f in rows.schema.fields
-            if f.name != "_time"
-        ]
-        rows = rows.unionByName(end_of_input(df.sparkSession, late.end).select("_time", *blank))
-    return rows.withWatermark("_time", f"{late.delay // 1000 + 1} milliseconds")
+        end = end_of_input(df.sparkSession, late.end)
+        rows = rows.unionByName(end.select("_time", F.lit(0).alias("_shard")), allowMissingColumns=True)
+    return rows.withWatermark("_time", f"{late.delay // 1000 + 1} milliseconds"), names
 
 
 class InOrder(StatefulProcessor):
     """Hands the rows of a key to ``step`` in order, once the watermark has passed them.
 
     ``tick`` is called at the instant a state asks for: ``wake(state, place)`` says when that is, after each row. Rows before an
-    instant are seen before its tick, rows at it after.
+    instant are seen before its tick, rows at it after. A key that must be looked at without a row (for a tick, or to be forgotten) waits
+    by its name among the rows; far ahead it waits at the beginning of a longer stretch, and is put in its place from there.
     """
 
     def __init__(
-        self, keys: Sequence[str], names: Sequence[str], step: Step, initial: tuple, ties: Sequence[str],
+        self, keys: Sequence[str], fields: Sequence[str], step: Step, initial: tuple, ties: Sequence[str], width: int,
         keep: int | None, tick: Tick | None = None, wake: Callable[[tuple, int], int | None] | None = None,
     ) -> None:
-        self.keys, self.step, self.initial, self.ties, self.keep = keys, step, initial, ties, keep
+        self.count, self.fields, self.step, self.initial, self.width, self.keep = len(keys), fields, step, initial, width, keep
         self.tick, self.wake = tick, wake
-        self.out = Row(*names)
+        self.place, self.ties = fields.index("_place"), [fields.index(c) for c in ties]
+        self.blank = pickle.dumps(initial)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "due bigint", "rows binary")
-        self.state = handle.getValueState("state", "value binary")
-        self.pending = handle.getValueState("pending", "instants bigint")
-
-    def _pend(self, more: int) -> int:
-        """How many instants rows wait for; kept only where ticks need it."""
-        count = (self.pending.get()[0] if self.pending.exists() else 0) + more
-        self.pending.update((count,))
-        return count
+        # Entries are (due, packed row) or (due, name of a key).
+        self.pieces = handle.getMapState("pieces", "bucket bigint, piece int", "entries binary")
+        # Buckets with the number of their pieces and the first instant due.
+        self.plan = handle.getValueState("plan", "buckets binary")
+        self.states = handle.getMapState("states", "key string", "value binary")
+
+    def _planned(self) -> dict[int, tuple[int, int]]:
+        stored = self.plan.get()
+        return pickle.loads(stored[0]) if stored else {}
+
+    def _wait(self, plan: dict, found: dict[int, list]) -> None:
+        for bucket, entries in found.items():
+            pieces, first = plan.get(bucket, (0, entries[0][0]))
+            self.pieces.updateValue((bucket, pieces), (pickle.dumps(entries),))
+            plan[bucket] = (pieces + 1, min(first, min(due for due, _ in entries)))
+
+    def _save(self, plan: dict) -> None:
+        self.plan.update((pickle.dumps(plan),))
+        if plan:
+            self.handle.registerTimer(min(first for _, first in plan.values()))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = 0
-        arrived: dict[int, list[dict]] = {}
+        plan, found, held = None, {}, 0
         for row in rows:
-            if row["_place"] is not None:  # otherwise the end of the input
-                arrived.setdefault(row["_place"] // 1000 + 1, []).append(row.asDict())
-        for due, found in arrived.items():
-            before = self.waiting.getValue((due,))
-            if before is None:
-                self.handle.registerTimer(due)
-                fresh += 1
-            else:
-                found = pickle.loads(before[0]) + found
-            self.waiting.updateValue((due,), (pickle.dumps(found),))
-        if fresh and self.tick is not None:
-            self._pend(fresh)
+            if row["row"] is None:  # the end of the input
+                continue
+            found.setdefault(row["_due"] // self.width, []).append((row["_due"], row["row"]))
+            held += 1
+            if held == ROWS_HELD:
+                plan = self._planned() if plan is None else plan
+                self._wait(plan, found)
+                found, held = {}, 0
+        if found:
+            plan = self._planned() if plan is None else plan
+            self._wait(plan, found)
+        if plan is not None:
+            self._save(plan)
         return iter(())
 
-    def _turn(self, row: dict) -> tuple:
-        return (row["_place"], *[(row[c] is None, row[c]) for c in self.ties])
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        stored = self.state.get() if self.state.exists() else None
-        current, newest, alarm = pickle.loads(stored[0]) if stored else (self.initial, 0, None)
-        blob, made, told = self.waiting.getValue((due,)), [], alarm
-        rows = sorted(pickle.loads(blob[0]), key=self._turn) if blob else []
-        for row in rows:
-            while alarm is not None and alarm <= row["_place"]:
-                current, more, alarm = self.tick(current, alarm)
-                made += more
-            if self.keep is not None and row["_place"] - newest > self.keep:
+        now, plan = timerValues.getCurrentWatermarkInMs(), self._planned()
+        if all(first > now for _, first in plan.values()):
+            return
+        self.known, self.ahead, self.turns = {}, {}, list(plan)
+        heapq.heapify(self.turns)
+        yield from pack(self._due_rows(plan, now))
+        self._write()
+        self._wait(plan, self.ahead)
+        self._save(plan)
+
+    def _due_rows(self, plan: dict, now: int) -> Iterator[tuple]:
+        """Rows made up to ``now``, bucket after bucket. A bucket is handled as if the watermark stood at its end."""
+        while self.turns:
+            bucket = self.turns[0]
+            pieces, first = plan.get(bucket, (0, None))
+            named = self.ahead.get(bucket, [])
+            if min(due for due in (first, *[d for d, _ in named]) if due is not None) > now:
+                return
+            heapq.heappop(self.turns)
+            plan.pop(bucket, None)
+            self.ahead.pop(bucket, None)
+            until, rest, found = min(now, (bucket + 1) * self.width - 1), [], {}
+            for piece in range(pieces):
+                named += pickle.loads(self.pieces.getValue((bucket, piece))[0])
+                self.pieces.removeKey((bucket, piece))
+                for due, entry in named:
+                    if due > until:
+                        rest.append((due, entry))
+                    elif isinstance(entry, str):
+                        found.setdefault(entry, [])
+                    else:
+                        row = pickle.loads(entry)
+                        found.setdefault(repr(row[: self.count]), []).append(row)
+                named = []
+            for due, name in named:
+                if due > until:
+                    rest.append((due, name))
+                else:
+                    found.setdefault(name, [])
+            if rest:
+                self._wait(plan, {bucket: rest})
+                heapq.heappush(self.turns, bucket)
+            for name, rows in found.items():
+                yield from self._advance(name, rows, until)
+                if len(self.known) > KEYS_HELD:
+                    self._write()
+
+    def _turn(self, row: tuple) -> tuple:
+        return (row[self.place], *[(row[c] is None, row[c]) for c in self.ties])
+
+    def _advance(self, name: str, rows: list[tuple], until: int) -> Iterator[tuple]:
+        """A key's rows in order, then its ticks up to ``until`` (milliseconds)."""
+        known = self.known.get(name)
+        if known is None:
+            stored = self.states.getValue((name,))
+            if stored is None and not rows:
+                return
+            known = pickle.loads(stored[0]) if stored else (rows[0][: self.count], self.initial, 0, None, None)
+        key, current, newest, alarm, told = known
+        if len(rows) > 1:
+            rows.sort(key=self._turn)
+        for values in rows:
+            row = dict(zip(self.fields, values))
+            place = row["_place"]
+            while alarm is not None and alarm <= place:
+                current, made, alarm = self.tick(current, alarm)
+                for one in made:
+                    yield (*key, *one)
+            if self.keep is not None and place - newest > self.keep:
                 current = self.initial
-            current, more = self.step(current, row)
-            made += more
-            newest = row["_place"]
+            current, made = self.step(current, row)
+            for one in made:
+                yield (*key, *one)
+            newest = place
             if self.wake is not None:
                 alarm = self.wake(current, newest)
-        if self.tick is not None:
-            # A later row's ticks come before it. Where no row waits, all ticks that the watermark has passed are due.
-            until = due if self._pend(-1 if blob else 0) else max(due, timerValues.getCurrentWatermarkInMs())
-            while alarm is not None and alarm <= until * 1000:
-                current, more, alarm = self.tick(current, alarm)
-                made += more
-        if blob:
-            self.waiting.removeKey((due,))
-        self._store(due, current, newest, alarm, told)
-        for row in made:
-            yield self.out(*key, *row)
-
-    def _store(self, due: int, current: tuple, newest: int, alarm: int | None, told: int | None) -> None:
-        if self.keep is not None and due * 1000 > newest + self.keep + 1000 and alarm is None:
-            self.state.clear()
-            return
-        self.state.update((pickle.dumps((current, newest, alarm)),))
-        if self.keep is not None:
-            # Looks again when the key may be forgotten; rows that come until then set a later instant.
-            self.handle.registerTimer((newest + self.keep) // 1000 + 3)
-        if alarm is not None and alarm != told:
-            self.handle.registerTimer(-(-alarm // 1000))
+        while alarm is not None and alarm <= until * 1000:
+            current, made, alarm = self.tick(current, alarm)
+            for one in made:
+                yield (*key, *one)
+        if alarm is not None:
+            told = self._look(name, -(-alarm // 1000), told, until)
+        elif self.keep is not None:
+            if until * 1000 > newest + self.keep + 1000:
+                current, newest = self.initial, 0
+            else:
+                told = self._look(name, (newest + self.keep) // 1000 + 3, told, until)
+        self.known[name] = (key, current, newest, alarm, told)
+
+    def _look(self, name: str, due: int, told: int | None, until: int) -> int:
+        """When the key is looked at next, at ``due`` or before."""
+        bucket = due // self.width
+        if bucket - until // self.width > BUCKETS:
+            bucket = bucket // BUCKETS * BUCKETS
+            due = bucket * self.width
+        if told is not None and until < told <= due:
+            return told
+        if bucket not in self.ahead:
+            self.ahead[bucket] = []
+            if bucket not in self.turns:
+                heapq.heappush(self.turns, bucket)
+        self.ahead[bucket].append((due, name))
+        return due
+
+    def _write(self) -> None:
+        for name, known in self.known.items():
+            _, current, newest, alarm, _ = known
+            # A key in its first state is not kept.
+            if alarm is None and (self.keep is None or newest == 0) and pickle.dumps(current) == self.blank:
+                self.states.removeKey((name,))
+            else:
+                self.states.updateValue((name,), (pickle.dumps(known),))
+        self.known = {}
 
     def close(self) -> None:
         pass
@@ -187,24 +287,15 @@ def transform_state(
     """
     for key in keys:
         df = df.filter(F.col(key).isNotNull())
-    names = [*keys, *[part.split()[0].strip("`") for part in _columns(output)]]
-    processor = InOrder(keys, names, step, initial, list(order[1:]), keep, tick, wake)
-    return _in_time(df, keys, order[0], late).groupBy(*keys).transformWithState(
-        processor, f"{ddl(df, keys)}, {output}", mode, "eventTime"
+    rows, fields = _in_time(df, keys, order[0], late)
+    least = 1 if isinstance(df.schema[order[0]].dataType, T.IntegralType) else 1000
+    width = max(least, late.delay // 1000 // BUCKETS)
+    processor = InOrder(keys, fields, step, initial, list(order[1:]), width, keep, tick, wake)
+    return unpacked(
+        rows.groupBy("_shard").transformWithState(processor, "rows binary", mode, "eventTime"), f"{ddl(df, keys)}, {output}"
     )
 
 
-def _columns(ddl_text: str) -> list[str]:
-    """Top-level column declarations of a DDL list."""
-    parts, depth, last = [], 0, 0
-    for i, ch in enumerate(ddl_text):
-        depth += (ch in "<(") - (ch in ">)")
-        if ch == "," and depth == 0:
-            parts.append(ddl_text[last:i].strip())
-            last = i + 1
-    return [*parts, ddl_text[last:].strip()]
-
-
 def running_count_stream(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], late: Lateness, carry: Sequence[str] = ()
 ) -> DataFrame:
