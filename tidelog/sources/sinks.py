@@ -17,14 +17,27 @@ from tidelog.sources.log import offset_bounds, resume_from_offset
 from tidelog.sources.scratch import scratch_dir, through
 
 
-def _run(writer, checkpoint: str) -> None:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# A stream's shuffles have so many partitions a core, and at least the second number of them, but no more than the session sets.
+PARTITIONS_PER_CORE, LEAST_PARTITIONS = 2, 32
+
+
+def _run(spark: SparkSession, writer, checkpoint: str) -> None:
+    """Process all there is. Each trigger opens the state of each partition and starts its worker, whether it has rows or not, and Spark
+    does not merge such partitions; so a new stream gets as many as keep the cores busy."""
+    wanted = spark.conf.get(SHUFFLE_PARTITIONS)
+    enough = max(LEAST_PARTITIONS, PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(min(int(wanted), enough)))
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, wanted)
     query.awaitTermination()
 
 
 def sink_append(df: DataFrame, path: str, checkpoint: str) -> None:
     """Append a stream to a typed table; the file sink commits each micro-batch once."""
-    _run(df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
+    _run(df.sparkSession, df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
 
 
 def pipe(df: DataFrame, path: str, checkpoint: str) -> None:
@@ -44,7 +57,7 @@ def sink_idempotent(
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
 
-    _run(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
+    _run(df.sparkSession, df.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,7 +84,7 @@ def sink_upsert(
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(latest_rows(batch, keys, order), path, batch_id)
 
-    _run(df.writeStream.outputMode("append").foreachBatch(write), checkpoint)
+    _run(df.sparkSession, df.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
 
 def read_upserted(

@@ -5,11 +5,12 @@ shuffles by key, keeps the state and restores it after a failure.
 
 Rows are put in order before they are seen: a row waits until the watermark
 has passed it, so results do not depend on how the input is split into triggers. ``Lateness``
-says how far rows may be out of order; a row that comes later than that is dropped and counted in
-the query's progress.
+says how far rows may be out of order; a row that comes later than that is dropped.
 
-Keys are dealt to shards, and Spark's state is kept by shard: calls to the state cost more than the work on a row. Rows that wait
-lie in pieces by stretches of time, with one timer a shard for the first that is due. A trigger writes pieces of what arrived, reads
+Keys are dealt to shards, and Spark's state is kept by shard: calls to the state cost more than the work on a row, and so does handing
+over a row. Rows go to their shard many at a time, under the newest instant among them; a shard knows how far the watermark was, by a timer at
+each of its steps, and drops the late rows among them itself. Rows that wait
+lie in pieces by stretches of time. A trigger writes pieces of what arrived, reads
 the stretches that are due, and reads and writes each key that is due once; it does not touch what else waits.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -31,7 +33,7 @@ from tidelog.operators.cep import Pattern, match_schema, runtime_steps, with_con
 from tidelog.operators.orders import exact_amount
 from tidelog.plans.ordered import micros
 from tidelog.sources.sinks import end_of_input
-from tidelog.streaming.packed import pack, packed, unpacked
+from tidelog.streaming.packed import blob, pack, packed, unpack, unpacked
 
 Step = Callable[[tuple, dict], tuple[tuple, list[tuple]]]
 # A user's timer: state and instant (microseconds) to state, rows, and the next instant or None.
@@ -61,13 +63,15 @@ def ddl(df: DataFrame, columns: Sequence[str]) -> str:
 SHARDS = 256
 # The stretch that rows may be out of order is cut into so many buckets.
 BUCKETS = 64
-# Rows of a shard that are held before a piece of each bucket is written, and keys whose state is held before it is written.
-ROWS_HELD, KEYS_HELD = 20_000, 20_000
+# Rows of a shard that are held before they are written, and keys whose state is held before it is written.
+ROWS_HELD, KEYS_HELD = 20_000, 100_000
+# A call to the state takes about as long as hundreds of rows: neighbouring buckets share a piece up to so many rows, and keys share a block.
+ROWS_PER_PIECE, KEYS_PER_BLOCK = 2_000, 64
 
 
 def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) -> tuple[DataFrame, list[str]]:
-    """Packed rows (``row``, the values of the columns named beside) with shard, instant (``_time``, watermarked) and the
-    millisecond when they are due. Null rows are the end of the input."""
+    """Packed rows (``row``, a list of the values of the columns named beside) with shard and newest instant (``_time``, watermarked).
+    A null list has no rows: it tells of the end of the input, or that others go on."""
     whole = isinstance(df.schema[first].dataType, T.IntegralType)
     instant = F.timestamp_micros(F.col(first).cast("bigint") + DAY) if whole else F.col(first)
     for key in keys:
@@ -77,8 +81,7 @@ def _in_time(df: DataFrame, keys: Sequence[str], first: str, late: Lateness) ->
     rows = df.withColumn("_time", instant).filter(F.col("_time").isNotNull()).withColumn("_place", F.unix_micros("_time"))
     names = [*keys, *[c for c in df.columns if c not in keys], "_place"]
     shard = F.pmod(F.xxhash64(*keys), F.lit(SHARDS)).cast("int")
-    due = F.expr("(_place - pmod(_place, 1000L)) div 1000L + 1L")
-    rows = packed(rows.withColumn("_shard", shard).withColumn("_due", due), ["_shard", "_time", "_due"], names)
+    rows = packed(rows.withColumn("_shard", shard), "_shard", "_place", names, SHARDS)
     if late.end:
         end = end_of_input(df.sparkSession, late.end)
         rows = rows.unionByName(end.select("_time", F.lit(0).alias("_shard")), allowMissingColumns=True)
@@ -104,104 +107,149 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Entries are (due, packed row) or (due, name of a key).
+        # Rows, and keys to look at with the millisecond when they are due, under the first bucket that they lie in.
         self.pieces = handle.getMapState("pieces", "bucket bigint, piece int", "entries binary")
-        # Buckets with the number of their pieces and the first instant due.
+        # Buckets with the number of their pieces and the first instant due, the watermark so far, and the numbers of stored keys and blocks.
         self.plan = handle.getValueState("plan", "buckets binary")
-        self.states = handle.getMapState("states", "key string", "value binary")
+        # States of the keys of a block, by their names.
+        self.states = handle.getMapState("states", "block bigint", "value binary")
 
-    def _planned(self) -> dict[int, tuple[int, int]]:
+    def _planned(self) -> tuple[dict[int, tuple[int, int]], int]:
         stored = self.plan.get()
-        return pickle.loads(stored[0]) if stored else {}
-
-    def _wait(self, plan: dict, found: dict[int, list]) -> None:
-        for bucket, entries in found.items():
-            pieces, first = plan.get(bucket, (0, entries[0][0]))
-            self.pieces.updateValue((bucket, pieces), (pickle.dumps(entries),))
-            plan[bucket] = (pieces + 1, min(first, min(due for due, _ in entries)))
-
-    def _save(self, plan: dict) -> None:
-        self.plan.update((pickle.dumps(plan),))
-        if plan:
-            self.handle.registerTimer(min(first for _, first in plan.values()))
+        plan, passed, self.stored, self.blocks = pickle.loads(stored[0]) if stored else ({}, 0, 0, 1)
+        return plan, passed
+
+    def _save(self, plan: dict, passed: int) -> None:
+        self.plan.update((pickle.dumps((plan, passed, self.stored, self.blocks)),))
+        self.handle.registerTimer(passed + 1)
+
+    def _file(self, plan: dict, found: dict[int, list]) -> None:
+        """Write what waits, by bucket: the first instant due, rows, and names."""
+        home, first, rows, names = None, None, [], []
+        for bucket in sorted(found):
+            due, some, named = found[bucket]
+            if home is None:
+                home, first = bucket, due
+            rows, names = rows + some, names + named
+            if len(rows) + len(names) >= ROWS_PER_PIECE:
+                self._piece(plan, home, first, rows, names)
+                home, rows, names = None, [], []
+        if home is not None:
+            self._piece(plan, home, first, rows, names)
+
+    def _piece(self, plan: dict, bucket: int, first: int, rows: list[tuple], names: list[tuple[int, str]]) -> None:
+        pieces, before = plan.get(bucket, (0, first))
+        self.pieces.updateValue((bucket, pieces), (blob((rows, names)),))
+        plan[bucket] = (pieces + 1, min(first, before))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        plan, found, held = None, {}, 0
+        plan, passed = self._planned()
+        # The watermark of the trigger before: what Spark drops late rows by. The timer moves it on, once these rows wait.
+        found, held, late = {}, 0, passed * 1000
         for row in rows:
-            if row["row"] is None:  # the end of the input
+            if row["row"] is None:
                 continue
-            found.setdefault(row["_due"] // self.width, []).append((row["_due"], row["row"]))
-            held += 1
-            if held == ROWS_HELD:
-                plan = self._planned() if plan is None else plan
-                self._wait(plan, found)
+            for values in unpack(row["row"]):
+                if values[self.place] > late:
+                    self._to(found, values)
+                    held += 1
+            if held >= ROWS_HELD:
+                self._file(plan, found)
                 found, held = {}, 0
-        if found:
-            plan = self._planned() if plan is None else plan
-            self._wait(plan, found)
-        if plan is not None:
-            self._save(plan)
+        self._file(plan, found)
+        self._save(plan, passed)
         return iter(())
 
+    def _to(self, found: dict[int, list], row: tuple) -> int:
+        due = row[self.place] // 1000 + 1
+        bucket = due // self.width
+        entry = found.get(bucket)
+        if entry is None:
+            found[bucket] = [due, [row], []]
+        else:
+            entry[1].append(row)
+            if due < entry[0]:
+                entry[0] = due
+        return bucket
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, plan = timerValues.getCurrentWatermarkInMs(), self._planned()
-        if all(first > now for _, first in plan.values()):
+        now = timerValues.getCurrentWatermarkInMs()
+        plan, passed = self._planned()
+        if now <= passed:
             return
-        self.known, self.ahead, self.turns = {}, {}, list(plan)
-        heapq.heapify(self.turns)
-        yield from pack(self._due_rows(plan, now))
-        self._write()
-        self._wait(plan, self.ahead)
-        self._save(plan)
+        if any(first <= now for _, first in plan.values()):
+            self.known, self.held, self.changed = {}, {}, set()
+            self.ahead, self.turns, self.listed = {}, list(plan), set(plan)
+            heapq.heapify(self.turns)
+            yield from pack(self._due_rows(plan, now))
+            self._write()
+            self._file(plan, self.ahead)
+        self._save(plan, now)
+
+    def _list(self, bucket: int) -> None:
+        if bucket not in self.listed:
+            self.listed.add(bucket)
+            heapq.heappush(self.turns, bucket)
 
     def _due_rows(self, plan: dict, now: int) -> Iterator[tuple]:
         """Rows made up to ``now``, bucket after bucket. A bucket is handled as if the watermark stood at its end."""
         while self.turns:
             bucket = self.turns[0]
             pieces, first = plan.get(bucket, (0, None))
-            named = self.ahead.get(bucket, [])
-            if min(due for due in (first, *[d for d, _ in named]) if due is not None) > now:
+            entry = self.ahead.get(bucket)
+            if min(due for due in (first, entry and entry[0]) if due is not None) > now:
                 return
             heapq.heappop(self.turns)
+            self.listed.remove(bucket)
             plan.pop(bucket, None)
             self.ahead.pop(bucket, None)
-            until, rest, found = min(now, (bucket + 1) * self.width - 1), [], {}
+            until, found = min(now, (bucket + 1) * self.width - 1), {}
+            end, parts = until * 1000, [entry[1:]] if entry else []
             for piece in range(pieces):
-                named += pickle.loads(self.pieces.getValue((bucket, piece))[0])
+                parts.append(unpack(self.pieces.getValue((bucket, piece))[0]))
                 self.pieces.removeKey((bucket, piece))
-                for due, entry in named:
+            while parts:
+                rows, names = parts.pop()
+                for row in rows:
+                    if row[self.place] >= end:
+                        self._list(self._to(self.ahead, row))
+                        continue
+                    name = repr(row[: self.count])
+                    if name in found:
+                        found[name].append(row)
+                    else:
+                        found[name] = [row]
+                for due, name in names:
                     if due > until:
-                        rest.append((due, entry))
-                    elif isinstance(entry, str):
-                        found.setdefault(entry, [])
+                        self._name(due, name)
                     else:
-                        row = pickle.loads(entry)
-                        found.setdefault(repr(row[: self.count]), []).append(row)
-                named = []
-            for due, name in named:
-                if due > until:
-                    rest.append((due, name))
-                else:
-                    found.setdefault(name, [])
-            if rest:
-                self._wait(plan, {bucket: rest})
-                heapq.heappush(self.turns, bucket)
-            for name, rows in found.items():
-                yield from self._advance(name, rows, until)
+                        found.setdefault(name, [])
+            for name in sorted(found, key=self._block):
+                yield from self._advance(name, found[name], until)
                 if len(self.known) > KEYS_HELD:
                     self._write()
 
+    def _name(self, due: int, name: str) -> None:
+        """A key that is looked at when ``due``, without a row."""
+        bucket = due // self.width
+        entry = self.ahead.setdefault(bucket, [due, [], []])
+        entry[0] = min(entry[0], due)
+        entry[2].append((due, name))
+        self._list(bucket)
+
     def _turn(self, row: tuple) -> tuple:
         return (row[self.place], *[(row[c] is None, row[c]) for c in self.ties])
 
     def _advance(self, name: str, rows: list[tuple], until: int) -> Iterator[tuple]:
         """A key's rows in order, then its ticks up to ``until`` (milliseconds)."""
+        block = self._block(name)
+        if block not in self.held:
+            self._read(block)
         known = self.known.get(name)
         if known is None:
-            stored = self.states.getValue((name,))
-            if stored is None and not rows:
+            if not rows:
                 return
-            known = pickle.loads(stored[0]) if stored else (rows[0][: self.count], self.initial, 0, None, None)
+            known = (rows[0][: self.count], self.initial, 0, None, None)
         key, current, newest, alarm, told = known
         if len(rows) > 1:
             rows.sort(key=self._turn)
@@ -232,6 +280,7 @@ class InOrder(StatefulProcessor):
             else:
                 told = self._look(name, (newest + self.keep) // 1000 + 3, told, until)
         self.known[name] = (key, current, newest, alarm, told)
+        self.changed.add(block)
 
     def _look(self, name: str, due: int, told: int | None, until: int) -> int:
         """When the key is looked at next, at ``due`` or before."""
@@ -241,22 +290,57 @@ class InOrder(StatefulProcessor):
             due = bucket * self.width
         if told is not None and until < told <= due:
             return told
-        if bucket not in self.ahead:
-            self.ahead[bucket] = []
-            if bucket not in self.turns:
-                heapq.heappush(self.turns, bucket)
-        self.ahead[bucket].append((due, name))
+        self._name(due, name)
         return due
 
+    def _block(self, name: str) -> int:
+        return zlib.crc32(name.encode()) & (self.blocks - 1)
+
+    def _read(self, block: int) -> None:
+        value = self.states.getValue((block,)) if self.stored else None
+        found = unpack(value[0]) if value else {}
+        self.held[block] = len(found)
+        self.known.update(found)
+
     def _write(self) -> None:
+        kept = {}
         for name, known in self.known.items():
             _, current, newest, alarm, _ = known
             # A key in its first state is not kept.
-            if alarm is None and (self.keep is None or newest == 0) and pickle.dumps(current) == self.blank:
-                self.states.removeKey((name,))
-            else:
-                self.states.updateValue((name,), (pickle.dumps(known),))
-        self.known = {}
+            if alarm is not None or (self.keep is not None and newest != 0) or pickle.dumps(current) != self.blank:
+                kept[name] = known
+        total = self.stored - sum(self.held.values()) + len(kept)
+        if total > KEYS_PER_BLOCK * self.blocks:
+            self._split(total)
+        by_block: dict[int, dict] = {}
+        for name, known in kept.items():
+            by_block.setdefault(self._block(name), {})[name] = known
+        for block in self.changed:
+            some = by_block.get(block, {})
+            if some:
+                self.states.updateValue((block,), (blob(some),))
+            elif self.held.get(block):
+                self.states.removeKey((block,))
+        self.stored = total
+        self.known, self.held, self.changed = {}, {}, set()
+
+    def _split(self, total: int) -> None:
+        """More blocks, each a part of an old one. Keys of old blocks that are not held are written to them at once."""
+        before = self.blocks
+        while total > KEYS_PER_BLOCK // 2 * self.blocks:
+            self.blocks *= 2
+        for block in range(before) if self.stored else ():
+            if block in self.held:
+                continue
+            value = self.states.getValue((block,))
+            parts: dict[int, dict] = {}
+            for name, known in (unpack(value[0]) if value else {}).items():
+                parts.setdefault(self._block(name), {})[name] = known
+            for part, some in parts.items():
+                self.states.updateValue((part,), (blob(some),))
+            if value and block not in parts:
+                self.states.removeKey((block,))
+        self.changed = {part for block in self.held for part in range(block, self.blocks, before)}
 
     def close(self) -> None:
         pass
