@@ -11,7 +11,7 @@ from pyspark.sql import Row
 from tests.conftest import spread
 from tidelog.sources import sinks, tables
 from tidelog.sources.scratch import scratch_dir
-from tidelog.streaming import packed, stateful
+from tidelog.streaming import packed, stateful, timed
 
 
 class Store:
@@ -132,3 +132,18 @@ def test_a_stream_opens_few_state_partitions(spark):
         spark.conf.set(sinks.SHUFFLE_PARTITIONS, before)
     opened = [d for d in os.listdir(f"{chk.removeprefix('file://')}/state/0") if d.isdigit()]
     assert 0 < len(opened) <= max(sinks.LEAST_PARTITIONS, 2 * spark.sparkContext.defaultParallelism) < 60
+
+
+def test_late_flags_merge_sorted_lists():
+    chance = random.Random(3)
+    found = [(n, chance.randrange(1000) if n % 50 else None, n if n % 70 else None) for n in range(5_000)]
+    chance.shuffle(found)
+    flags = timed.AsArrived(100, ["arrival", "n"], ["n", "at", "arrival", "_at"])
+    flags.init(Store())
+    lists = [Wrapped(packed.blob([(n, a, v, a) for n, a, v in found[i : i + 600]])) for i in range(0, 5_000, 600)]
+    got = emitted(flags.handleInputRows((0,), iter(lists), None))
+    want, newest = [], None
+    for n, a, v in sorted(found, key=lambda r: (r[2] is None, r[2] or 0, r[0])):
+        want.append((n, a, v, newest is not None and a is not None and a < newest - 100))
+        newest = a if newest is None else max(newest, newest if a is None else a)
+    assert got == want and any(w[3] for w in want)

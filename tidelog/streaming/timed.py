@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator, Sequence
+import heapq
+import tempfile
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import batched
+from typing import IO
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tidelog.operators.orders import FAIL, FAILED, ORDER_COLUMNS, PASS, RULES, VALIDATED
 from tidelog.operators.windows import MINUTE
 from tidelog.plans.ordered import micros
+from tidelog.streaming.packed import ROWS_PER_PACK, blob, pack, packed_by, unpack, unpacked
 from tidelog.streaming.stateful import Lateness, ddl, transform_state
 
 
@@ -82,24 +86,48 @@ def sliding_inverse_reduce_stream(
 
 
 class AsArrived(StatefulProcessor):
-    """Flags rows that are far behind the newest of their lane that arrived before. There is no watermark, so none is dropped."""
+    """Flags rows that are far behind the newest of their lane that arrived before. There is no watermark, so none is dropped.
+
+    The packed rows of a trigger are sorted list by list, written to a file of the task, and merged from there: a slice of each list is in memory.
+    """
 
     def __init__(self, allowed: int, arrival: Sequence[str], fields: Sequence[str]) -> None:
-        self.allowed, self.arrival, self.fields = allowed, arrival, fields
-        self.out = Row(*fields)
+        self.allowed, self.arrival, self.at = allowed, [fields.index(c) for c in arrival], fields.index("_at")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("newest", "at bigint")
 
+    def _turn(self, row: tuple) -> list[tuple]:
+        return [(row[c] is None, row[c]) for c in self.arrival]
+
+    def _written(self, file: IO[bytes], rows: list[tuple]) -> Iterator[tuple]:
+        """The rows in order, read again slice by slice."""
+        rows.sort(key=self._turn)
+        places = []
+        for some in batched(rows, ROWS_PER_PACK):
+            one = blob(some)
+            places.append((file.tell(), len(one)))
+            file.write(one)
+
+        def again() -> Iterator[tuple]:
+            for place, length in places:
+                file.seek(place)
+                yield from unpack(file.read(length))
+
+        return again()
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        with tempfile.TemporaryFile() as file:
+            lists = [self._written(file, unpack(row["row"])) for row in rows]
+            yield from pack(self._flagged(heapq.merge(*lists, key=self._turn)))
+
+    def _flagged(self, rows: Iterable[tuple]) -> Iterator[tuple]:
         newest = self.state.get()[0] if self.state.exists() else None
-        found = sorted((r.asDict() for r in rows), key=lambda r: [(r[c] is None, r[c]) for c in self.arrival])
-        for row in found:
-            at = row["_at"]
-            row["_late"] = newest is not None and at is not None and at < newest - self.allowed
+        for row in rows:
+            at = row[self.at]
+            yield (*row[: self.at], newest is not None and at is not None and at < newest - self.allowed)
             if at is not None and (newest is None or at > newest):
                 newest = at
-            yield self.out(*[row[c] for c in self.fields])
         if newest is not None:
             self.state.update((newest,))
 
@@ -116,12 +144,10 @@ def late_flag_stream(
     by it.
     """
     rows = df.withColumn("_at", micros(ts))
-    fields = [*df.columns, "_late"]
-    return (
-        rows.groupBy(*lane)
-        .transformWithState(AsArrived(allowed, arrival, fields), f"{ddl(df, df.columns)}, _late boolean", "append", "none")
-        .withColumnRenamed("_late", flag)
+    flagged = packed_by(rows, lane).groupBy(*lane).transformWithState(
+        AsArrived(allowed, arrival, rows.columns), "rows binary", "append", "none"
     )
+    return unpacked(flagged, f"{ddl(df, df.columns)}, `{flag}` boolean")
 
 
 def validation_stream(
