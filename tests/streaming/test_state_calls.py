@@ -8,10 +8,10 @@ from collections import Counter
 
 from pyspark.sql import Row
 
-from tests.conftest import spread
+from tests.conftest import at, rows, spread
 from tidelog.sources import sinks, tables
 from tidelog.sources.scratch import scratch_dir
-from tidelog.streaming import packed, stateful, timed
+from tidelog.streaming import charts, packed, stateful, timed
 
 
 class Store:
@@ -147,3 +147,19 @@ def test_late_flags_merge_sorted_lists():
         want.append((n, a, v, newest is not None and a is not None and a < newest - 100))
         newest = a if newest is None else max(newest, newest if a is None else a)
     assert got == want and any(w[3] for w in want)
+
+
+def test_windowed_charts_keep_null_groups_and_items(spark):
+    path = scratch_dir(spark, "charts")
+    schema = "g string, u bigint, ts timestamp"
+    spread(spark, path, [
+        spark.createDataFrame([(None, 1, at(0)), (None, 2, at(1)), (None, 2, at(2)), ("a", None, at(3)), ("a", 5, at(7200))], schema)
+    ])
+    late = stateful.Lateness(10**12, scratch_dir(spark, "end"))
+    made = charts.top_n_windowed_stream(tables.read_stream(spark, path, schema), 1, "ts", 3_600_000_000, ["g"], "u", late, shards=1)
+    assert made.columns == ["g", "shard", "window_end", "rank", "u", "count"]
+    got = sinks.run_available_now(made, "append", end=late.end)
+    hour = int(at(3600).timestamp()) * 1_000_000
+    assert rows(got, "g", "window_end", "rank", "u", "count") == sorted(
+        [(None, hour, 1, 2, 2), ("a", hour, 1, None, 1), ("a", hour + 7_200_000_000, 1, 5, 1)], key=repr
+    )

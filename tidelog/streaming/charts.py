@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
 import pickle
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidelog.sources.sinks import end_of_input
-from tidelog.streaming.stateful import Lateness, ddl
+from tidelog.streaming.stateful import Lateness, ddl, transform_state
 
 
 def place(entry: tuple) -> tuple:
@@ -26,26 +27,22 @@ class Chart(StatefulProcessor):
     read again, as another item may take its place. A count of 0 is removed.
     """
 
-    def __init__(self, n: int, width: int, item: str, weight: str, fields: Sequence[str], windowed: bool) -> None:
-        self.n, self.width, self.item, self.weight, self.windowed = n, width, item, weight, windowed
+    def __init__(self, n: int, item: str, weight: str, fields: Sequence[str]) -> None:
+        self.n, self.item, self.weight = n, item, weight
         self.out = Row(*fields)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.counts = handle.getMapState("counts", "item binary", "count bigint")
         self.best = handle.getValueState("best", "version bigint, entries binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         gains: dict = {}
         for row in rows:
-            if row["_real"]:
-                gains[row[self.item]] = gains.get(row[self.item], 0) + (row[self.weight] or 0)
+            gains[row[self.item]] = gains.get(row[self.item], 0) + (row[self.weight] or 0)
         if not gains:
             return
         stored = self.best.get() if self.best.exists() else None
         version, entries = (stored[0], pickle.loads(stored[1])) if stored else (0, [])
-        if stored is None and self.windowed:
-            self.handle.registerTimer(key[-1] // 1000 + 1)
         chart, full, again = dict(entries), len(entries) >= self.n, False
         for item, gain in gains.items():
             name = (pickle.dumps(item),)
@@ -62,19 +59,11 @@ class Chart(StatefulProcessor):
             chart = [(pickle.loads(bytes(k[0])), v[0]) for k, v in chart]
         entries = sorted(((i, c) for i, c in chart if c), key=place)[: self.n]
         self.best.update((version + 1, pickle.dumps(entries)))
-        if not self.windowed:
-            # A chart that became empty is told by a row of rank 0.
-            for rank, (item, count) in enumerate(entries, 1):
-                yield self.out(*key, version + 1, rank, item, count)
-            if not entries:
-                yield self.out(*key, version + 1, 0, None, None)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        stored = self.best.get() if self.best.exists() else None
-        for rank, (item, count) in enumerate(pickle.loads(stored[1]) if stored else [], 1):
-            yield self.out(*key, rank, item, count)
-        self.best.clear()
-        self.counts.clear()
+        # A chart that became empty is told by a row of rank 0.
+        for rank, (item, count) in enumerate(entries, 1):
+            yield self.out(*key, version + 1, rank, item, count)
+        if not entries:
+            yield self.out(*key, version + 1, 0, None, None)
 
     def close(self) -> None:
         pass
@@ -93,11 +82,11 @@ def top_n_stream(
     many rows is not one task; ``latest_charts`` puts the shards' charts together.
     """
     rows = df.select(
-        *groups, _shard(item, shards).alias("shard"), F.col(item), weight.cast("bigint").alias("_weight"), F.lit(True).alias("_real")
+        *groups, _shard(item, shards).alias("shard"), F.col(item), weight.cast("bigint").alias("_weight")
     )
     fields = [*groups, "shard", "version", "rank", item, "count"]
     kinds = f"{ddl(rows, [*groups, 'shard'])}, version bigint, rank int, {ddl(rows, [item])}, count bigint"
-    chart = Chart(n, len(groups) + 1, item, "_weight", fields, windowed=False)
+    chart = Chart(n, item, "_weight", fields)
     return rows.groupBy(*groups, "shard").transformWithState(chart, kinds, "update", "none")
 
 
@@ -114,24 +103,31 @@ def top_n_windowed_stream(
     df: DataFrame, n: int, ts: str, window: int, groups: Sequence[str], item: str, late: Lateness, shards: int = 4
 ) -> DataFrame:
     """The charts of closed windows of ``window`` microseconds, once each: ``groups``, ``shard``, ``window_end`` (microseconds),
-    ``rank``, ``item``, ``count``. A window's counts leave the state when the watermark passes its end."""
+    ``rank``, ``item``, ``count``. A window's counts are one value, and leave the state when the watermark passes its end."""
     end = (F.floor(F.unix_micros(ts) / F.lit(window)) + 1).cast("bigint") * F.lit(window)
-    rows = df.filter(F.col(ts).isNotNull()).select(
-        *groups, _shard(item, shards).alias("shard"), end.alias("window_end"), F.col(item), F.lit(1).cast("bigint").alias("_weight"),
-        F.col(ts).alias("_time"), F.lit(True).alias("_real"),
-    )
-    if late.end:
-        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in ("_time", "_real")]
-        rows = rows.unionByName(
-            end_of_input(df.sparkSession, late.end).select("_time", F.lit(False).alias("_real"), *blank)
-        )
-    rows = rows.withWatermark("_time", f"{late.delay // 1000 + 1} milliseconds")
-    keys = [*groups, "shard", "window_end"]
-    fields = [*keys, "rank", item, "count"]
-    chart = Chart(n, len(keys), item, "_weight", fields, windowed=True)
-    return rows.groupBy(*keys).transformWithState(
-        chart, f"{ddl(rows, keys)}, rank int, {ddl(rows, [item])}, count bigint", "append", "eventTime"
+    # Null groups are groups, so the key is a struct; zeros of both signs are one.
+    named = [
+        (F.col(g) + F.lit(0.0)).cast(df.schema[g].dataType).alias(g)
+        if isinstance(df.schema[g].dataType, (T.FloatType, T.DoubleType)) else F.col(g)
+        for g in groups
+    ]
+    key = F.struct(*named, _shard(item, shards).alias("shard"), end.alias("window_end"))
+    rows = df.select(key.alias("_key"), F.col(ts).alias("_ts"), F.col(item))
+
+    def step(state, row):
+        counts = {} if state[0] is None else state[0]
+        counts[row[item]] = counts.get(row[item], 0) + 1
+        return (counts, row["_key"]["window_end"]), []
+
+    def close(state, _):
+        best = heapq.nsmallest(n, state[0].items(), key=place)
+        return (None, None), [(rank, *entry) for rank, entry in enumerate(best, 1)], None
+
+    output = f"rank int, {ddl(df, [item])}, count bigint"
+    charts = transform_state(
+        rows, ["_key"], step, output, (None, None), ["_ts"], late, tick=close, wake=lambda state, _: state[1]
     )
+    return charts.select("_key.*", "rank", item, "count")
 
 
 def windowed_charts(charts: DataFrame, n: int, group: str, item: str, name: str = "top") -> DataFrame:
