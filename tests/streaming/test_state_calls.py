@@ -7,8 +7,10 @@ import random
 from collections import Counter
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, spread
+from tidelog.plans.ordered import KeyedOrder
 from tidelog.sources import sinks, tables
 from tidelog.sources.scratch import scratch_dir
 from tidelog.streaming import charts, packed, stateful, timed
@@ -163,3 +165,8 @@ def test_windowed_charts_keep_null_groups_and_items(spark):
     assert rows(got, "g", "window_end", "rank", "u", "count") == sorted(
         [(None, hour, 1, 2, 2), ("a", hour, 1, None, 1), ("a", hour + 7_200_000_000, 1, 5, 1)], key=repr
     )
+
+
+def test_a_key_of_some_million_rows_is_cut(spark):
+    df = spark.range(3_000_000).select(F.lit(1).alias("k"), "id")
+    assert KeyedOrder.of(df, ["k"], ["id"], F.col("id")).cut
