@@ -170,3 +170,59 @@ def test_windowed_charts_keep_null_groups_and_items(spark):
 def test_a_key_of_some_million_rows_is_cut(spark):
     df = spark.range(3_000_000).select(F.lit(1).alias("k"), "id")
     assert KeyedOrder.of(df, ["k"], ["id"], F.col("id")).cut
+
+
+class Compared(int):
+    """A number that counts how often it is compared."""
+
+    done = 0
+
+    def _counted(name):
+        def compare(self, other):
+            Compared.done += 1
+            return getattr(int, name)(self, other)
+
+        return compare
+
+    __lt__, __le__, __gt__, __ge__, __eq__ = map(_counted, ("__lt__", "__le__", "__gt__", "__ge__", "__eq__"))
+    __hash__ = int.__hash__
+
+
+def steps_of(monkeypatch, build):
+    """The step that an operator gives to ``transform_state``."""
+    monkeypatch.setattr(stateful, "transform_state", lambda rows, keys, step, *_, **__: step)
+    return build()
+
+
+def test_session_changes_look_only_at_neighbours(spark, monkeypatch):
+    table, late = spark.createDataFrame([], "k int, n int, ts timestamp"), stateful.Lateness()
+    step = steps_of(monkeypatch, lambda: stateful.session_changelog(table, ["k"], ["n"], "ts", 5_000, late))
+    chance, first, seen = random.Random(2), ([], [], []), []
+    state, Compared.done = first, 0
+    for _ in range(3_000):
+        at_ = chance.randrange(100_000) * 3
+        seen.append(at_)
+        state, _ = step(state, {"_at": Compared(at_)})
+    assert Compared.done < 3_000 * 60 and first == ([], [], [])
+    want = []
+    for x in sorted(seen):
+        if want and x - want[-1][1] <= 5:
+            want[-1] = (want[-1][0], x, want[-1][2] + 1)
+        else:
+            want.append((x, x, 1))
+    assert len(want) > 2_000 and list(zip(*state)) == want
+
+
+def test_repeats_are_looked_up_among_neighbours(spark, monkeypatch):
+    table, late = spark.createDataFrame([], "k int, n int, ts timestamp"), stateful.Lateness()
+    step = steps_of(monkeypatch, lambda: stateful.dedup_stream(table, ["k"], "ts", ["n"], 2_001, late, grace=100))
+    chance, first, seen = random.Random(2), ([],), []
+    state, Compared.done = first, 0
+    for n in range(4_000):
+        at_ = n + chance.randrange(-200, 200)
+        repeat = any(at_ - 1_000 <= s <= at_ + 1_001 for s in seen)
+        newest = max([*seen, at_])
+        seen = [s for s in [*seen, at_] if s >= newest - 2_101]
+        state, made = step(state, {"_at": Compared(at_), "n": n, "ts": None})
+        assert made == ([] if repeat else [(n, None)]) and state[0] == sorted(seen)
+    assert Compared.done < 4_000 * 60 and first == ([],)

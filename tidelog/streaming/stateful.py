@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import pickle
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -439,15 +440,16 @@ def dedup_stream(
     grace: int = 0,
 ) -> DataFrame:
     """Streaming form of ``dedup_window``. The memory keeps instants up to ``span + grace``
-    behind the newest of the id."""
+    behind the newest of the id, in order, so that a row looks only at its neighbours."""
     half, carry = span // 2, [c for c in df.columns if c not in ids]
 
     def step(state, row):
-        seen, at = list(state[0]), row["_at"]
-        repeat = any(at - half <= s <= at + (span - half) for s in seen)
-        seen.append(at)
-        newest = max(seen)
-        seen = [s for s in seen if s >= newest - span - grace]
+        # The first state is shared by all keys: a list of its own takes its place.
+        seen, at = state[0] or [], row["_at"]
+        near = bisect_left(seen, at - half)
+        repeat = near < len(seen) and seen[near] <= at + (span - half)
+        insort(seen, at)
+        del seen[: bisect_left(seen, seen[-1] - span - grace)]
         return (seen,), [] if repeat else [tuple(row[c] for c in carry)]
 
     rows = df.withColumn("_at", micros(ts))
@@ -519,19 +521,21 @@ def session_changelog(
     df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: str, gap: int, late: Lateness
 ) -> DataFrame:
     """Every change of the session table. A row that extends or bridges sessions deletes them
-    (null count) and adds the merged one. Bounds are epoch milliseconds."""
+    (null count) and adds the merged one. Bounds are epoch milliseconds.
+
+    The sessions of a key are kept in order, more than a gap apart, so a row looks only at its neighbours."""
 
     def step(state, row):
         at = row["_at"]
-        sessions = list(zip(*state))
-        near = [s for s in sessions if s[0] - gap <= at <= s[1] + gap]
-        start = min([at, *[s[0] for s in near]])
-        end = max([at, *[s[1] for s in near]])
-        count = 1 + sum(s[2] for s in near)
-        made = [(s[0], s[1], None) for s in near] if (start, end) != (at, at) else []
-        kept = sorted([s for s in sessions if s not in near] + [(start, end, count)])
+        # The first state is shared by all keys: lists of its own take its place.
+        starts, ends, counts = state if state[0] else ([], [], [])
+        near = slice(bisect_left(ends, at - gap), bisect_right(starts, at + gap))
+        start, end = min([at, *starts[near]]), max([at, *ends[near]])
+        count = 1 + sum(counts[near])
+        made = [(s, e, None) for s, e in zip(starts[near], ends[near])] if (start, end) != (at, at) else []
         made.append((start, end, count))
-        return tuple(list(c) for c in zip(*kept)), made
+        starts[near], ends[near], counts[near] = [start], [end], [count]
+        return (starts, ends, counts), made
 
     gap //= 1000
     rows = df.select(*keys, *arrival, F.unix_millis(ts).alias("_at"))
