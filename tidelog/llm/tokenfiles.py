@@ -15,7 +15,8 @@ and writes files of its own under temporary names, so a repeated task replaces t
 
 **Encoding.** A byte-level tokenizer cuts a text before a single space between characters that are not white space, whatever
 surrounds it, so the pieces between such spaces are encoded by the library once a worker and remembered (``MEMORY`` pieces at
-most). Other kinds of tokenizers get whole texts.
+most). A batch is cut at its spaces, and each of its distinct words is looked up once; only texts with other white space beside a space are
+cut one by one. Plain words of new pieces go straight to the merges. Other kinds of tokenizers get whole texts.
 
 Defined cases: a null text is empty and has the end id alone. Null ids come last. Rows that share an id are ordered by their text. An
 empty table gives no files. Strings that look like special tokens are ordinary text. Other columns are not read.
@@ -29,10 +30,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
@@ -56,12 +58,14 @@ RANGE_BYTES = 64 << 20
 MEMORY = 1 << 20
 SOLID = r"[^\s\u180e\u200b\ufeff]"
 PIECE_BORDER = re.compile(f"(?<={SOLID}) (?={SOLID})")
-# A piece of two parts that a byte-level tokenizer never joins: letters or digits, then sentence marks.
-PLAIN_PIECE = re.compile("([0-9]+|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+# What lies between two spaces, if both are borders of pieces.
+EVEN = re.compile(f"{SOLID}(?:.*{SOLID})?", re.DOTALL)
+# A line of parts that a byte-level tokenizer never joins: letters or digits, then punctuation.
+PLAIN_LINE = re.compile("([0-9]+|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
 # Byte-level vocabularies write printable bytes as themselves and number the others from 256.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
-SPACE = chr(BYTE_NAMES[32])
+SPACE, LINE_END = chr(BYTE_NAMES[32]), chr(BYTE_NAMES[10])
 
 
 def to_planes(numbers: np.ndarray, unit: int) -> list[bytes]:
@@ -250,33 +254,68 @@ class Encoder:
         """Ids of a part that the tokenizer does not cut, straight from its merges."""
         ids = self.parts.get(part)
         if ids is None:
-            named = part.replace(" ", SPACE) if part.isascii() else part.encode().decode("latin-1").translate(BYTE_NAMES)
+            if part.isascii():
+                named = part.replace(" ", SPACE).replace("\n", LINE_END)
+            else:
+                named = part.encode().decode("latin-1").translate(BYTE_NAMES)
             ids = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(named)])
         return ids
 
     def _learn(self, codes: dict[str, int], pieces: list[str], prefix: str) -> None:
-        new = list(set(pieces).difference(codes))
-        plain = list(map(PLAIN_PIECE.fullmatch, new))
-        others = iter(self._encode([prefix + p for p, m in zip(new, plain) if not m]))
-        flat, sizes = _joined(
-            self._part(prefix + m[1]) + (self._part(m[2]) if m[2] else ()) if m else next(others) for m in plain
-        )
-        codes.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+        """Remember the ids of new pieces: word by word where they are plain lines, by the whole tokenizer otherwise."""
+        plain, others, found, part, match = [], [], [], self._part, PLAIN_LINE.fullmatch
+        for piece in pieces:
+            lines = [match(line) for line in piece.split("\n")]
+            if None in lines:
+                others.append(piece)
+                continue
+            word, marks = lines[0].groups()
+            ids = part(prefix + word)
+            if marks:
+                ids += part(marks)
+            for line in lines[1:]:
+                ids += part("\n") + part(line[1]) + part(line[2])
+            plain.append(piece)
+            found.append(ids)
+        # An uneven piece has the space before it in its name.
+        found += self._encode([p if p[:1] == " " and prefix else prefix + p for p in others])
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        codes.update(zip(chain(plain, others), range(len(self.sizes), len(self.sizes) + len(found))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after another, and how many each has."""
         if not self.by_piece:
-            return _joined(self._encode(texts))
+            return _joined(self._encode(texts.to_pylist() if isinstance(texts, pa.Array) else texts))
         if len(self.sizes) > self.memory:
             self._forget()
-        split = [PIECE_BORDER.split(t) for t in texts]
-        pieces, heads = list(chain.from_iterable(split)), [p[0] for p in split]
-        self._learn(self.first, heads, "")
-        self._learn(self.later, pieces, " ")
-        at = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))
-        begins = np.cumsum([0, *map(len, split)])
+        array = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(array, " ")
+        begins = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        words = split.flatten()
+        heads = words.take(pa.array(begins[:-1])).to_pylist()
+        coded = words.dictionary_encode()
+        # Each word of the batch is looked up once. Words beside other white space than one space are not pieces.
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(self.later.get, names, repeat(-1)), np.int64, len(names))
+        missing = np.flatnonzero(places < 0)
+        new = [names[i] for i in missing.tolist()]
+        self._learn(self.later, [n for n in new if EVEN.fullmatch(n)], " ")
+        places[missing] = [self.later.get(n, -1) for n in new]
+        at = places[coded.indices.to_numpy(zero_copy_only=False)]
+        odd = np.unique(np.searchsorted(begins, np.flatnonzero(at < 0), "right") - 1)
+        if len(odd):
+            split = [PIECE_BORDER.split(array[i].as_py()) for i in odd.tolist()]
+            named = [[p if EVEN.fullmatch(p) else " " + p for p in pieces] for pieces in split]
+            self._learn(self.later, list(set(chain.from_iterable(named)).difference(self.later)), " ")
+            parts, counts, last = [], np.diff(begins), 0
+            for i, pieces, keys in zip(odd.tolist(), split, named):
+                parts += [at[last : begins[i]], np.array([self.later[k] for k in keys], np.int64)]
+                heads[i], counts[i], last = pieces[0], len(pieces), begins[i + 1]
+            at, begins = np.concatenate([*parts, at[last:]]), np.concatenate([[0], np.cumsum(counts)])
+        self._learn(self.first, list(set(heads).difference(self.first)), "")
         at[begins[:-1]] = [self.first[h] for h in heads]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
@@ -356,7 +395,7 @@ def write_files(
             if out is None:
                 temporary = f"{base}/.part-{context.partitionId():06d}-{context.taskAttemptId()}-{len(done):04d}"
                 out = IdWriter(store.open_output_stream(temporary), unit, block)
-            ids, sizes = encoder.encode(batch.column(1).to_pylist())
+            ids, sizes = encoder.encode(batch.column(1))
             # The end id is placed behind the last id of each document.
             out.add(IDS, np.insert(ids, np.cumsum(sizes), np.uint32(end_id)))
             names = batch.column(0)
