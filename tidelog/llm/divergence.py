@@ -1,12 +1,17 @@
 """How far the vocabulary of each source lies from the other sources of its language.
 
-**Vectors.** ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` turns each document into an exact
-sparse vector. A term carries its language, so one model holds every language's vocabulary: a term of a language is in it if enough of that
+**Rows of terms.** Documents are read once, some ``CHUNK`` bytes of text at a time, and what a chunk holds is written as lists of different
+terms. For the vocabulary a chunk sends ``min_docs`` lists a language: list k has the terms that more than k of its documents have. So a term is in as many
+lists, over all chunks, as documents have it, or in ``min_docs`` at least. For the counts it sends a list per group and bit: the terms
+whose number of occurrences has that bit set, with the bit's weight. Nothing is lost by either, and a term that a chunk repeats is written a few times.
+
+**Vectors.** ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` learns from the lists and turns them into exact
+sparse vectors. A term carries its language, so one model holds every language's vocabulary: a term of a language is in it if enough of that
 language's documents have it. A model's vocabulary lies in the driver and goes to every task; so that its size is bounded, terms are dealt
 by hash to as many models as their number asks for (about ``max_terms`` each), which is estimated from the terms whose hash ends in ten
-zero bits. Results do not depend on the number of models. With several, the texts' terms are written once, by model.
+zero bits. Results do not depend on the number of models.
 
-**Group sums.** Vector entries are summed per (language, source) and index, on sparse entries and in whole numbers.
+**Group sums.** Vector entries times their weight are summed per (language, source) and index, on sparse entries and in whole numbers.
 
 **Sparse pairs.** A pair's value is a sum over all kept terms, of which a source has few. With f0 the value where both counts are 0, the sum
 is V f0, plus f(p, q0) - f0 over the terms of the one, plus f(p0, q) - f0 over those of the other, plus what is still missing
@@ -21,9 +26,11 @@ the bytes of the item. An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +49,8 @@ MARK = "\u0000"
 LETTERS = Alphabet(bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 SAMPLE_BITS = 10
+# Terms of a model, whose vocabulary lies in the driver, and bytes of text whose terms are counted together.
+MAX_TERMS, CHUNK = 100_000, 16 << 20
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -50,40 +59,80 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def marked_terms(texts: pa.Array, langs: pa.Array, parts: int = 1) -> Iterator[pa.Array]:
-    """The terms of each text in lower case, each after its language: a list per text, for one part of the terms after another."""
+def _terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """All terms of the texts in lower case, as numbers of the list of different terms; and the text of each."""
     data, cuts = buffers(texts)
     starts, ends = word_bounds(data, cuts, 0, len(data), LETTERS.is_word)
-    sizes, letters = ends - starts, FOLD[data[LETTERS.is_word[data]]]
-    doc = np.searchsorted(cuts, starts, "right") - 1
-    dealt = hash_words(data, cuts, LETTERS)[0] % np.uint64(parts) if parts > 1 else np.zeros(len(starts), np.uint64)
-    heads, head_cuts = buffers(pa.array([v + MARK for v in langs.to_pylist()], pa.string()))
-    for part in range(parts):
-        keep = dealt == part
-        mine, of, own = sizes[keep], doc[keep], letters[np.repeat(keep, sizes)]
-        head_sizes = np.diff(head_cuts)[of]
-        offsets = np.concatenate([[0], np.cumsum(mine + head_sizes)])
-        out, is_letter = np.empty(offsets[-1], dtype=np.uint8), np.ones(offsets[-1], dtype=bool)
-        front = _ranges(offsets[:-1], head_sizes)
-        out[front] = heads[_ranges(head_cuts[of], head_sizes)]
-        is_letter[front] = False
-        out[is_letter] = own
-        terms = pa.StringArray.from_buffers(len(mine), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
-        yield pa.ListArray.from_arrays(pa.array(np.searchsorted(starts[keep], cuts), pa.int32()), terms)
-
-
-def document_terms(docs: DataFrame, parts: int = 1) -> DataFrame:
-    """``part``, ``lang``, ``source`` and ``terms`` of each document, a row for each part of the terms that it has."""
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    letters = FOLD[data[LETTERS.is_word[data]]]
+    terms = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters))
+    coded = terms.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(cuts, starts, "right") - 1, coded.dictionary
+
+
+def _counted(high: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of numbers, and how often each occurs. The second numbers are below ``width``."""
+    pairs, counts = np.unique(high * width + low, return_counts=True)
+    return pairs // width, pairs % width, counts
+
+
+LISTS = "part int, lang string, source string, weight bigint, terms array<string>"
+
+
+def chunk_lists(texts: pa.Array, langs: pa.Array, sources: pa.Array, parts: int, min_docs: int) -> Iterator[pa.RecordBatch]:
+    """The lists of terms of a chunk: with weight 0 for the vocabulary, without a source, and with other weights for the counts."""
+    codes, doc, terms = _terms_of(texts)
+    width = max(len(terms), 1)
+    langs, sources = langs.dictionary_encode(), sources.dictionary_encode()
+    lang, source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (langs, sources))
+    named = pa.array([v + MARK for v in langs.dictionary.to_pylist()], pa.string())
+    dealt = (hash_words(*buffers(terms), LETTERS)[0] % np.uint64(parts)).astype(np.int64)
+    several = len(sources.dictionary)
+
+    def lists(group: np.ndarray, term: np.ndarray, layer: np.ndarray, weighted: bool) -> pa.RecordBatch:
+        key = (dealt[term] * len(langs.dictionary) * several + group) * 64 + layer
+        order = np.argsort(key, kind="stable")
+        begins = np.flatnonzero(np.diff(key[order], prepend=-1))
+        of = group[order][begins]
+        whose = group[order] // several
+        marked = pc.binary_join_element_wise(named.take(pa.array(whose)), terms.take(pa.array(term[order])), "")
+        weight = np.left_shift(1, layer[order][begins]) if weighted else np.zeros(len(begins), np.int64)
+        columns = [
+            pa.array(dealt[term[order][begins]].astype(np.int32)), langs.dictionary.take(pa.array(of // several)),
+            sources.dictionary.take(pa.array(of % several, mask=np.full(len(of), not weighted))),
+            pa.array(weight), pa.ListArray.from_arrays(pa.array(np.append(begins, len(key)), pa.int32()), marked),
+        ]
+        return pa.record_batch(columns, names=[c.split()[0] for c in LISTS.split(", ")])
+
+    def layers(group: np.ndarray, term: np.ndarray, levels: Iterator[np.ndarray], weighted: bool) -> pa.RecordBatch:
+        chosen = [np.flatnonzero(level) for level in levels]
+        rows = np.concatenate(chosen)
+        return lists(group[rows], term[rows], np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]), weighted)
+
+    if not len(codes):
+        return
+    of, term, _ = _counted(doc, codes, width)
+    group, term, having = _counted(lang[of], term, width)
+    yield layers(group * several, term, (having > k for k in range(max(min_docs, 1))), False)
+    group, term, times = _counted((lang * several + source)[doc], codes, width)
+    yield layers(group, term, (times >> b & 1 for b in range(int(times.max()).bit_length())), True)
+
+
+def term_lists(docs: DataFrame, parts: int, min_docs: int) -> DataFrame:
+    """``part``, ``lang``, ``source``, ``weight`` and ``terms``: the lists of all chunks."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, terms in enumerate(marked_terms(batch.column(2), batch.column(0), parts)):
-                number = pa.array(np.full(batch.num_rows, part, dtype=np.int32))
-                yield pa.record_batch(
-                    [number, batch.column(0), batch.column(1), terms], names=["part", "lang", "source", "terms"]
-                )
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if held and (batch is None or size + batch.nbytes > CHUNK):
+                lang, source, text = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+                yield from chunk_lists(text, lang, source, parts, min_docs)
+                held, size = [], 0
+            if batch is not None:
+                held.append(batch)
+                size += batch.nbytes
 
-    return _rows(docs).mapInArrow(take, "part int, lang string, source string, terms array<string>").where(F.size("terms") > 0)
+    return _rows(docs).mapInArrow(take, LISTS)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -107,35 +156,32 @@ def models_needed(docs: DataFrame, min_docs: int, max_terms: int) -> int:
     return max(1, -(-(kept << SAMPLE_BITS) // max_terms))
 
 
-def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = 400_000) -> tuple[DataFrame, DataFrame]:
+def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = MAX_TERMS) -> tuple[DataFrame, DataFrame]:
     """Occurrences above 0, per group, of the terms a language keeps (``lang``, ``source``, ``index``, ``count``), and the
     terms (``index``, ``term``). An index belongs to one language."""
     spark, parts = docs.sparkSession, models_needed(docs, min_docs, max_terms)
-    counts, names, whole = [], [], document_terms(docs, parts)
-    if parts > 1:
-        folder = scratch_dir(spark, "document-terms")
-        whole.write.partitionBy("part").parquet(folder)
-        whole = spark.read.schema(whole.schema).parquet(folder)
+    counts, names, folder = [], [], scratch_dir(spark, "term-lists")
+    lists = term_lists(docs, parts, min_docs)
+    lists.withColumn("learned", F.col("weight") == 0).write.partitionBy("part", "learned").parquet(folder)
+    lists = spark.read.schema(f"{LISTS}, learned boolean").parquet(folder)
     for part in range(parts):
-        rows = whole.where(F.col("part") == part)
+        rows = lists.where(F.col("part") == part)
         if rows.isEmpty():
             continue
         model = CountVectorizer(
             inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MAX_VOCABULARY
-        ).fit(rows)
+        ).fit(rows.where("learned"))
         first = part * (MAX_VOCABULARY + 1)
-        vector = F.unwrap_udt("vector")
-        entries = model.transform(rows).select(
-            "lang", "source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("entry")
-        )
-        sums = entries.groupBy("lang", "source", (F.col("entry.indices") + F.lit(first)).alias("index")).agg(
-            F.sum(F.col("entry.values").cast("bigint")).alias("count")
+        # A list has no term twice, so all its values are 1.
+        entries = model.transform(rows.where("NOT learned")).select(
+            "lang", "source", "weight", F.explode(F.unwrap_udt("vector")["indices"]).alias("at")
         )
+        sums = entries.groupBy("lang", "source", (F.col("at") + F.lit(first)).alias("index")).agg(F.sum("weight").alias("count"))
         counts.append(written(sums, "term-counts"))
         # The saved model holds the vocabulary in one row, so it need not pass through Python.
-        folder = scratch_dir(spark, "vocabulary")
-        model.save(folder)
-        marked = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "marked"))
+        saved = scratch_dir(spark, "vocabulary")
+        model.save(saved)
+        marked = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("at", "marked"))
         names.append(marked.select((F.col("at") + F.lit(first)).alias("index"), F.substring_index("marked", MARK, -1).alias("term")))
     if not counts:
         empty = "lang string, source string, index bigint, count bigint"
@@ -155,7 +201,7 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = 400_000) -> DataFrame:
+def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_terms: int = MAX_TERMS) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``: other sources and own terms by divergence."""
     ready(docs.sparkSession)
     counts, names = term_counts(docs, min_docs, max_terms)
