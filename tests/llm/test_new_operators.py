@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,19 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert list(sizes) == [len(w.ids) for w in want] and list(ids) == [i for w in want for i in w.ids]
 
 
+def test_words_across_lines_are_learned_by_their_parts(monkeypatch):
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = tokenfiles.Encoder(file.read())
+    texts = ["Some words.\nMore Wörter*** and\n12 more.", "Some words"]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    asked = []
+    monkeypatch.setattr(encoder, "_encode", lambda pieces: asked.extend(pieces) or iter(()))
+    for _ in range(2):
+        ids, sizes = encoder.encode(pa.array(texts))
+        assert list(ids) == want[0] + want[1] and list(sizes) == [len(w) for w in want]
+    assert not asked
+
+
 def test_tokenizer_of_another_kind_gets_whole_texts():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         encoder = tokenfiles.Encoder(file.read())
@@ -249,6 +263,33 @@ def test_divergence_equals_brute_force(spark, max_terms):
     assert got == audit_by_hand(rows, 3, 25)
 
 
+def test_a_chunk_sends_terms_a_few_times_only():
+    """Lists of three chunks against counts by hand; a chunk's repeated documents are not sent one by one."""
+    draw = random.Random(3)
+    learned, counted, entries = Counter(), Counter(), 0
+    documents, occurrences = Counter(), Counter()
+    for _ in range(3):
+        rows = [(draw.choice(["en", "de"]), draw.choice(["a", "b"]), prose(draw.randint(0, 40), 200, "abC")) for _ in range(500)]
+        columns = [pa.array(c, pa.string()) for c in zip(*rows)]
+        for batch in divergence.chunk_lists(columns[2], columns[0], columns[1], 4, 3):
+            for r in batch.to_pylist():
+                assert len(set(r["terms"])) == len(r["terms"])
+                entries += len(r["terms"])
+                for t in r["terms"]:
+                    if r["weight"]:
+                        counted[r["lang"], r["source"], t] += r["weight"]
+                    else:
+                        learned[t] += 1
+        for lang, source, text in rows:
+            words = Counter(lang + divergence.MARK + w for w in text.lower().split())
+            documents.update(set(words))
+            for w, n in words.items():
+                occurrences[lang, source, w] += n
+    assert counted == occurrences
+    assert all(learned[t] == n if n < 3 else learned[t] >= 3 for t, n in documents.items()) and set(learned) == set(documents)
+    assert entries < sum(documents.values()) / 10
+
+
 def test_divergence_without_kept_terms(spark):
     rows = [(1, "a", "en", "s1"), (2, "b", "en", "s2"), (3, "c", "de", "s1")]
     got = {tuple(r) for r in divergence.audit(spark.createDataFrame(rows, DOC)).collect()}

@@ -251,6 +251,34 @@ def test_common_first_shingles_rule_out_no_similar_pair(spark):
     assert totals.count() < totals.agg(F.sum("w")).first()[0]
 
 
+def test_parities_rule_out_long_sets_with_a_common_passage():
+    """Sets of all lengths: similar pairs stay, and of the others nearly none, however long they are."""
+    draw = np.random.Generator(np.random.PCG64(9))
+    passage = draw.integers(0, 1 << 64, 60, dtype=np.uint64)
+    sets = []
+    for n in [0, 1, 3, 200, 250, 260, 500, 530, 1000, 1030, 2000, 2040, 2060, 4100] * 3:
+        base = np.unique(np.concatenate([draw.integers(0, 1 << 64, n, dtype=np.uint64), passage[: n // 2]]))
+        sets += [base, np.unique(np.concatenate([base[len(base) // 10 :], draw.integers(0, 1 << 64, n // 10, dtype=np.uint64)]))]
+    prints = [i.to_bytes(32, "big") + i.to_bytes(8, "big") for i in range(len(sets))]
+    parities = [simhash._parity(s, simhash._parity_bits(len(s))) for s in sets]
+    found, more = simhash._possible(4, 0.8, 0, 1000)(prints, np.arange(len(sets)), [len(s) for s in sets], parities)
+    overlap = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(len(sets)) for b in range(a)}
+    similar = {p for p, o in overlap.items() if o and o >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - o)}
+    assert not more and len(similar) > 30 and similar <= found
+    assert sum(min(len(sets[a]), len(sets[b])) > 100 for a, b in found - similar) < 10
+
+
+def test_wanted_texts_by_broadcast_and_by_filter(spark):
+    docs = spark.createDataFrame([(None if i == 5 else i, f"text {i}") for i in range(400)], "doc_id bigint, text string")
+    keyed = docs.withColumn(simhash.TEXT_HASH, F.xxhash64("text"))
+    wanted = keyed.where("doc_id % 7 = 3 OR doc_id IS NULL").select(
+        F.encode("text", "utf-8").alias("__node"), F.col("doc_id").alias("__doc"), F.col(simhash.TEXT_HASH).alias("__hash")
+    )
+    found = [simhash._wanted_texts(keyed, wanted, most) for most in (1000, 0)]
+    texts = [sorted(r.text for r in f.select("__node", "text").collect()) for f in found]
+    assert texts[0] == texts[1] and len(texts[0]) == wanted.count() > 50
+
+
 def test_first_shingles_meet_in_lists():
     draw = np.random.Generator(np.random.PCG64(3))
     for n in [1, 2, 4, 5, 9, 10, 37, 400] * 20:

@@ -51,12 +51,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.common import mix, written
+from tidelog.llm.exact import flag_repeated, repeated_filter
 
 BLOCK = 1 << 18
 CELL = 4096
 LEAF = 64
 FP, TEXT_HASH = "__fingerprint", "__text_hash"
 SAMPLED, COMMON, MOST_COMMON = 10_000, 5, 100_000
+LEAST_PARITY, MOST_PARITY = 256, 1 << 15
+# Rows whose texts are wanted that are sent to all tasks; above, a filter of bounded size is.
+MOST_SENT = 100_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -443,21 +447,42 @@ def _possible(width: int, similarity: float, low: int, high: int):
     """Of a point's partners that sizes and parities allow, nearest first, the ``low``-th to ``high``-th of other groups.
 
     Sets of n and m shingles have at most (n + m) (1 - s) / (1 + s) that only one of them has, and their parities
-    differ in no more bits than that.
+    differ in no more bits than that. Parities of twice as many classes are halved before they are compared; sets that differ
+    more in size than that are not similar, or left in.
     """
     apart = (1 - similarity) / (1 + similarity)
 
+    def halved(parities: list[bytes], words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By number of words: the sets with as many, or twice as many, and their parities in as many."""
+        tables = {}
+        for w in np.unique(words).tolist():
+            for to in (w, w // 2):
+                rows = np.flatnonzero(words == w)
+                bits = _as_words([parities[i] for i in rows.tolist()], w)
+                bits = bits if to == w else bits[:, :to] ^ bits[:, to:]
+                old = tables.get(to, (rows[:0], bits[:0]))
+                tables[to] = np.concatenate([old[0], rows]), np.concatenate([old[1], bits])
+        return tables
+
     def pairs(prints, group, sizes, parities) -> tuple[set[tuple[int, int]], bool]:
         points, out, more = _as_words(prints, width), set(), False
-        size, bits = np.array(sizes, dtype=np.int64), _as_words(list(parities), 4)
+        size, words = np.array(sizes, dtype=np.int64), np.array([len(p) // 8 for p in parities])
+        tables = halved(parities, words)
         for lo in range(0, len(prints), 256):
             part = np.arange(lo, min(lo + 256, len(prints)))
             mine = size[part][:, None]
             near = np.minimum(mine, size) >= similarity * np.maximum(mine, size) - 1e-6
-            differ = np.zeros(near.shape, dtype=np.int64)
-            for w in range(4):
-                differ += np.bitwise_count(bits[part, w][:, None] ^ bits[:, w])
-            near &= differ <= apart * (mine + size) + 1e-6
+            for w in np.unique(words[part]).tolist():
+                own = np.flatnonzero(words[part] == w)
+                for to in (w, w // 2):
+                    rows, bits = tables[to]
+                    others = np.flatnonzero((words[rows] == to) | (to == w))
+                    ours = bits[np.argsort(rows)[np.searchsorted(np.sort(rows), part[own])]]
+                    differ = np.zeros((len(own), len(others)), dtype=np.int32)
+                    for i in range(to):
+                        differ += np.bitwise_count(ours[:, i][:, None] ^ bits[others, i])
+                    at = np.ix_(own, rows[others])
+                    near[at] &= differ <= apart * (mine[own] + size[rows[others]]) + 1e-6
             near[part - lo, part] = False
             open_rows = (near & (group[part][:, None] != group)).any(axis=1)
             for row in part[open_rows].tolist():
@@ -488,9 +513,14 @@ def _first(hashes: np.ndarray, common: np.ndarray, rank: np.ndarray, count: int)
     return hashes[np.lexsort((hashes, late))[:count]]
 
 
-def _parity(hashes: np.ndarray) -> bytes:
-    """For each of 256 classes of shingles whether their number is odd."""
-    odd = np.bincount((mix(hashes) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+def _parity_bits(count: int) -> int:
+    """Classes for the parities of a set: as many as shingles at least, or the sums of unlike sets could not differ in enough of them."""
+    return min(max(LEAST_PARITY, 1 << max(count - 1, 0).bit_length()), MOST_PARITY)
+
+
+def _parity(hashes: np.ndarray, bits: int = LEAST_PARITY) -> bytes:
+    """For each class of shingles whether their number is odd. The halves of it, combined by XOR, are those for half as many classes."""
+    odd = np.bincount((mix(hashes) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -528,7 +558,7 @@ def with_shingles(
         first = _first(hashes, *common, prefix_length(len(hashes), similarity))
         prints = _majority(hashes, width, True)
         name = int.from_bytes(prints[-8:], "big", signed=True)
-        return prints, name, len(hashes), _parity(hashes), first.view(np.int64)
+        return prints, name, len(hashes), _parity(hashes, _parity_bits(len(hashes))), first.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -629,6 +659,20 @@ def _checker(shingle: int, similarity: float):
     return run
 
 
+def _wanted_texts(keyed: DataFrame, wanted: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
+    """``__node`` and ``text`` of the wanted documents. Texts of others are not shuffled, or few of them."""
+    keyed = keyed.select("doc_id", TEXT_HASH, "text")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col(TEXT_HASH) == F.col("__hash"))
+    count = wanted.count()
+    if count <= most_sent:
+        return keyed.join(F.broadcast(wanted), same)
+    # Each wanted key is there twice, so the filter of repeated keys holds all of them.
+    keys = wanted.select(F.xxhash64("__doc", "__hash").alias("__row"))
+    bloom, pages = repeated_filter(keys.unionByName(keys), "__row", count)
+    flagged = flag_repeated(keyed.withColumn("__row", F.xxhash64("doc_id", TEXT_HASH)), "__row", bloom, pages, "__asked")
+    return flagged.where("__asked").join(wanted, same)
+
+
 def check_pairs(
     pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, similarity: float, per_task: int = 256
 ) -> DataFrame:
@@ -643,11 +687,7 @@ def check_pairs(
         ),
         "wanted",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col(TEXT_HASH) == F.col("__hash"))
-    texts = written(
-        keyed.select("doc_id", TEXT_HASH, "text").join(wanted, same).groupBy("__node").agg(F.first("text").alias("text")),
-        "texts",
-    )
+    texts = written(_wanted_texts(keyed, wanted).groupBy("__node").agg(F.first("text").alias("text")), "texts")
     parts = written(pairs.groupBy("b").agg(F.ceil(F.count("*") / per_task).cast("int").alias("parts")), "parts")
     part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
     others = pairs.join(parts, "b").select("b", part, "a").join(texts, F.col("a") == F.col("__node"))
