@@ -290,6 +290,58 @@ def test_a_chunk_sends_terms_a_few_times_only():
     assert entries < sum(documents.values()) / 10
 
 
+def test_divergence_adds_up_chunks_before_terms_are_listed(spark):
+    """The same words in every chunk: a list has a term as often as if all documents were one chunk."""
+    draw = random.Random(5)
+    rows = [(i, prose(i % 50, 80, "abC"), draw.choice(["en", "de", None]), draw.choice(["a", "b\n", None])) for i in range(400)]
+    table = ready(spark).createDataFrame(rows, DOC).repartition(8)
+    learned, counted, entries = Counter(), Counter(), 0
+    for r in divergence.term_lists(divergence.bucket_counts(table), 3, 3).collect():
+        assert len(set(r.terms)) == len(r.terms)
+        for t in r.terms:
+            if r.weight:
+                counted[r.lang, r.source, t] += r.weight
+                entries += 1
+            else:
+                learned[t] += 1
+    documents, occurrences = Counter(), Counter()
+    for _, text, lang, source in rows:
+        words = Counter((lang or "") + divergence.MARK + w for w in text.lower().split())
+        documents.update(set(words))
+        for w, n in words.items():
+            occurrences[lang or "", source or "", w] += n
+    assert counted == occurrences and learned == {t: min(n, 3) for t, n in documents.items()}
+    assert entries == sum(n.bit_count() for n in occurrences.values())
+
+
+def test_divergence_shares_are_exact_where_longs_end(spark):
+    counts = [0, 1, 7, divergence.LONG - 1, divergence.LONG, divergence.LONG + 1, 10**15]
+    table = spark.createDataFrame([(c, s) for c in counts for s in (1, 3, 10**9 + 7, 10**16) if (c + 1) // s < 10**9], "c bigint, s bigint")
+    for c, s, p in table.select("c", "s", divergence.share(F.col("c"), F.col("s"))).collect():
+        assert p == 1 + 10**9 * (c + 1) // s
+
+
+def test_pairs_of_sources_do_not_depend_on_how_they_are_numbered(monkeypatch):
+    draw = random.Random(6)
+    rows = [(term, g, draw.randint(1, 10**9), 5 + g) for term in range(200) for g in sorted(draw.sample(range(9), 4))]
+    batch = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], names=["index", "gid", "p", "p0"])
+
+    def found():
+        return {(r["gid"], r["other"]): r["value"] for b in divergence._common(iter([batch])) for r in b.to_pylist()}
+
+    def gap(p, q):
+        return (p - q) ** 2 // q
+
+    by_hand = Counter()
+    for i, a, p, p0 in rows:
+        for j, b, q, q0 in rows:
+            if i == j and a != b:
+                by_hand[a, b] += gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)
+    assert found() == by_hand
+    monkeypatch.setattr(divergence, "PAIRS", 16)
+    assert found() == by_hand
+
+
 def test_divergence_without_kept_terms(spark):
     rows = [(1, "a", "en", "s1"), (2, "b", "en", "s2"), (3, "c", "de", "s1")]
     got = {tuple(r) for r in divergence.audit(spark.createDataFrame(rows, DOC)).collect()}

@@ -1,15 +1,17 @@
 """How far the vocabulary of each source lies from the other sources of its language.
 
-**Rows of terms.** Documents are read once, some ``CHUNK`` bytes of text at a time, and what a chunk holds is written as lists of different
-terms. For the vocabulary a chunk sends ``min_docs`` lists a language: list k has the terms that more than k of its documents have. So a term is in as many
-lists, over all chunks, as documents have it, or in ``min_docs`` at least. For the counts it sends a list per group and bit: the terms
-whose number of occurrences has that bit set, with the bit's weight. Nothing is lost by either, and a term that a chunk repeats is written a few times.
+**Rows of terms.** Documents are read once, some ``CHUNK`` bytes of text at a time, and the terms of a chunk are counted for each
+(language, source): occurrences, and documents. These counts are dealt by the term's hash to ``BUCKETS``, a small Arrow table for each chunk and bucket;
+the tables of a bucket meet after one shuffle, where up to ``CHUNK`` bytes of them at a time are added up and written as lists of different
+terms. For the vocabulary such a sum sends ``min_docs`` lists a language: list k has the terms that more than k of its documents have. So a term is in as many
+lists, over all sums, as documents have it, or in ``min_docs`` at least. For the counts it sends a list per group and bit: the terms
+whose number of occurrences has that bit set, with the bit's weight. Nothing is lost by either, and a term that many chunks repeat is written a few times.
 
 **Vectors.** ``CountVectorizer`` with ``minDF`` and the largest integer as ``vocabSize`` learns from the lists and turns them into exact
 sparse vectors. A term carries its language, so one model holds every language's vocabulary: a term of a language is in it if enough of that
 language's documents have it. A model's vocabulary lies in the driver and goes to every task; so that its size is bounded, terms are dealt
-by hash to as many models as their number asks for (about ``max_terms`` each), which is estimated from the terms whose hash ends in ten
-zero bits. Results do not depend on the number of models.
+by hash to as many models as their number asks for (about ``max_terms`` each), which is estimated from the kept terms of one
+bucket. Results do not depend on the number of models.
 
 **Group sums.** Vector entries times their weight are summed per (language, source) and index, on sparse entries and in whole numbers.
 
@@ -42,15 +44,18 @@ from tidelog.sources.scratch import scratch_dir
 # Fixed values of the contract. In UTF-8 a term is a run of ASCII letters and bytes from 0x80 on.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, WHOLE, TOP = 3, 10**9, 200
+# Below this, WHOLE (count + 1) is a long.
+LONG = (2**63 - 1) // WHOLE
 
 MAX_VOCABULARY = 2**31 - 1
 # Between a language and a term; terms have no such character.
 MARK = "\u0000"
 LETTERS = Alphabet(bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
-SAMPLE_BITS = 10
-# Terms of a model, whose vocabulary lies in the driver, and bytes of text whose terms are counted together.
+# Terms of a model, whose vocabulary lies in the driver, and bytes of text, or of counts, whose terms are counted together.
 MAX_TERMS, CHUNK = 100_000, 16 << 20
+BUCKET_BITS = 8
+BUCKETS = 1 << BUCKET_BITS
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -76,21 +81,68 @@ def _counted(high: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray,
     return pairs // width, pairs % width, counts
 
 
-LISTS = "part int, lang string, source string, weight bigint, terms array<string>"
+def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The different keys, and the sums of each of the values by key."""
+    if not len(keys):
+        return [keys, *values]
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begins = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    return [keys[begins], *(np.add.reduceat(v[order], begins) for v in values)]
 
 
-def chunk_lists(texts: pa.Array, langs: pa.Array, sources: pa.Array, parts: int, min_docs: int) -> Iterator[pa.RecordBatch]:
-    """The lists of terms of a chunk: with weight 0 for the vocabulary, without a source, and with other weights for the counts."""
+def _coded(codes: np.ndarray, values: pa.Array) -> pa.DictionaryArray:
+    return pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), values)
+
+
+def _codes(column: pa.DictionaryArray) -> np.ndarray:
+    return column.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def chunk_counts(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Buckets, and the ``lang``, ``source``, ``term``, ``count`` and ``docs`` of their terms in a chunk."""
     codes, doc, terms = _terms_of(texts)
-    width = max(len(terms), 1)
+    if not len(codes):
+        return
+    bucket = (hash_words(*buffers(terms), LETTERS)[0] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    # Terms are numbered by bucket.
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(terms), dtype=np.int64)
+    number[order] = np.arange(len(terms))
     langs, sources = langs.dictionary_encode(), sources.dictionary_encode()
-    lang, source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (langs, sources))
-    named = pa.array([v + MARK for v in langs.dictionary.to_pylist()], pa.string())
-    dealt = (hash_words(*buffers(terms), LETTERS)[0] % np.uint64(parts)).astype(np.int64)
     several = len(sources.dictionary)
+    groups = len(langs.dictionary) * several
+    of, term, times = _counted(doc, number[codes], len(terms))
+    keys, count, docs = _summed(term * groups + (_codes(langs) * several + _codes(sources))[of], times, np.ones_like(times))
+    term, group = keys // groups, keys % groups
+    begins = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+    cuts = np.searchsorted(term, begins)
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        rows, own = slice(cuts[b], cuts[b + 1]), slice(begins[b], begins[b + 1])
+        columns = [_coded(term[rows] - begins[b], terms.take(pa.array(order[own])))]
+        for code, names in ((group[rows] // several, langs.dictionary), (group[rows] % several, sources.dictionary)):
+            used, code = np.unique(code, return_inverse=True)
+            columns.append(_coded(code, names.take(pa.array(used))))
+        yield b, pa.record_batch([*columns, pa.array(count[rows], pa.int32()), pa.array(docs[rows], pa.int32())], names=["term", "lang", "source", "count", "docs"])
+
+
+LISTS = "part int, lang string, source string, weight bigint, terms array<string>"
+
+
+def lists_of(counted: list[pa.Table], parts: int, min_docs: int) -> Iterator[pa.RecordBatch]:
+    """The lists of the added counts: with weight 0 for the vocabulary, without a source, and with other weights for the counts."""
+    if not counted:
+        return
+    table = pa.concat_tables(counted).unify_dictionaries().combine_chunks()
+    column = {name: pa.concat_arrays(table[name].chunks) for name in table.column_names}
+    langs, sources, terms = (column[name].dictionary for name in ("lang", "source", "term"))
+    lang, source, term = (_codes(column[name]) for name in ("lang", "source", "term"))
+    several, width = len(sources), len(terms)
+    named = pa.array([v + MARK for v in langs.to_pylist()], pa.string())
+    dealt = (hash_words(*buffers(terms), LETTERS)[0] % np.uint64(parts)).astype(np.int64)
 
     def lists(group: np.ndarray, term: np.ndarray, layer: np.ndarray, weighted: bool) -> pa.RecordBatch:
-        key = (dealt[term] * len(langs.dictionary) * several + group) * 64 + layer
+        key = (dealt[term] * len(langs) * several + group) * 64 + layer
         order = np.argsort(key, kind="stable")
         begins = np.flatnonzero(np.diff(key[order], prepend=-1))
         of = group[order][begins]
@@ -98,8 +150,8 @@ def chunk_lists(texts: pa.Array, langs: pa.Array, sources: pa.Array, parts: int,
         marked = pc.binary_join_element_wise(named.take(pa.array(whose)), terms.take(pa.array(term[order])), "")
         weight = np.left_shift(1, layer[order][begins]) if weighted else np.zeros(len(begins), np.int64)
         columns = [
-            pa.array(dealt[term[order][begins]].astype(np.int32)), langs.dictionary.take(pa.array(of // several)),
-            sources.dictionary.take(pa.array(of % several, mask=np.full(len(of), not weighted))),
+            pa.array(dealt[term[order][begins]].astype(np.int32)), langs.take(pa.array(of // several)),
+            sources.take(pa.array(of % several, mask=np.full(len(of), not weighted))),
             pa.array(weight), pa.ListArray.from_arrays(pa.array(np.append(begins, len(key)), pa.int32()), marked),
         ]
         return pa.record_batch(columns, names=[c.split()[0] for c in LISTS.split(", ")])
@@ -109,59 +161,92 @@ def chunk_lists(texts: pa.Array, langs: pa.Array, sources: pa.Array, parts: int,
         rows = np.concatenate(chosen)
         return lists(group[rows], term[rows], np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]), weighted)
 
-    if not len(codes):
-        return
-    of, term, _ = _counted(doc, codes, width)
-    group, term, having = _counted(lang[of], term, width)
-    yield layers(group * several, term, (having > k for k in range(max(min_docs, 1))), False)
-    group, term, times = _counted((lang * several + source)[doc], codes, width)
-    yield layers(group, term, (times >> b & 1 for b in range(int(times.max()).bit_length())), True)
+    keys, having = _summed(lang * width + term, column["docs"].to_numpy().astype(np.int64))
+    yield layers(keys // width * several, keys % width, (having > k for k in range(max(min_docs, 1))), False)
+    keys, times = _summed((lang * several + source) * width + term, column["count"].to_numpy().astype(np.int64))
+    yield layers(keys // width, keys % width, (times >> b & 1 for b in range(int(times.max()).bit_length())), True)
+
+
+def chunk_lists(texts: pa.Array, langs: pa.Array, sources: pa.Array, parts: int, min_docs: int) -> Iterator[pa.RecordBatch]:
+    """The lists of a chunk alone."""
+    yield from lists_of([pa.Table.from_batches([counted]) for _, counted in chunk_counts(texts, langs, sources)], parts, min_docs)
+
+
+COUNTED = "bucket int, counted binary"
+
 
+def bucket_counts(docs: DataFrame) -> DataFrame:
+    """``bucket`` and ``counted``: the counts of a chunk's terms of a bucket, as an Arrow stream. The rows of a bucket lie together."""
 
-def term_lists(docs: DataFrame, parts: int, min_docs: int) -> DataFrame:
-    """``part``, ``lang``, ``source``, ``weight`` and ``terms``: the lists of all chunks."""
+    def packed(counted: pa.RecordBatch) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, counted.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as stream:
+            stream.write_batch(counted)
+        return sink.getvalue().to_pybytes()
+
+    def chunk(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lang, source, text = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+        found = [(b, packed(counted)) for b, counted in chunk_counts(text, lang, source)]
+        if found:
+            buckets, tables = zip(*found)
+            yield pa.record_batch([pa.array(buckets, pa.int32()), pa.array(tables, pa.binary())], names=["bucket", "counted"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in chain(batches, [None]):
             if held and (batch is None or size + batch.nbytes > CHUNK):
-                lang, source, text = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
-                yield from chunk_lists(text, lang, source, parts, min_docs)
+                yield from chunk(held)
                 held, size = [], 0
             if batch is not None:
                 held.append(batch)
                 size += batch.nbytes
 
-    return _rows(docs).mapInArrow(take, LISTS)
+    rows = docs.select(*[text_of(c).alias(c) for c in ("lang", "source", "text")])
+    return written(rows.mapInArrow(take, COUNTED).repartition("bucket").sortWithinPartitions("bucket"), "bucket-counts")
+
+
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    for batch in batches:
+        for packed in batch.column("counted"):
+            yield pa.ipc.open_stream(packed.as_buffer()).read_all()
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(*[text_of(c).alias(c) for c in ("lang", "source", "text")])
+def term_lists(counted: DataFrame, parts: int, min_docs: int) -> DataFrame:
+    """``part``, ``lang``, ``source``, ``weight`` and ``terms``: the lists of the counts, added up while they fit."""
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for table in _tables(batches):
+            if held and total + table.nbytes > CHUNK:
+                yield from lists_of(held, parts, min_docs)
+                held, total = [], 0
+            held.append(table)
+            total += table.nbytes
+        yield from lists_of(held, parts, min_docs)
+
+    return counted.mapInArrow(take, LISTS)
 
 
-def models_needed(docs: DataFrame, min_docs: int, max_terms: int) -> int:
-    """How many models hold all kept terms, from the share of them whose hash ends in zeros."""
+def models_needed(counted: DataFrame, min_docs: int, max_terms: int) -> int:
+    """How many models hold all kept terms, from those of one bucket."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, starts = hash_words(*buffers(batch.column(2)), LETTERS)
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            few = hashes & np.uint64((1 << SAMPLE_BITS) - 1) == 0
-            pairs = np.unique(np.stack([doc[few], hashes[few].view(np.int64)], axis=1), axis=0)
-            langs = batch.column(0).take(pa.array(pairs[:, 0]))
-            yield pa.record_batch([langs, pa.array(pairs[:, 1])], names=["lang", "term"])
+        for table in _tables(batches):
+            names = [table[c].cast(pa.string()) for c in ("lang", "term")]
+            yield from pa.table([*names, table["docs"].cast(pa.int64())], names=["lang", "term", "docs"]).to_batches()
 
-    found = _rows(docs).mapInArrow(sample, "lang string, term bigint")
-    kept = found.groupBy("lang", "term").count().where(F.col("count") >= min_docs).count()
-    return max(1, -(-(kept << SAMPLE_BITS) // max_terms))
+    found = counted.where("bucket = 0").mapInArrow(sample, "lang string, term string, docs bigint")
+    kept = found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).count()
+    return max(1, -(-(kept << BUCKET_BITS) // max_terms))
 
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = MAX_TERMS) -> tuple[DataFrame, DataFrame]:
     """Occurrences above 0, per group, of the terms a language keeps (``lang``, ``source``, ``index``, ``count``), and the
     terms (``index``, ``term``). An index belongs to one language."""
-    spark, parts = docs.sparkSession, models_needed(docs, min_docs, max_terms)
+    spark, counted = docs.sparkSession, bucket_counts(docs)
+    parts = models_needed(counted, min_docs, max_terms)
     counts, names, folder = [], [], scratch_dir(spark, "term-lists")
-    lists = term_lists(docs, parts, min_docs)
+    lists = term_lists(counted, parts, min_docs)
     lists.withColumn("learned", F.col("weight") == 0).write.partitionBy("part", "learned").parquet(folder)
     lists = spark.read.schema(f"{LISTS}, learned boolean").parquet(folder)
     for part in range(parts):
@@ -192,9 +277,10 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, max_terms: int = MAX_
 
 
 def share(count: Column, size: Column) -> Column:
-    """1 + floor(WHOLE (count + 1) / size), exact."""
+    """1 + floor(WHOLE (count + 1) / size), exact. In whole numbers of 64 bits where the product fits."""
     scaled = F.lit(WHOLE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return F.lit(1) + F.call_function("div", scaled, size.cast("decimal(20,0)"))
+    wide = F.call_function("div", scaled, size.cast("decimal(20,0)"))
+    return F.lit(1) + F.when(count < LONG, F.call_function("div", F.lit(WHOLE).cast("long") * (count + 1), size)).otherwise(wide)
 
 
 def gap(p: Column, q: Column) -> Column:
@@ -206,7 +292,7 @@ def audit(docs: DataFrame, *, min_docs: int = MIN_DOCS, top: int = TOP, max_term
     ready(docs.sparkSession)
     counts, names = term_counts(docs, min_docs, max_terms)
     keys = ["lang", "source"]
-    kept = counts.groupBy("lang", "index").agg(F.sum("count").alias("all"))
+    kept = written(counts.groupBy("lang", "index").agg(F.sum("count").alias("all")), "kept")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all").alias("n_lang"))
     occurring = docs.select(*[text_of(k).alias(k) for k in keys]).distinct()
     groups = written(
@@ -233,10 +319,14 @@ def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
 def _terms(
     rows: DataFrame, groups: DataFrame, kept: DataFrame, sizes: DataFrame, names: DataFrame, top: int
 ) -> DataFrame:
-    """Terms a group uses more than its language. The rank filter cuts groups in tasks before they are shuffled."""
+    """Terms a group uses more than its language. The rank filter cuts groups in tasks before they are shuffled, and names are
+    joined to what it leaves, ties with the last rank included."""
     langs = kept.join(sizes, "lang").select("index", share(F.col("all"), F.col("n_lang") + F.col("v")).alias("q"))
-    above = rows.join(langs, "index").where("p > q").join(names, "index").join(groups.select("gid", "lang", "source"), "gid")
-    return _ranked(above.select("lang", "source", F.col("term").alias("item"), gap(F.col("p"), F.col("q")).alias("value")), "term", top)
+    above = rows.join(langs, "index").where("p > q").select("gid", "index", gap(F.col("p"), F.col("q")).alias("value"))
+    by_value = Window.partitionBy("gid").orderBy(F.col("value").desc())
+    first = above.withColumn("place", F.rank().over(by_value)).where(F.col("place") <= top)
+    named = first.join(names, "index").join(groups.select("gid", "lang", "source"), "gid")
+    return _ranked(named.select("lang", "source", F.col("term").alias("item"), "value"), "term", top)
 
 
 def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -292,9 +382,16 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = _ranges(begins[begin:end], partners[begin:end])
             a, b = a[a != b], b[a != b]
             value = _gap(p[a], p[b]) - _gap(p[a], p0[b]) - _gap(p0[a], p[b]) + _gap(p0[a], p0[b])
-            pairs, place = np.unique(code[a] * len(groups) + code[b], return_inverse=True)
+            place = code[a] * len(groups) + code[b]
+            if len(groups) ** 2 > PAIRS:
+                pairs, place = np.unique(place, return_inverse=True)
+            else:
+                pairs = np.arange(len(groups) ** 2)
             totals = np.zeros(len(pairs), dtype=np.int64)
             np.add.at(totals, place, value)
+            # Groups of two languages have no term in common.
+            found = np.flatnonzero(np.bincount(place, minlength=len(pairs)))
+            pairs, totals = pairs[found], totals[found]
             for pair, total in zip(pairs.tolist(), totals.tolist()):
                 key = int(groups[pair // len(groups)]), int(groups[pair % len(groups)])
                 sums[key] = sums.get(key, 0) + total
